@@ -7,7 +7,10 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HOUR_KEY_FORMAT = "yyyy-MM-dd-HH"
+HOURLY = "yyyy-MM-dd-HH"
+DAILY = "yyyy-MM-dd"
+
+_STRFTIME = {HOURLY: "%Y-%m-%d-%H", DAILY: "%Y-%m-%d"}
 
 
 def event_time(millis: Column) -> Column:
@@ -44,20 +47,10 @@ def lookback_start(now: datetime, minutes: float) -> datetime:
     return as_utc(now) - timedelta(minutes=minutes)
 
 
-def hour_key(ts: Column) -> Column:
+def partition_key(ts: Column, pattern: str) -> Column:
     """Partition value of a time; sorts as text in time order."""
-    return F.date_format(ts, HOUR_KEY_FORMAT)
-
-
-def hour_key_of(moment: datetime) -> str:
-    return as_utc(moment).strftime("%Y-%m-%d-%H")
+    return F.date_format(ts, pattern)
 
 
-def hours_between(start: datetime, end: datetime) -> list[str]:
-    """Partition values of all hours that touch [start, end]."""
-    hour = as_utc(start).replace(minute=0, second=0, microsecond=0)
-    keys = []
-    while hour <= as_utc(end):
-        keys.append(hour_key_of(hour))
-        hour += timedelta(hours=1)
-    return keys
+def partition_key_of(moment: datetime, pattern: str) -> str:
+    return as_utc(moment).strftime(_STRFTIME[pattern])

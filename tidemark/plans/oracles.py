@@ -45,7 +45,7 @@ GROUP BY symbol
 """
 
 _LATEST = f"""
-SELECT symbol, arg_max(price, (trade_timestamp, ingestion_time, id)) AS latest_price
+SELECT symbol, arg_max(price, (trade_timestamp, ingestion_time, price)) AS latest_price
 FROM ({_TRADES}) WHERE ingestion_time >= {_SINCE} AND symbol IS NOT NULL GROUP BY symbol
 """
 

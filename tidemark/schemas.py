@@ -45,27 +45,28 @@ TRADES_KEY = ("id",)
 TRADE_AGGREGATIONS_KEY = ("window_start", "symbol")
 
 # Partition columns added to the tables on disk. Rows without a full key go to the rejected
-# part in the same write; the hour is derived from a time column.
+# part in the same write; hour and day are derived from a time column. A batch of trades has
+# one stamp and so touches one hour, while the windows of a backfill span all its days.
 REJECTED = "rejected"
-TRADES_HOUR = "ingestion_hour"
-AGGREGATIONS_HOUR = "window_hour"
+TRADES_PERIOD = "ingestion_hour"
+AGGREGATIONS_PERIOD = "window_day"
 
 # Micro-batch number: file partition that makes a replayed batch overwrite itself, and
 # version number of the keyed upsert.
 BATCH_ID = "batch_id"
 
 
-def stored(columns: T.StructType, hour: str) -> T.StructType:
+def stored(columns: T.StructType, period: str) -> T.StructType:
     """A table's columns on disk: its own and the partition columns."""
     return T.StructType(
         [
             *columns.fields,
             T.StructField(REJECTED, T.BooleanType()),
-            T.StructField(hour, T.StringType()),
+            T.StructField(period, T.StringType()),
             T.StructField(BATCH_ID, T.LongType()),
         ]
     )
 
 
-STORED_TRADES = stored(TRADES, TRADES_HOUR)
-STORED_AGGREGATIONS = stored(TRADE_AGGREGATIONS, AGGREGATIONS_HOUR)
+STORED_TRADES = stored(TRADES, TRADES_PERIOD)
+STORED_AGGREGATIONS = stored(TRADE_AGGREGATIONS, AGGREGATIONS_PERIOD)

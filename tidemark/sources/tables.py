@@ -16,12 +16,12 @@ from tidemark.operators.upserts import latest_version
 def create_tables(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     """Create the namespace and both tables where they do not exist yet."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}")
-    for name, columns, hour in (
-        ("trades", schemas.STORED_TRADES, schemas.TRADES_HOUR),
-        ("trade_aggregations", schemas.STORED_AGGREGATIONS, schemas.AGGREGATIONS_HOUR),
+    for name, columns, period in (
+        ("trades", schemas.STORED_TRADES, schemas.TRADES_PERIOD),
+        ("trade_aggregations", schemas.STORED_AGGREGATIONS, schemas.AGGREGATIONS_PERIOD),
     ):
         listed = ", ".join(f"{c.name} {c.dataType.simpleString()}" for c in columns)
-        partitions = f"{schemas.REJECTED}, {hour}, {schemas.BATCH_ID}"
+        partitions = f"{schemas.REJECTED}, {period}, {schemas.BATCH_ID}"
         place = f"LOCATION '{location.rstrip('/')}/{name}'" if location else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {namespace}.{name} ({listed}) "
@@ -37,7 +37,7 @@ def read_trades(
 ) -> DataFrame:
     """Trades of the hours that touch [since, until]; exact bounds are the query's business."""
     rows = spark.read.schema(schemas.STORED_TRADES).parquet(path)
-    rows = _accepted_within(rows, schemas.TRADES_HOUR, since, until)
+    rows = _accepted_within(rows, schemas.TRADES_PERIOD, clock.HOURLY, since, until)
     return rows.select(*schemas.TRADES.names)
 
 
@@ -48,13 +48,13 @@ def read_aggregations(
     until: datetime | None = None,
     versioned: bool = True,
 ) -> DataFrame:
-    """The newest stats of each window and symbol that starts in the hours of [since, until].
+    """The newest stats of each window and symbol that starts in the days of [since, until].
 
     Tables that get each window once (``start_stats_append``) need no search for the newest:
     ``versioned=False`` reads them without a shuffle.
     """
     log = spark.read.schema(schemas.STORED_AGGREGATIONS).parquet(path)
-    log = _accepted_within(log, schemas.AGGREGATIONS_HOUR, since, until)
+    log = _accepted_within(log, schemas.AGGREGATIONS_PERIOD, clock.DAILY, since, until)
     if not versioned:
         return log.select(*schemas.TRADE_AGGREGATIONS.names)
     return latest_version(
@@ -70,14 +70,18 @@ def read_rejected(spark: SparkSession, path: str, columns: T.StructType) -> Data
 
 
 def _accepted_within(
-    rows: DataFrame, hour: str, since: datetime | None, until: datetime | None
+    rows: DataFrame,
+    period: str,
+    pattern: str,
+    since: datetime | None,
+    until: datetime | None,
 ) -> DataFrame:
     """Partition filters. Spark cannot derive them from a filter on the time column itself."""
     rows = rows.where(~F.col(schemas.REJECTED))
     if since is not None:
-        rows = rows.where(F.col(hour) >= clock.hour_key_of(since))
+        rows = rows.where(F.col(period) >= clock.partition_key_of(since, pattern))
     if until is not None:
-        rows = rows.where(F.col(hour) <= clock.hour_key_of(until))
+        rows = rows.where(F.col(period) <= clock.partition_key_of(until, pattern))
     return rows
 
 

@@ -27,7 +27,8 @@ class Table:
     path: str | None
     keys: Sequence[str]
     time: str
-    hour: str
+    period: str
+    pattern: str
     format: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
 
@@ -36,13 +37,21 @@ class Table:
         return self.format in FILE_FORMATS
 
     def partitioned(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn(
-            schemas.REJECTED, ~keys_present(self.keys)
-        ).withColumn(self.hour, clock.hour_key(F.col(self.time)))
+        period = clock.partition_key(F.col(self.time), self.pattern)
+        return rows.withColumns(
+            {schemas.REJECTED: ~keys_present(self.keys), self.period: period}
+        )
 
 
 def trades_table(path: str | None, **settings) -> Table:
-    return Table(path, schemas.TRADES_KEY, "ingestion_time", schemas.TRADES_HOUR, **settings)
+    return Table(
+        path,
+        schemas.TRADES_KEY,
+        "ingestion_time",
+        schemas.TRADES_PERIOD,
+        clock.HOURLY,
+        **settings,
+    )
 
 
 def aggregations_table(path: str | None, **settings) -> Table:
@@ -50,7 +59,8 @@ def aggregations_table(path: str | None, **settings) -> Table:
         path,
         schemas.TRADE_AGGREGATIONS_KEY,
         "window_start",
-        schemas.AGGREGATIONS_HOUR,
+        schemas.AGGREGATIONS_PERIOD,
+        clock.DAILY,
         **settings,
     )
 
@@ -73,13 +83,13 @@ def batch_writer(table: Table, rebalance: bool = False) -> Callable[[DataFrame,
             schemas.BATCH_ID, F.lit(batch_id).cast("bigint")
         )
         if rebalance:
-            rows = rows.hint("rebalance", table.hour)
+            rows = rows.hint("rebalance", table.period)
         (
             rows.write.format(table.format)
             .options(**table.options)
             .option("partitionOverwriteMode", "dynamic")
             .mode("overwrite")
-            .partitionBy(schemas.REJECTED, table.hour, schemas.BATCH_ID)
+            .partitionBy(schemas.REJECTED, table.period, schemas.BATCH_ID)
             .save(table.path)
         )
 
@@ -112,7 +122,7 @@ def start_append(
         rows = table.partitioned(rows)
     writer = rows.writeStream.format(table.format).options(**table.options).outputMode("append")
     if table.on_files:
-        writer = writer.partitionBy(schemas.REJECTED, table.hour)
+        writer = writer.partitionBy(schemas.REJECTED, table.period)
     if table.path is not None:
         writer = writer.option("path", table.path)
     return _start(writer, checkpoint, name, trigger)
