@@ -14,6 +14,7 @@ _STRFTIME = {HOURLY: "%Y-%m-%d-%H", DAILY: "%Y-%m-%d"}
 
 
 def event_time(millis: Column) -> Column:
+    """Exact, where dividing by 1000 can lose a microsecond in the double."""
     return F.timestamp_millis(millis)
 
 

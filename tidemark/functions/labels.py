@@ -18,7 +18,8 @@ def caption(symbol: Column) -> Column:
 
 def _two_decimals(price: Column) -> Column:
     # The pattern form rounds the exact binary value, half to even: 0.125 -> 0.12 and
-    # 1.005 -> 1.00. format_string("%.2f") would round the printed digits half up.
+    # 1.005 -> 1.00. format_string("%.2f") would round the printed digits half up. (Prices
+    # from 1e13 on have no exact cents left and show the digits of their shortest text.)
     return F.call_function("format_number", price, F.lit("0.00"))
 
 

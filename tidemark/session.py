@@ -7,9 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-ROCKSDB_PROVIDER = (
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-)
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 # Worth having on any cluster. Memory, cores and shuffle.partitions depend on the cluster and
 # the job and are left to the caller; note that a stateful stream keeps the
@@ -20,8 +19,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Window state lives off-heap and on local disk, and only its changes are uploaded.
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    _PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    _CHANGELOG: "true",
 }
 
 
@@ -38,6 +37,16 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def keep_state_off_heap(spark: SparkSession) -> None:
+    """Use RocksDB for stream state unless the session names a provider itself.
+
+    The default keeps all windows of a partition on the executor's heap.
+    """
+    for key in (_PROVIDER, _CHANGELOG):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, DEFAULTS[key])
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder path below the cluster's shared folder (``spark.checkpoint.dir``).
 

@@ -2,7 +2,7 @@
 
 Each table can be kept in two ways. *Batches*: every micro-batch is written as it comes, stats
 as running values that overwrite each other by key, with trades of any lateness accepted.
-*Append*: the format's own sink, stats once per window after the watermark has closed it.
+*Append*: rows are final when written, stats once per window after the watermark has closed it.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from tidemark.functions import ids
 from tidemark.operators import ticks as tick_ops
 from tidemark.operators.envelopes import parse_envelopes
 from tidemark.operators.windows import LATENESS, WINDOW_SIZE, window_stats
+from tidemark.session import keep_state_off_heap
 from tidemark.streaming import sinks
 from tidemark.streaming.metrics import count_rows
 from tidemark.streaming.sinks import Table
@@ -66,6 +67,7 @@ def start_stats_upsert(
     Without a watermark state grows with every window ever seen. With one, state is bounded
     and later trades are dropped and counted (``rows_dropped_as_late``).
     """
+    keep_state_off_heap(ticks.sparkSession)
     stats = window_stats(tick_ops.with_event_time(ticks), size, watermark)
     return sinks.start_batches(stats, table, checkpoint, "update", rebalance=True, **settings)
 
@@ -78,16 +80,26 @@ def start_stats_append(
     watermark: str = LATENESS,
     **settings,
 ) -> StreamingQuery:
-    """Final stats of each window, once the watermark has passed its end."""
+    """Final stats of each window, once the watermark has passed its end.
+
+    Files go through the batch writer too: the plain file sink would write one file per
+    shuffle task and day, which for a backfill of years is more files than rows are worth.
+    """
+    keep_state_off_heap(ticks.sparkSession)
     stats = window_stats(tick_ops.with_event_time(ticks), size, watermark)
+    if table.on_files:
+        return sinks.start_batches(stats, table, checkpoint, "append", rebalance=True, **settings)
     return sinks.start_append(stats, table, checkpoint, **settings)
 
 
 def run_until_any_ends(spark: SparkSession, *queries: StreamingQuery) -> None:
     """Block until one of the queries ends, then stop the others; a failure is raised."""
+    spark.streams.resetTerminated()  # forget queries of the session that ended earlier
     try:
-        spark.streams.awaitAnyTermination()
+        if all(query.isActive for query in queries):
+            spark.streams.awaitAnyTermination()
     finally:
         for query in queries:
             query.stop()
-        spark.streams.resetTerminated()
+    for query in queries:
+        query.awaitTermination()
