@@ -62,6 +62,7 @@ def doubles():
     random.seed(2)
     fixed = [0.0, -0.0, 0.125, 0.375, 2.675, 1.005, 1e7, 12345678.9, 1e15, 1e16, 1.5e16, 1e22]
     fixed += [0.001, 1e-4, 0.00012345, 9.9e-5, 1e-5, 1.25e-7, -1.5, -0.001, 1234567890123.45]
+    fixed += [float("nan"), float("inf"), float("-inf"), 1.5e-300]
     cents = [random.randrange(0, 10**9) / 100 for _ in range(1500)]
     fine = [round(random.random() * 10 ** random.randrange(-3, 6), 8) for _ in range(1500)]
     halves = [random.randrange(0, 10**6) / 8 for _ in range(500)]

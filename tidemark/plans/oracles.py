@@ -4,7 +4,7 @@ from __future__ import annotations
 
 # Epoch milliseconds, floored (epoch_ms would round).
 _MS = "(epoch_us(ts) // 1000)"
-_VOLUME = "CAST(json_extract_string(props, '$.k') AS DOUBLE)"
+_VOLUME = "TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE)"
 _ID_PARTS = f"event_type, CAST(value AS VARCHAR), CAST({_VOLUME} AS VARCHAR), CAST({_MS} AS VARCHAR)"
 _TICK_ID = f"sha256(concat_ws(chr(31), CAST(event_id AS VARCHAR), '0', {_ID_PARTS}))"
 _TRADE_ID = f"sha256(concat_ws(chr(31), CAST(event_id AS VARCHAR), {_ID_PARTS}))"

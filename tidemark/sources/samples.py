@@ -69,7 +69,7 @@ def event_ticks(rows: DataFrame) -> DataFrame:
         F.lit(0).alias("position"),
         F.col("event_type").alias("symbol"),
         F.col("value").alias("price"),
-        F.get_json_object("props", "$.k").cast("double").alias("volume"),
+        F.get_json_object("props", "$.k").try_cast("double").alias("volume"),
         _millis("ts").alias("timestamp"),
     )
 

@@ -88,3 +88,10 @@ def _accepted_within(
 def peek(table: DataFrame, *order: str, rows: int = 10) -> DataFrame:
     """The first rows under a full order, which keeps only that many per task."""
     return table.orderBy(*order).limit(rows)
+
+
+def refresh_tables(spark: SparkSession, namespace: str) -> None:
+    """Make files written by path visible to SQL; needed once after a job has written."""
+    for name in ("trades", "trade_aggregations"):
+        spark.sql(f"ALTER TABLE {namespace}.{name} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(f"{namespace}.{name}")

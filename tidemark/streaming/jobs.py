@@ -20,6 +20,9 @@ from tidemark.streaming import sinks
 from tidemark.streaming.metrics import count_rows
 from tidemark.streaming.sinks import Table
 
+# Files that one micro-batch of stats may add to one day.
+FILES_PER_DAY = 8
+
 TICK_IDENTITY = ("message_id", "position", "symbol", "price", "volume", "timestamp")
 
 
@@ -60,6 +63,7 @@ def start_stats_upsert(
     checkpoint: str,
     size: str = WINDOW_SIZE,
     watermark: str | None = None,
+    files_per_day: int = FILES_PER_DAY,
     **settings,
 ) -> StreamingQuery:
     """Running stats of the windows each batch changed.
@@ -69,7 +73,8 @@ def start_stats_upsert(
     """
     keep_state_off_heap(ticks.sparkSession)
     stats = window_stats(tick_ops.with_event_time(ticks), size, watermark)
-    return sinks.start_batches(stats, table, checkpoint, "update", rebalance=True, **settings)
+    settings["files_per_period"] = files_per_day
+    return sinks.start_batches(stats, table, checkpoint, "update", **settings)
 
 
 def start_stats_append(
@@ -78,6 +83,7 @@ def start_stats_append(
     checkpoint: str,
     size: str = WINDOW_SIZE,
     watermark: str = LATENESS,
+    files_per_day: int = FILES_PER_DAY,
     **settings,
 ) -> StreamingQuery:
     """Final stats of each window, once the watermark has passed its end.
@@ -87,9 +93,10 @@ def start_stats_append(
     """
     keep_state_off_heap(ticks.sparkSession)
     stats = window_stats(tick_ops.with_event_time(ticks), size, watermark)
-    if table.on_files:
-        return sinks.start_batches(stats, table, checkpoint, "append", rebalance=True, **settings)
-    return sinks.start_append(stats, table, checkpoint, **settings)
+    if not table.on_files:
+        return sinks.start_append(stats, table, checkpoint, **settings)
+    settings["files_per_period"] = files_per_day
+    return sinks.start_batches(stats, table, checkpoint, "append", **settings)
 
 
 def run_until_any_ends(spark: SparkSession, *queries: StreamingQuery) -> None:

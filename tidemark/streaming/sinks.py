@@ -65,13 +65,18 @@ def aggregations_table(path: str | None, **settings) -> Table:
     )
 
 
-def batch_writer(table: Table, rebalance: bool = False) -> Callable[[DataFrame, int], None]:
+def batch_writer(
+    table: Table, files_per_period: int | None = None
+) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that writes one micro-batch in one distributed job.
 
     On files, a batch owns its batch_id partitions and overwrites just those, so a batch
     that is replayed after a failure replaces what it wrote before. Failures are raised:
     the stream stops and resumes from its checkpoint with no rows lost.
-    ``rebalance`` lets Spark even out the files of small results of many shuffle tasks.
+
+    ``files_per_period`` shuffles the rows so that each period of a batch gets at most that
+    many files. Streams with state run without adaptive execution, which would otherwise
+    even them out; unset, every task writes a file for every period it has rows of.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -82,8 +87,9 @@ def batch_writer(table: Table, rebalance: bool = False) -> Callable[[DataFrame,
         rows = table.partitioned(batch).withColumn(
             schemas.BATCH_ID, F.lit(batch_id).cast("bigint")
         )
-        if rebalance:
-            rows = rows.hint("rebalance", table.period)
+        if files_per_period is not None:
+            slot = F.pmod(F.xxhash64(*table.keys), F.lit(files_per_period))
+            rows = rows.repartition(table.period, slot)
         (
             rows.write.format(table.format)
             .options(**table.options)
@@ -103,11 +109,11 @@ def start_batches(
     mode: str,
     name: str | None = None,
     trigger: dict | None = None,
-    rebalance: bool = False,
+    files_per_period: int | None = None,
 ) -> StreamingQuery:
     """Write every micro-batch with ``batch_writer``."""
-    writer = rows.writeStream.foreachBatch(batch_writer(table, rebalance)).outputMode(mode)
-    return _start(writer, checkpoint, name, trigger)
+    writer = rows.writeStream.foreachBatch(batch_writer(table, files_per_period))
+    return _start(writer.outputMode(mode), checkpoint, name, trigger)
 
 
 def start_append(
