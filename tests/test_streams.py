@@ -193,6 +193,8 @@ def test_raw_append_keeps_null_times_apart(spark, feed, folder):
     assert sorted(ids_seen) == [
         "2024-05-01 12:51:30.1", "2024-05-01 12:51:30.1", "2024-05-01 12:51:30.2",
     ]
+    keyed = tables.read_trades(spark, table.path, keyed=True).orderBy("id").collect()
+    assert [(r.id[-2:], r.symbol, r.price) for r in keyed] == [(".1", "B", 1.0), (".2", "A", 20.0)]
     rejected = tables.read_rejected(spark, table.path, schemas.STORED_TRADES)
     assert rejected.count() == 1
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import clock, ids
+from tidemark.operators.upserts import latest_row
 
 
 def with_event_time(ticks: DataFrame) -> DataFrame:
@@ -57,11 +58,14 @@ def last_per_event_time(ticks: DataFrame) -> DataFrame:
     Which one that is depends on arrival in a live table; here it is the greatest by
     symbol, price and volume. Groups on the number and makes the text once per result row.
     """
-    trade = F.struct("symbol", "price", "volume")
-    with_id = ticks.where(F.col("timestamp").isNotNull())
-    survivors = with_id.groupBy("timestamp").agg(F.max(trade).alias("trade"))
+    timed = ticks.where(F.col("timestamp").isNotNull())
+    trades = timed.select("timestamp", "symbol", "price", "volume")
+    survivors = latest_row(trades, ["timestamp"], ["symbol", "price", "volume"])
     return survivors.select(
-        ids.event_time_id(clock.event_time(F.col("timestamp"))).alias("id"), "trade.*"
+        ids.event_time_id(clock.event_time(F.col("timestamp"))).alias("id"),
+        "symbol",
+        "price",
+        "volume",
     )
 
 

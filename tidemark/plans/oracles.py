@@ -134,6 +134,11 @@ SELECT symbol, 'Latest Price for ' || symbol AS caption,
 FROM ({_LATEST})
 """,
     "clock_label": "SELECT event_id, strftime(ts, '%H:%M:%S') AS clock FROM events",
+    "trends": f"""
+SELECT ingestion_time AS time, symbol, count(*) AS trade_count,
+       coalesce(sum(volume), 0) AS total_volume, round(avg(price), 8) AS price
+FROM ({_TRADES}) WHERE {_BETWEEN} AND symbol IS NOT NULL GROUP BY 1, 2
+""",
     "trade_count_trend": f"""
 SELECT ingestion_time AS time, symbol, count(*) AS trade_count
 FROM ({_TRADES}) WHERE {_BETWEEN} AND symbol IS NOT NULL GROUP BY 1, 2

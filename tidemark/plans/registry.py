@@ -83,11 +83,15 @@ def envelope_parse_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def envelope_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _event_messages(spark, sf_dir).select(
+    messages = _event_messages(spark, sf_dir)
+    read_back = messages.select(
+        "event_id", F.from_json("value", schemas.ENVELOPE).alias("message")
+    )
+    return read_back.select(
         "event_id",
-        F.json_array_length(F.get_json_object("value", "$.data")).alias("tick_count"),
-        F.get_json_object("value", "$.data[0].s").alias("first_symbol"),
-        F.get_json_object("value", "$.type").alias("message_type"),
+        F.size("message.data").alias("tick_count"),
+        F.col("message.data")[0]["s"].alias("first_symbol"),
+        F.col("message.type").alias("message_type"),
     )
 
 
@@ -240,6 +244,12 @@ def clock_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = dashboard.trends(_recent_trades(spark, sf_dir), NOW, LOOKBACK_MINUTES)
+    return _zoneless(every.withColumn("price", _steady(F.col("price"))))
+
+
 @_query
 def trade_count_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(

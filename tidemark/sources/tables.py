@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions import clock
-from tidemark.operators.upserts import latest_version
+from tidemark.operators.upserts import latest_row, latest_version
 
 
 def create_tables(spark: SparkSession, namespace: str, location: str | None = None) -> None:
@@ -34,11 +34,18 @@ def read_trades(
     path: str,
     since: datetime | None = None,
     until: datetime | None = None,
+    keyed: bool = False,
 ) -> DataFrame:
-    """Trades of the hours that touch [since, until]; exact bounds are the query's business."""
+    """Trades of the hours that touch [since, until]; exact bounds are the query's business.
+
+    ``keyed`` keeps the newest row of each id, as a store with the id as its key would. Of
+    trades stored under their event time that is one per millisecond; stable and random ids
+    do not repeat, and need no search.
+    """
     rows = spark.read.schema(schemas.STORED_TRADES).parquet(path)
     rows = _accepted_within(rows, schemas.TRADES_PERIOD, clock.HOURLY, since, until)
-    return rows.select(*schemas.TRADES.names)
+    rows = rows.select(*schemas.TRADES.names)
+    return latest_row(rows, schemas.TRADES_KEY, ["ingestion_time"]) if keyed else rows
 
 
 def read_aggregations(
