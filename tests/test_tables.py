@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions import clock
 from tidemark.plans import dashboard
 from tidemark.sources import files, kafka, tables
 from tidemark.streaming import jobs, sinks
@@ -95,13 +96,18 @@ def test_creating_tables_twice_and_reading_them_with_sql(spark, feed, folder):
     spark.sql(f"DROP SCHEMA {namespace} CASCADE")
 
 
-def test_look_back_reads_only_its_partitions(spark, feed, folder):
+@pytest.fixture
+def stored_trades(spark, feed, folder):
     trades = sinks.trades_table(folder("trades"))
     ticks = jobs.ticks_of(files.stream_messages(spark, feed))
     jobs.start_raw_batches(ticks, trades, folder("ck"), trigger=ONCE).awaitTermination()
+    return trades.path
+
+
+def test_open_look_back_prunes_partitions(spark, stored_trades):
     now = datetime.now(timezone.utc)
-    recent = tables.read_trades(spark, trades.path, since=now - timedelta(hours=2), until=now + timedelta(hours=1))
-    old = tables.read_trades(spark, trades.path, until=now - timedelta(days=2))
+    recent = tables.read_trades(spark, stored_trades, since=now - timedelta(hours=2))
+    old = tables.read_trades(spark, stored_trades, until=now - timedelta(days=2))
     assert recent.count() == 120
     assert old.count() == 0
     plan = recent._jdf.queryExecution().executedPlan().toString()
@@ -109,6 +115,33 @@ def test_look_back_reads_only_its_partitions(spark, feed, folder):
     assert "ingestion_hour" in pruning and "rejected" in pruning
 
 
+def test_bounded_look_back_lists_only_its_folders(spark, stored_trades):
+    now = datetime.now(timezone.utc)
+    around = (now - timedelta(hours=2), now + timedelta(hours=1))
+    recent = tables.read_trades(spark, stored_trades, *around)
+    listed = tables.read_trades(spark, stored_trades, *around, by_folder=False)
+    assert recent.count() == listed.count() == 120
+    assert recent.exceptAll(listed).count() == 0
+    elsewhere = f"{stored_trades}/rejected=false/ingestion_hour=2000-01-01-00/batch_id=0"
+    listed.limit(1).drop("id").coalesce(1).write.parquet(elsewhere)
+    again = [tables.read_trades(spark, stored_trades, *around, by_folder=b) for b in (True, False)]
+    seen = [any("2000-01-01-00" in file for file in r.inputFiles()) for r in again]
+    assert seen == [False, True]
+    before = now - timedelta(days=30), now - timedelta(days=29)
+    nothing = tables.read_trades(spark, stored_trades, *before)
+    assert nothing.count() == 0
+    assert nothing.schema == recent.schema
+
+
+def test_periods_touched_by_a_range():
+    start, end = datetime(2024, 2, 28, 23, 59), datetime(2024, 3, 1, 0, 0)
+    assert clock.partition_keys_between(start, end, clock.DAILY) == [
+        "2024-02-28", "2024-02-29", "2024-03-01",
+    ]
+    assert len(clock.partition_keys_between(start, end, clock.HOURLY)) == 26
+    assert clock.partition_keys_between(end, end, clock.HOURLY) == ["2024-03-01-00"]
+
+
 def test_peek_is_ordered(spark):
     rows = spark.range(100).withColumn("k", F.col("id") % 7)
     assert [tuple(r) for r in tables.peek(rows, "k", "id", rows=3).collect()] == [

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +13,9 @@ from tidemark import schemas
 from tidemark.functions import clock
 from tidemark.operators.upserts import latest_row, latest_version
 
+# Look-backs of more periods list the whole table instead of naming each folder.
+_MAX_LISTED_PERIODS = 1000
+
 
 def create_tables(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     """Create the namespace and both tables where they do not exist yet."""
@@ -35,16 +39,22 @@ def read_trades(
     since: datetime | None = None,
     until: datetime | None = None,
     keyed: bool = False,
+    by_folder: bool = True,
 ) -> DataFrame:
     """Trades of the hours that touch [since, until]; exact bounds are the query's business.
 
+    With both bounds given and ``by_folder``, only the folders of those hours are listed,
+    however many the table has. Tables of ``start_raw_append`` must be read without it: their
+    list of committed files lies in the table's root.
+
     ``keyed`` keeps the newest row of each id, as a store with the id as its key would. Of
     trades stored under their event time that is one per millisecond; stable and random ids
     do not repeat, and need no search.
     """
-    rows = spark.read.schema(schemas.STORED_TRADES).parquet(path)
-    rows = _accepted_within(rows, schemas.TRADES_PERIOD, clock.HOURLY, since, until)
-    rows = rows.select(*schemas.TRADES.names)
+    rows = _accepted(
+        spark, path, schemas.STORED_TRADES, schemas.TRADES_PERIOD, clock.HOURLY, since, until,
+        by_folder,
+    ).select(*schemas.TRADES.names)
     return latest_row(rows, schemas.TRADES_KEY, ["ingestion_time"]) if keyed else rows
 
 
@@ -60,8 +70,10 @@ def read_aggregations(
     Tables that get each window once (``start_stats_append``) need no search for the newest:
     ``versioned=False`` reads them without a shuffle.
     """
-    log = spark.read.schema(schemas.STORED_AGGREGATIONS).parquet(path)
-    log = _accepted_within(log, schemas.AGGREGATIONS_PERIOD, clock.DAILY, since, until)
+    log = _accepted(
+        spark, path, schemas.STORED_AGGREGATIONS, schemas.AGGREGATIONS_PERIOD, clock.DAILY,
+        since, until,
+    )
     if not versioned:
         return log.select(*schemas.TRADE_AGGREGATIONS.names)
     return latest_version(
@@ -76,15 +88,25 @@ def read_rejected(spark: SparkSession, path: str, columns: T.StructType) -> Data
     return spark.read.schema(columns).parquet(path).where(F.col(schemas.REJECTED))
 
 
-def _accepted_within(
-    rows: DataFrame,
+def _accepted(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
     period: str,
     pattern: str,
     since: datetime | None,
     until: datetime | None,
+    by_folder: bool = True,
 ) -> DataFrame:
-    """Partition filters. Spark cannot derive them from a filter on the time column itself."""
-    rows = rows.where(~F.col(schemas.REJECTED))
+    """Rows with a full key, of the periods that touch [since, until].
+
+    Spark cannot derive partition filters from a filter on the time column itself.
+    """
+    if by_folder and since is not None and until is not None:
+        periods = clock.partition_keys_between(since, until, pattern)
+        if len(periods) <= _MAX_LISTED_PERIODS:
+            return _folders(spark, path, schema, period, periods)
+    rows = spark.read.schema(schema).parquet(path).where(~F.col(schemas.REJECTED))
     if since is not None:
         rows = rows.where(F.col(period) >= clock.partition_key_of(since, pattern))
     if until is not None:
@@ -92,6 +114,18 @@ def _accepted_within(
     return rows
 
 
+def _folders(
+    spark: SparkSession, path: str, schema: T.StructType, period: str, periods: list[str]
+) -> DataFrame:
+    wanted = f"{path}/{schemas.REJECTED}=false/{period}={{{','.join(periods)}}}"
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(wanted)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def peek(table: DataFrame, *order: str, rows: int = 10) -> DataFrame:
     """The first rows under a full order, which keeps only that many per task."""
     return table.orderBy(*order).limit(rows)
