@@ -21,7 +21,7 @@ from tidemark.streaming.metrics import count_rows
 from tidemark.streaming.sinks import Table
 
 # Files that one micro-batch of stats may add to one day.
-FILES_PER_DAY = 8
+FILES_PER_DAY = 4
 
 TICK_IDENTITY = ("message_id", "position", "symbol", "price", "volume", "timestamp")
 
