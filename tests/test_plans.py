@@ -58,4 +58,14 @@ def test_latest_price_does_not_read_ids(spark):
 
 def test_newest_versions_are_found_by_hash(spark):
     plan = plan_of(spark, "upsert_latest_version")
-    assert "SortAggregate" not in plan and "partial_max_by" in plan
+    assert "SortAggregate" not in plan and "max_by" in plan
+    assert plan.count("Exchange") == 2
+
+
+def test_single_trends_compute_nothing_else(spark):
+    plan = plan_of(spark, "trade_count_trend")
+    assert "get_json_object" not in plan and "avg" not in plan
+
+
+def test_messages_are_parsed_once(spark):
+    assert plan_of(spark, "envelope_encode").count("from_json") == 1

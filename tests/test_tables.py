@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import clock
+from tidemark.operators.ticks import with_event_time
+from tidemark.operators.windows import window_stats
 from tidemark.plans import dashboard
 from tidemark.sources import files, kafka, tables
 from tidemark.streaming import jobs, sinks
@@ -76,6 +78,25 @@ def test_batch_and_stream_give_the_same_stable_ids(spark, feed, folder):
     assert stored.distinct().count() == 120
 
 
+def test_backfill_and_the_stream_after_it(spark, feed, folder):
+    trades = sinks.trades_table(folder("trades"))
+    stats = sinks.aggregations_table(folder("stats"))
+    batch = jobs.ticks_of(files.read_messages(spark, feed))
+    for _ in range(2):
+        jobs.backfill(batch, trades, stats)
+    assert tables.read_trades(spark, trades.path).count() == 120
+    want = window_stats(with_event_time(batch))
+    stored = tables.read_aggregations(spark, stats.path)
+    assert stored.exceptAll(want).count() == want.exceptAll(stored).count() == 0
+
+    lines(folder, "feed/c.txt", ['{"data":[{"p":1,"s":"A","t":%d,"v":1}]}' % B])
+    ticks = jobs.ticks_of(files.stream_messages(spark, folder("feed") + "/c.txt*"))
+    jobs.start_stats_upsert(ticks, stats, folder("ck"), trigger=ONCE).awaitTermination()
+    first = tables.read_aggregations(spark, stats.path).orderBy("window_start", "symbol").first()
+    assert (first.avg_price, first.trade_count) == (1.0, 1)
+    assert tables.read_aggregations(spark, stats.path).count() == want.count()
+
+
 def test_creating_tables_twice_and_reading_them_with_sql(spark, feed, folder):
     namespace = f"market_{uuid.uuid4().hex[:8]}"
     for _ in range(2):

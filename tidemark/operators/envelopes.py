@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 
+# The symbols a feed is subscribed to unless told otherwise.
+FEED_SYMBOLS = ("AAPL", "AMZN", "BINANCE:BTCUSDT", "IC MARKETS:1")
+
 _CORRUPT = "_corrupt_record"
 
 
@@ -71,5 +74,5 @@ def encode_envelopes(
     return df.select(*keep, F.to_json(envelope).alias("value"))
 
 
-def allow_symbols(ticks: DataFrame, symbols: Iterable[str]) -> DataFrame:
+def allow_symbols(ticks: DataFrame, symbols: Iterable[str] = FEED_SYMBOLS) -> DataFrame:
     return ticks.where(F.col("symbol").isin(list(symbols)))

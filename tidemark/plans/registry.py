@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions import clock, ids
+from tidemark.functions import clock
 from tidemark.operators import envelopes, ticks as tick_ops
 from tidemark.operators.upserts import latest_version
-from tidemark.operators.windows import LATENESS, WINDOW_SIZE
+from tidemark.operators.windows import WINDOW_SIZE
 from tidemark.plans import dashboard
 from tidemark.session import pin_utc, scratch_dir
 from tidemark.sources import samples, tables
@@ -157,21 +157,26 @@ def upsert_latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = samples.lineitem(spark, sf_dir)
     day = F.window(F.col("l_shipdate").cast("timestamp"), "1 day").alias("day")
     price = F.col("l_extendedprice").cast("decimal(18,2)")
-    per_batch = rows.groupBy(
-        day, F.col("l_returnflag").alias("symbol"), F.col("l_linenumber").alias("batch")
-    ).agg(F.sum(price).alias("total"), F.count("*").alias("n"))
+    per_batch = (
+        rows.groupBy(day, F.col("l_returnflag").alias("symbol"), "l_linenumber")
+        .agg(F.sum(price).alias("total"), F.count("*").alias("n"))
+        .select("day.start", "day.end", "symbol", "l_linenumber", "total", "n")
+        .withColumnsRenamed({"start": "window_start", "end": "window_end"})
+    )
+    # Partitioned by the table's key, so that finding the newest version needs no shuffle.
     so_far = (
-        Window.partitionBy("day", "symbol")
-        .orderBy("batch")
+        Window.partitionBy("window_start", "symbol")
+        .orderBy("l_linenumber")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    total, n = F.sum("total").over(so_far), F.sum("n").over(so_far)
     log = per_batch.select(
-        F.col("day.start").alias("window_start"),
-        F.col("day.end").alias("window_end"),
+        "window_start",
+        "window_end",
         "symbol",
-        (F.sum("total").over(so_far).cast("double") / F.sum("n").over(so_far)).alias("avg_price"),
-        F.sum("n").over(so_far).alias("trade_count"),
-        F.col("batch").cast("bigint").alias(schemas.BATCH_ID),
+        (total.cast("double") / n).alias("avg_price"),
+        n.alias("trade_count"),
+        F.col("l_linenumber").cast("bigint").alias(schemas.BATCH_ID),
     )
     return _comparable(latest_version(log, schemas.TRADE_AGGREGATIONS_KEY, schemas.BATCH_ID))
 

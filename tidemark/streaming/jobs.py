@@ -23,6 +23,9 @@ from tidemark.streaming.sinks import Table
 # Files that one micro-batch of stats may add to one day.
 FILES_PER_DAY = 4
 
+# Batch number of backfills; streams count from 0.
+BACKFILL = -1
+
 TICK_IDENTITY = ("message_id", "position", "symbol", "price", "volume", "timestamp")
 
 
@@ -99,6 +102,18 @@ def start_stats_append(
     return sinks.start_batches(stats, table, checkpoint, "append", **settings)
 
 
+def backfill(ticks: DataFrame, trades: Table, stats: Table, size: str = WINDOW_SIZE) -> None:
+    """Write both tables from a batch of ticks, all windows included.
+
+    Stored as a batch older than any of a stream: where a stream has stats of the same
+    window and symbol, they count. Running it again replaces what it wrote.
+    """
+    rows = tick_ops.with_batch_stamp(tick_ops.raw_rows_exact(ticks, tick_id()))
+    sinks.batch_writer(trades)(rows, BACKFILL)
+    result = window_stats(tick_ops.with_event_time(ticks), size)
+    sinks.batch_writer(stats, FILES_PER_DAY)(result, BACKFILL)
+
+
 def run_until_any_ends(spark: SparkSession, *queries: StreamingQuery) -> None:
     """Block until one of the queries ends, then stop the others; a failure is raised."""
     spark.streams.resetTerminated()  # forget queries of the session that ended earlier
