@@ -74,9 +74,8 @@ def batch_writer(
     that is replayed after a failure replaces what it wrote before. Failures are raised:
     the stream stops and resumes from its checkpoint with no rows lost.
 
-    ``files_per_period`` shuffles the rows so that each period of a batch gets at most that
-    many files. Streams with state run without adaptive execution, which would otherwise
-    even them out; unset, every task writes a file for every period it has rows of.
+    ``files_per_period`` shuffles the rows once more for fewer files (``_evened``); unset,
+    every task writes a file for every period it has rows of.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -88,8 +87,7 @@ def batch_writer(
             schemas.BATCH_ID, F.lit(batch_id).cast("bigint")
         )
         if files_per_period is not None:
-            slot = F.pmod(F.xxhash64(*table.keys), F.lit(files_per_period))
-            rows = rows.repartition(table.period, slot)
+            rows = _evened(rows, table, files_per_period)
         (
             rows.write.format(table.format)
             .options(**table.options)
@@ -102,6 +100,18 @@ def batch_writer(
     return write
 
 
+def _evened(rows: DataFrame, table: Table, files_per_period: int) -> DataFrame:
+    """Rows of a period together, in files of Spark's advisory size or in a fixed number.
+
+    Adaptive execution merges small and splits large periods by their real size. Streams with
+    state run without it, and ignore the hint: there each period gets a number of slots.
+    """
+    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return rows.hint("rebalance", table.period)
+    slot = F.pmod(F.xxhash64(*table.keys), F.lit(files_per_period))
+    return rows.repartition(table.period, slot)
+
+
 def start_batches(
     rows: DataFrame,
     table: Table,
