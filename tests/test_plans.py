@@ -9,7 +9,7 @@ STREAMS = {"raw_trades_v1", "raw_trades_v2", "window_stats_append", "window_stat
 BATCH = sorted(set(registry.queries()) - STREAMS)
 ROW_WISE = {
     "envelope_parse", "envelope_parse_multi", "envelope_encode", "symbol_allow_list",
-    "event_time", "trade_timestamp_v2", "stable_trade_id", "clock_label",
+    "envelope_heartbeats", "event_time", "trade_timestamp_v2", "stable_trade_id", "clock_label",
 }
 
 

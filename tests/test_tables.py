@@ -1,5 +1,6 @@
 """Table creation, pruned scans and the whole way from messages to dashboard figures."""
 
+import os
 import uuid
 from datetime import datetime, timedelta, timezone
 
@@ -27,8 +28,6 @@ def lines(folder, name, texts):
 
 @pytest.fixture
 def feed(folder):
-    import os
-
     os.makedirs(folder("feed"))
     trade = '{"p":%s,"s":"%s","t":%d,"v":%s}'
     texts = [
@@ -101,19 +100,29 @@ def test_creating_tables_twice_and_reading_them_with_sql(spark, feed, folder):
     namespace = f"market_{uuid.uuid4().hex[:8]}"
     for _ in range(2):
         tables.create_tables(spark, namespace, folder("db"))
-    empty = spark.table(f"{namespace}.trades")
-    assert not dashboard.has_rows(empty)
-    assert set(schemas.TRADES.names) < set(empty.columns)
-
-    ticks = jobs.ticks_of(files.stream_messages(spark, feed))
+    for name, columns in (
+        ("trades", schemas.TRADES), ("trade_aggregations", schemas.TRADE_AGGREGATIONS)
+    ):
+        empty = spark.table(f"{namespace}.{name}")
+        assert not dashboard.has_rows(empty)
+        assert [(c.name, c.dataType) for c in empty.schema] == [
+            (c.name, c.dataType) for c in columns
+        ]
+
+    lines(folder, "feed/c.txt", ['{"data":[{"p":1,"t":%d,"v":1}]}' % B])  # no symbol
+    os.utime(folder("feed/c.txt"), (1, 1))
+    ticks = jobs.ticks_of(files.stream_messages(spark, feed, maxFilesPerTrigger="1"))
     trades = sinks.trades_table(folder("db") + "/trades")
     stats = sinks.aggregations_table(folder("db") + "/trade_aggregations")
     jobs.start_raw_batches(ticks, trades, folder("ck1"), trigger=ONCE).awaitTermination()
     jobs.start_stats_upsert(ticks, stats, folder("ck2"), trigger=ONCE).awaitTermination()
     tables.refresh_tables(spark, namespace)
-    assert spark.sql(f"SELECT count(*) FROM {namespace}.trades").first()[0] == 120
-    peek = spark.sql(f"SELECT * FROM {namespace}.trade_aggregations LIMIT 10")
-    assert peek.count() == 10
+    assert spark.sql(f"SELECT count(*) FROM {namespace}.trades").first()[0] == 121
+    shown = spark.sql(f"SELECT * FROM {namespace}.trade_aggregations")
+    read = tables.read_aggregations(spark, stats.path)
+    assert shown.exceptAll(read).count() == read.exceptAll(shown).count() == 0
+    assert shown.agg(F.sum("trade_count")).first()[0] == 120
+    assert spark.sql(f"SELECT * FROM {namespace}.trade_aggregations LIMIT 10").count() == 10
     spark.sql(f"DROP SCHEMA {namespace} CASCADE")
 
 

@@ -65,6 +65,10 @@ FROM lineitem
 UNION ALL
 SELECT l_orderkey, 1, l_linestatus, l_discount, l_quantity, epoch_us(l_shipdate) // 1000
 FROM lineitem
+""",
+    "envelope_heartbeats": f"""
+SELECT event_id, event_type AS symbol, value AS price, {_VOLUME} AS volume, {_MS} AS timestamp
+FROM events WHERE event_type IS DISTINCT FROM 'error'
 """,
     "envelope_encode": """
 SELECT event_id, 1 AS tick_count, event_type AS first_symbol, 'trade' AS message_type

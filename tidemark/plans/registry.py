@@ -7,7 +7,7 @@ rounded because the order in which doubles are added up is free.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -81,6 +81,17 @@ def envelope_parse_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelopes.parse_envelopes(messages, keep=["l_orderkey"], with_position=True)
 
 
+@_query
+def envelope_heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed in which the messages of one event type are heartbeats without trades."""
+    messages = _event_messages(spark, sf_dir, keep=["event_id", "symbol"])
+    quiet = F.col("symbol") == NO_SYMBOL
+    feed = messages.withColumn(
+        "value", F.when(quiet, F.lit('{"type":"ping"}')).otherwise(F.col("value"))
+    )
+    return envelopes.parse_envelopes(feed.drop("symbol"), keep=["event_id"])
+
+
 @_query
 def envelope_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = _event_messages(spark, sf_dir)
@@ -290,11 +301,13 @@ def aggregations_peek(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(tables.peek(stats, "window_start", "symbol"))
 
 
-def _event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_messages(
+    spark: SparkSession, sf_dir: str, keep: Sequence[str] = ("event_id",)
+) -> DataFrame:
     ticks = samples.event_ticks(samples.events(spark, sf_dir))
     tick = envelopes.tick_struct(*[F.col(c) for c in schemas.TICKS.names])
     return envelopes.encode_envelopes(
-        ticks.withColumnRenamed("message_id", "event_id"), [tick], keep=["event_id"]
+        ticks.withColumnRenamed("message_id", "event_id"), [tick], keep
     )
 
 

@@ -18,7 +18,11 @@ _MAX_LISTED_PERIODS = 1000
 
 
 def create_tables(spark: SparkSession, namespace: str, location: str | None = None) -> None:
-    """Create the namespace and both tables where they do not exist yet."""
+    """Create the namespace, the stored tables and views of them where they do not exist yet.
+
+    ``trades_log`` and ``trade_aggregations_log`` are the folders jobs write to, ``trades`` and
+    ``trade_aggregations`` show their accepted rows, stats in their newest version.
+    """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}")
     for name, columns, period in (
         ("trades", schemas.STORED_TRADES, schemas.TRADES_PERIOD),
@@ -28,9 +32,25 @@ def create_tables(spark: SparkSession, namespace: str, location: str | None = No
         partitions = f"{schemas.REJECTED}, {period}, {schemas.BATCH_ID}"
         place = f"LOCATION '{location.rstrip('/')}/{name}'" if location else ""
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {namespace}.{name} ({listed}) "
+            f"CREATE TABLE IF NOT EXISTS {namespace}.{name}_log ({listed}) "
             f"USING parquet PARTITIONED BY ({partitions}) {place}"
         )
+    spark.sql(
+        f"CREATE VIEW IF NOT EXISTS {namespace}.trades AS "
+        f"SELECT {', '.join(schemas.TRADES.names)} "
+        f"FROM {namespace}.trades_log WHERE NOT {schemas.REJECTED}"
+    )
+    newest = [
+        name
+        if name in schemas.TRADE_AGGREGATIONS_KEY
+        else f"max_by({name}, {schemas.BATCH_ID}) AS {name}"
+        for name in schemas.TRADE_AGGREGATIONS.names
+    ]
+    spark.sql(
+        f"CREATE VIEW IF NOT EXISTS {namespace}.trade_aggregations AS SELECT {', '.join(newest)} "
+        f"FROM {namespace}.trade_aggregations_log WHERE NOT {schemas.REJECTED} "
+        f"GROUP BY {', '.join(schemas.TRADE_AGGREGATIONS_KEY)}"
+    )
 
 
 def read_trades(
@@ -132,7 +152,7 @@ def peek(table: DataFrame, *order: str, rows: int = 10) -> DataFrame:
 
 
 def refresh_tables(spark: SparkSession, namespace: str) -> None:
-    """Make files written by path visible to SQL; needed once after a job has written."""
-    for name in ("trades", "trade_aggregations"):
-        spark.sql(f"ALTER TABLE {namespace}.{name} RECOVER PARTITIONS")
-        spark.catalog.refreshTable(f"{namespace}.{name}")
+    """Make files written by path visible to SQL; needed after a job has written."""
+    for log in ("trades_log", "trade_aggregations_log"):
+        spark.sql(f"ALTER TABLE {namespace}.{log} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(f"{namespace}.{log}")
