@@ -82,8 +82,10 @@ def test_backfill_and_the_stream_after_it(spark, feed, folder):
     stats = sinks.aggregations_table(folder("stats"))
     batch = jobs.ticks_of(files.read_messages(spark, feed))
     for _ in range(2):
-        jobs.backfill(batch, trades, stats)
-    assert tables.read_trades(spark, trades.path).count() == 120
+        jobs.backfill(batch, trades, stats, stamp=datetime(2024, 5, 2))
+    stored = tables.read_trades(spark, trades.path)
+    assert stored.count() == 120
+    assert stored.where("ingestion_time = timestamp'2024-05-02 00:00:00'").count() == 120
     want = window_stats(with_event_time(batch))
     stored = tables.read_aggregations(spark, stats.path)
     assert stored.exceptAll(want).count() == want.exceptAll(stored).count() == 0

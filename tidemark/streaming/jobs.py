@@ -7,11 +7,13 @@ as running values that overwrite each other by key, with trades of any lateness
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions import ids
+from tidemark.functions import clock, ids
 from tidemark.operators import ticks as tick_ops
 from tidemark.operators.envelopes import parse_envelopes
 from tidemark.operators.windows import LATENESS, WINDOW_SIZE, window_stats
@@ -102,13 +104,17 @@ def start_stats_append(
     return sinks.start_batches(stats, table, checkpoint, "append", **settings)
 
 
-def backfill(ticks: DataFrame, trades: Table, stats: Table, size: str = WINDOW_SIZE) -> None:
+def backfill(
+    ticks: DataFrame, trades: Table, stats: Table, stamp: datetime, size: str = WINDOW_SIZE
+) -> None:
     """Write both tables from a batch of ticks, all windows included.
 
-    Stored as a batch older than any of a stream: where a stream has stats of the same
-    window and symbol, they count. Running it again replaces what it wrote.
+    ``stamp`` is the ingestion time of all rows; running again with the same stamp replaces
+    what was written. Stored as a batch older than any of a stream: where a stream has stats
+    of the same window and symbol, those count.
     """
-    rows = tick_ops.with_batch_stamp(tick_ops.raw_rows_exact(ticks, tick_id()))
+    rows = tick_ops.raw_rows_exact(ticks, tick_id())
+    rows = rows.withColumn("ingestion_time", clock.instant(stamp))
     sinks.batch_writer(trades)(rows, BACKFILL)
     result = window_stats(tick_ops.with_event_time(ticks), size)
     sinks.batch_writer(stats, FILES_PER_DAY)(result, BACKFILL)
