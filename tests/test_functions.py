@@ -2,6 +2,7 @@ import random
 import struct
 from datetime import datetime, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import clock, ids, labels
@@ -39,11 +40,21 @@ def test_instant_does_not_depend_on_zones(spark):
     assert row[1] == 1704153600000000
 
 
-def test_partition_keys_agree_between_spark_and_python(spark):
-    moment = datetime(2024, 2, 3, 4, 59, 59, 999999)
-    for pattern, text in ((clock.HOURLY, "2024-02-03-04"), (clock.DAILY, "2024-02-03")):
-        row = spark.range(1).select(clock.partition_key(clock.instant(moment), pattern)).first()
-        assert row[0] == clock.partition_key_of(moment, pattern) == text
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/New_York"])
+def test_partition_keys_agree_between_spark_and_python(spark, zone):
+    moments = [
+        datetime(2024, 2, 3, 4, 59, 59, 999999), datetime(2024, 3, 10, 7, 30),
+        datetime(2024, 11, 3, 5, 30), datetime(1969, 12, 31, 23, 59, 59), datetime(2024, 2, 29),
+    ]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for moment in moments:
+            for pattern, strftime in ((clock.HOURLY, "%Y-%m-%d-%H"), (clock.DAILY, "%Y-%m-%d")):
+                key = clock.partition_key(clock.instant(moment), pattern)
+                made = spark.range(1).select(key).first()[0]
+                assert made == clock.partition_key_of(moment, pattern) == moment.strftime(strftime)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_stable_id_keeps_nulls_apart(spark):

@@ -151,6 +151,19 @@ def test_append_table_and_restart(spark, feed, folder):
     assert {r[:2] for r in first_close} == {w[:2] for w in want}
 
 
+def test_files_per_day_bounds_the_files_of_a_batch(spark, feed, folder):
+    days = range(3)
+    ticks = [(s, 1, B + day * 86_400_000 + 5000 * i) for day in days for i, s in enumerate("ABCDEF")]
+    feed.add(message(*ticks))
+    table = sinks.aggregations_table(folder("stats"))
+    jobs.start_stats_upsert(
+        feed.ticks(spark), table, folder("ck"), trigger=ONCE, files_per_day=1
+    ).awaitTermination()
+    stored = tables.read_aggregations(spark, table.path, versioned=False)
+    assert stored.count() == len(ticks)
+    assert len(stored.inputFiles()) == len(days)
+
+
 def test_null_symbols_are_kept_apart_from_the_table(spark, feed, folder):
     feed.add('{"data":[{"p":1,"t":%d,"v":1},{"s":"A","p":2,"t":%d,"v":1}]}' % (B, B))
     table = sinks.aggregations_table(folder("stats"))

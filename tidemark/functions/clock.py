@@ -50,8 +50,14 @@ def lookback_start(now: datetime, minutes: float) -> datetime:
 
 
 def partition_key(ts: Column, pattern: str) -> Column:
-    """Partition value of a time; sorts as text in time order."""
-    return F.date_format(ts, pattern)
+    """Partition value of a time, in UTC whatever the session's zone; sorts in time order."""
+    seconds = F.unix_seconds(ts)
+    days = F.floor(seconds / F.lit(86400)).cast("int")
+    day = F.date_from_unix_date(days).cast("string")
+    if pattern == DAILY:
+        return day
+    hour = F.floor(F.pmod(seconds, F.lit(86400)) / F.lit(3600)).cast("string")
+    return F.concat(day, F.lit("-"), F.lpad(hour, 2, "0"))
 
 
 def partition_key_of(moment: datetime, pattern: str) -> str:

@@ -137,6 +137,7 @@ def _accepted(
 def _folders(
     spark: SparkSession, path: str, schema: T.StructType, period: str, periods: list[str]
 ) -> DataFrame:
+    """Only the named folders; a period without a folder has no rows."""
     wanted = f"{path}/{schemas.REJECTED}=false/{period}={{{','.join(periods)}}}"
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(wanted)

@@ -17,7 +17,7 @@ from tidemark.functions import clock, ids
 from tidemark.operators import ticks as tick_ops
 from tidemark.operators.envelopes import parse_envelopes
 from tidemark.operators.windows import LATENESS, WINDOW_SIZE, window_stats
-from tidemark.session import keep_state_off_heap
+from tidemark.session import keep_state_off_heap, pin_utc
 from tidemark.streaming import sinks
 from tidemark.streaming.metrics import count_rows
 from tidemark.streaming.sinks import Table
@@ -58,6 +58,7 @@ def start_raw_append(
     ticks: DataFrame, table: Table, checkpoint: str, **settings
 ) -> StreamingQuery:
     """Trade rows with event time in whole seconds and the event time as id."""
+    pin_utc(ticks.sparkSession)  # the id is a time as text
     rows = tick_ops.with_batch_stamp(tick_ops.raw_rows_by_event_time(ticks))
     return sinks.start_append(count_rows(rows), table, checkpoint, **settings)
 

@@ -13,15 +13,13 @@ from tidemark import schemas
 from tidemark.functions import clock
 from tidemark.operators.ticks import keys_present
 
-FILE_FORMATS = ("parquet", "orc", "json", "csv")
-
-
 @dataclass(frozen=True)
 class Table:
-    """Where a stream writes: a folder of files, or any store Spark has a connector for.
+    """Where a stream writes: a folder of Parquet, or any store Spark has a connector for.
 
     Connectors take their settings (namespace, table, hosts) in ``options`` and do the keyed
-    overwrite themselves.
+    overwrite themselves. They get every row: a store that refuses rows without a key needs
+    ``split_null_keys`` before it.
     """
 
     path: str | None
@@ -34,7 +32,7 @@ class Table:
 
     @property
     def on_files(self) -> bool:
-        return self.format in FILE_FORMATS
+        return self.format == "parquet"
 
     def partitioned(self, rows: DataFrame) -> DataFrame:
         period = clock.partition_key(F.col(self.time), self.pattern)
