@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
+from tidemark.plans import oracles, registry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -30,10 +31,10 @@ def canonical(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry.queries()) == set(oracles.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_sql(spark, duck, name):
     ours = canonical(contract.queries()[name](spark, SF_DIR).toPandas())
     theirs = canonical(duck.sql(contract.oracle_sql()[name]).df())
