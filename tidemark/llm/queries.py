@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import token_files
+from tidemark.llm import simhash, token_files
 from tidemark.llm.common import table
 from tidemark.session import pin_utc, scratch_dir
 
@@ -35,3 +36,13 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer, end_id=2)
     return token_files.read_token_files(spark, path)
+
+
+@_query
+def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, max_distance=4)
+    return groups.select(
+        F.col("id").alias("doc_id"),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
