@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash, token_files
+from tidemark.llm import line_dedup, shards, simhash, token_files
 from tidemark.llm.common import table
 from tidemark.session import pin_utc, scratch_dir
 
@@ -38,6 +38,88 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
+@_query
+def op4_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = shards.byte_shards(table(spark, sf_dir, "documents"), 40, overhead=16)
+    return sharded.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+# The CRC-32 is that of the reflected polynomial EDB88320, its table being made by rule.
+ORACLES["op4_byte_shards"] = """
+WITH crc_table AS (
+  SELECT list(entry ORDER BY i) AS entries
+  FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+                              lambda c, k: xor(c // 2, (c % 2) * 3988292384)) AS entry
+        FROM (SELECT unnest(range(256)) AS i))
+),
+texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+codes AS (
+  SELECT doc_id, strlen(text) + 16 AS size,
+         list_transform(range(strlen(text)),
+                        lambda i: ('0x' || substr(hex(text), 2 * i + 1, 2))::BIGINT) AS bytes
+  FROM texts
+),
+rows_ AS (
+  SELECT doc_id, size,
+         xor(list_reduce(list_prepend(4294967295, bytes),
+                         lambda c, b: xor(c // 256, entries[xor(c % 256, b) + 1])), 4294967295) AS text_crc32
+  FROM codes, crc_table
+),
+placed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id, text_crc32, size ROWS UNBOUNDED PRECEDING) - size AS first_byte,
+         sum(size) OVER () AS total,
+         row_number() OVER (ORDER BY doc_id, text_crc32, size) AS rank
+  FROM rows_
+),
+sharded AS (
+  SELECT *, least(39, (2 * first_byte + size) * 40 // (2 * total))::INTEGER AS shard FROM placed
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+       (rank - min(rank) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM sharded
+"""
+
+
+@_query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+ORACLES["op7_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+),
+firsts AS (
+  SELECT key, min(doc_id) AS first_id FROM keyed WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT doc_id) > 1
+),
+marked AS (
+  SELECT doc_id, line, pos, first_id IS NOT NULL AND doc_id > first_id AS gone
+  FROM keyed LEFT JOIN firsts USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 @_query
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, max_distance=4)
