@@ -2,18 +2,27 @@
 
 Both supported pre-tokenizers never join characters across a single space that stands between
 two characters that are not white space: such a space ends one token and may only start the
-next. So a text is cut there, and the ids of a piece are kept for the next time it comes.
+next. So a text is cut there into pieces. A piece that is new, but made of Latin letters and
+plain ASCII only, is cut again between letters and other characters, where they do not join
+characters either. Ids of pieces and of their parts are kept for the next time they come.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Sequence
 
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
-KEPT_PIECES = 300_000
-KEPT_PIECE_CHARS = 48
+# No quote, as it joins the letters after it, no white space but single line feeds, and no
+# dotted capital I, whose lower case is more than a letter.
+_LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+_PLAIN = r"0-9!-&(-/:-@\[-`{-~"
+_PARTS = re.compile(rf"[{_LATIN}]+|[^{_LATIN}]+")
+_SIMPLE = re.compile(rf"(?:[{_LATIN}{_PLAIN}]|\n(?!\n))+")
+KEPT = 400_000
+KEPT_CHARS = 48
 _encoders: dict[tuple, PieceEncoder] = {}
 
 
@@ -28,10 +37,12 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = f"<u{width}"
         if self.tokenizer.get_vocab_size() > 256**width:
             raise ValueError(f"ids of {path} need more than {width} bytes")
-        self.after_space: dict[str, bytes] = {}
+        self.code = {2: "H", 4: "I"}[width]
+        self.special = [each.content for each in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces: dict[str, bytes] = {}  # of pieces after a space
+        self.parts: dict[str, bytes] = {}
 
     @classmethod
     def shared(cls, path: str, width: int = 2) -> PieceEncoder:
@@ -45,32 +56,50 @@ class PieceEncoder:
 
     def _text(self, text: str) -> bytes:
         first, *rest = text.split(" ")
-        ids = list(map(self.after_space.get, rest))
+        ids = list(map(self.pieces.get, rest))
         # Pieces that are empty or have white space at an end are never remembered, so a text
         # that holds one always comes here.
-        if None in ids or not first or first[-1].isspace():
-            if not first or first[-1].isspace() or any(map(_unsafe, rest)):
+        if None in ids or _open_end(first):
+            new = [at for at, found in enumerate(ids) if found is None]
+            if _open_end(first) or any(_unsafe(rest[at]) for at in new):
                 first, *rest = _BREAK.split(text)
-            ids = self._after_space(rest)
+                ids = list(map(self.pieces.get, rest))
+                new = [at for at, found in enumerate(ids) if found is None]
+            for at, value in zip(new, self._new([rest[at] for at in new]), strict=True):
+                ids[at] = value
         return b"".join([*self._raw([first]), *ids])
 
-    def _after_space(self, pieces: list[str]) -> list[bytes]:
-        known = self.after_space
-        new = list({piece for piece in pieces if piece not in known})
-        fresh = dict(zip(new, self._raw([" " + piece for piece in new]), strict=True))
-        ids = [fresh[piece] if piece in fresh else known[piece] for piece in pieces]
-        for piece, value in fresh.items():
-            if len(known) >= KEPT_PIECES:
-                break
-            if len(piece) <= KEPT_PIECE_CHARS and not _unsafe(piece):
-                known[piece] = value
-        return ids
+    def _new(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces after a space, by way of their parts."""
+        cut = [self._parts(piece) for piece in pieces]
+        unknown = list({part for parts in cut for part in parts if part not in self.parts})
+        fresh = dict(zip(unknown, self._raw(unknown), strict=True))
+        known = self.parts
+        found = [
+            b"".join([fresh[part] if part in fresh else known[part] for part in parts])
+            for parts in cut
+        ]
+        if len(known) < KEPT:
+            known.update((part, ids) for part, ids in fresh.items() if len(part) <= KEPT_CHARS + 1)
+        for piece, value in zip(pieces, found, strict=True):
+            if len(self.pieces) < KEPT and len(piece) <= KEPT_CHARS and not _unsafe(piece):
+                self.pieces[piece] = value
+        return found
+
+    def _parts(self, piece: str) -> list[str]:
+        simple = _SIMPLE.fullmatch(piece) and not any(each in piece for each in self.special)
+        if not simple or len(piece) > KEPT_CHARS:
+            return [" " + piece]
+        first, *rest = _PARTS.findall(piece)
+        return [" " + first, *rest]
 
     def _raw(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(each.ids, dtype=self.dtype).tobytes() for each in found]
+        return [array(self.code, each.ids).tobytes() for each in found]
+
+
+def _open_end(first: str) -> bool:
+    return not first or first[-1].isspace()
 
 
 def _unsafe(piece: str) -> bool:
