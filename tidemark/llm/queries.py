@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, shards, simhash, token_files
+from tidemark.llm import line_dedup, packing, shards, simhash, token_files
 from tidemark.llm.common import table
 from tidemark.session import pin_utc, scratch_dir
 
@@ -88,6 +88,21 @@ FROM sharded
 """
 
 
+@_query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer, end_id=1)
+    return pieces.select(
+        F.col("id").alias("doc_id"),
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 @_query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
