@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, packing, shards, simhash, token_files
+from tidemark.llm import line_dedup, packing, shards, simhash, token_files, vector_search
 from tidemark.llm.common import table
 from tidemark.session import pin_utc, scratch_dir
 
@@ -135,6 +135,12 @@ FROM marked GROUP BY doc_id
 """
 
 
+@_query
+def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_search.nearest(vectors, F.col("id") % 100 == 0, k=10)
+
+
 @_query
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, max_distance=4)
