@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, packing, shards, simhash, token_files, vector_search
+from tidemark.llm import decontaminate, line_dedup, packing, shards, simhash, token_files, vector_search
 from tidemark.llm.common import table
 from tidemark.session import pin_utc, scratch_dir
 
@@ -103,6 +103,65 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a passage of a benchmark item, one row per document and item."""
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("row_id").alias("doc_id"), "item_id", "doc_start", "item_start", "n_words", "n_matched"
+    )
+
+
+_AHEAD = ", ".join(
+    f"lead(word, {at}) OVER (PARTITION BY kind, id ORDER BY pos) AS w{at}"
+    for at in range(1, decontaminate.SPAN)
+)
+_SEEDS = ", ".join(
+    "concat_ws(' ', "
+    + ", ".join([str(number), *(f"w{at}" for at, chosen in enumerate(mask) if chosen == "1")])
+    + ")"
+    for number, mask in enumerate(decontaminate.MASKS)
+)
+ORACLES["op6_benchmark_leaks"] = f"""
+WITH split_texts AS (
+  SELECT 'd' AS kind, doc_id AS id, lower(coalesce(text, '')) AS text FROM documents
+  UNION ALL SELECT 'i', item_id, lower(coalesce(text, '')) FROM benchmark
+),
+texts AS (
+  SELECT kind, id, list_filter(regexp_split_to_array(text, '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS words
+  FROM split_texts
+),
+words AS (SELECT kind, id, unnest(words) AS word, unnest(range(len(words))) AS pos FROM texts),
+ahead AS (SELECT kind, id, pos, word AS w0, {_AHEAD} FROM words),
+windows AS (
+  SELECT kind, id, pos, unnest([{_SEEDS}]) AS seed
+  FROM ahead WHERE w{decontaminate.SPAN - 1} IS NOT NULL
+),
+pairs AS (
+  SELECT d.id AS doc_id, i.id AS item_id, d.pos - i.pos AS shift,
+         min(i.pos) AS first, max(i.pos) + {decontaminate.SPAN} AS last
+  FROM windows d JOIN windows i ON d.kind = 'd' AND i.kind = 'i' AND d.seed = i.seed
+  GROUP BY ALL
+),
+counted AS (
+  SELECT doc_id, item_id, shift, first, last, count(*) AS size,
+         count(*) FILTER (WHERE d.word = i.word) AS n_matched,
+         count(*) FILTER (WHERE d.word = i.word AND i.pos >= first AND i.pos < last) AS near
+  FROM pairs JOIN words i ON i.kind = 'i' AND i.id = item_id
+  LEFT JOIN words d ON d.kind = 'd' AND d.id = doc_id AND d.pos = i.pos + shift
+  GROUP BY ALL
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id
+                               ORDER BY n_matched DESC, last - first DESC, first + shift, first) AS place
+  FROM counted WHERE near >= (last - first) * 0.8 AND n_matched >= least(13, ceil(size * 0.8))
+)
+SELECT doc_id, item_id, (first + shift)::INTEGER AS doc_start, first::INTEGER AS item_start,
+       (last - first)::INTEGER AS n_words, n_matched::INTEGER AS n_matched
+FROM ranked WHERE place = 1
+"""
+
+
 @_query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
