@@ -43,3 +43,17 @@ def durable(frame: DataFrame) -> DataFrame:
 def partitions_for(total: int, per_partition: int, least: int = 1) -> int:
     """How many partitions hold ``total`` units of about ``per_partition`` each."""
     return max(least, -(-int(total) // int(per_partition)))
+
+
+def id_remainder(id_column: str, modulus: int) -> Column:
+    """CRC-32 of the id as text, modulo ``modulus``; -1 for a null id."""
+    crc = F.crc32(F.col(id_column).cast("string").cast("binary"))
+    return F.coalesce(crc % modulus, F.lit(-1))
+
+
+def about(frame: DataFrame, rows: int, salt: str) -> DataFrame:
+    """About ``rows`` rows of ``frame`` (id, ...), or all if there are fewer, chosen by a hash of
+    the id. At most one and a half times as many."""
+    share = max(1, -(-frame.count() // rows))
+    chosen = F.pmod(F.xxhash64(F.lit(salt), F.col("id")), F.lit(share)) == 0
+    return frame.where(chosen).limit(rows + rows // 2)

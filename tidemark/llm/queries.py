@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, packing, shards, simhash, token_files, vector_search
-from tidemark.llm.common import table
+from tidemark.llm import decontaminate, html_extract, line_dedup, packing, quality, shards, simhash, token_files, vector_search
+from tidemark.llm.common import id_remainder, table
 from tidemark.session import pin_utc, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,30 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
+@_query
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    """Learnt from labels of rows outside fold 0 of 5, and from unlabelled texts."""
+    good = table(spark, sf_dir, "labels").where("quality = 1").where(id_remainder("doc_id", 5) > 0)
+    model, _ = quality.train(docs, good.select(F.col("doc_id").alias("id")))
+    return model
+
+
+@_query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_model(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id",
+        (id_remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @_query
 def op4_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = shards.byte_shards(table(spark, sf_dir, "documents"), 40, overhead=16)
