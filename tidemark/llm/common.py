@@ -9,6 +9,8 @@ from tidemark.session import scratch_dir
 
 # White space between words and at the ends of lines: space, and tab to carriage return.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
+# Stands for a missing id where ids are numbers, so that they never become inexact floats.
+NULL_ID = -(2**63)
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -21,6 +23,15 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def id_of(column: str) -> Column:
+    """The id as a 64-bit integer, the smallest of which stands for a missing one."""
+    return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))
+
+
+def id_or_null(column: str) -> Column:
+    return F.nullif(F.col(column), F.lit(NULL_ID)).alias(column)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all other characters as they are."""
     return F.translate(text, _UPPER, _UPPER.lower())

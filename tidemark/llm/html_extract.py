@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_of
+from tidemark.llm.common import id_of, id_or_null, text_of
 
 # Elements by what they mean for the text in them.
 _SKIPPED = frozenset(["script", "style", "noscript", "template", "svg", "iframe", "head", "title", "textarea", "select", "option", "button", "canvas", "object"])
@@ -277,7 +277,7 @@ def extract_text(
 ) -> DataFrame:
     """(page_id, url, text, n_chars) per row of ``pages``."""
     rows = pages.select(
-        F.col(id_column).cast("long").alias("page_id"),
+        id_of(id_column).alias("page_id"),
         F.col(url_column).alias("url"),
         text_of(html_column).alias("page"),
     )
@@ -287,11 +287,12 @@ def extract_text(
             texts = ["\n".join(content_blocks(page)) for page in batch["page"]]
             yield pd.DataFrame(
                 {
-                    "page_id": batch["page_id"].astype("Int64"),
+                    "page_id": batch["page_id"],
                     "url": batch["url"],
                     "text": texts,
                     "n_chars": [len(text) for text in texts],
                 }
             )
 
-    return rows.mapInPandas(extract, "page_id long, url string, text string, n_chars long")
+    texts = rows.mapInPandas(extract, "page_id long, url string, text string, n_chars long")
+    return texts.withColumn("page_id", id_or_null("page_id"))

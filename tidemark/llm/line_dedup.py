@@ -20,9 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_SPACE, lower_ascii, text_of
+from tidemark.llm.common import ASCII_SPACE, id_of, lower_ascii, text_of
 
-_NULL_ID = -(2**63)
 _BUCKET_BITS = 12
 _ROW = ("__row_id", "__row_hash")
 _KEY = ("hash_1", "hash_2")
@@ -36,7 +35,7 @@ def _with_row(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """``docs`` with what tells rows apart, and the text without nulls."""
     return docs.withColumns(
         {
-            "__row_id": F.coalesce(F.col(id_column).cast("long"), F.lit(_NULL_ID)),
+            "__row_id": id_of(id_column),
             "__row_hash": F.xxhash64(text_of(text_column)),
             "__text": text_of(text_column),
         }
@@ -92,10 +91,17 @@ def keep_bitmaps(
 
 
 def drop_repeated_lines(
-    docs: DataFrame, *, least_chars: int = 10, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    *,
+    least_chars: int = 10,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    prefix: str = "",
 ) -> DataFrame:
     """``docs`` with ``kept_text``, ``n_lines`` (before) and ``n_dropped``; no row goes.
 
+    ``prefix`` comes before these three names, for tables that have columns called like them.
+
     The kept text of a row that loses no line is its text, empty if that is null.
     """
     bitmaps = keep_bitmaps(docs, least_chars=least_chars, id_column=id_column, text_column=text_column)
@@ -112,7 +118,7 @@ def drop_repeated_lines(
     kept = F.expr(f"array_join(filter(split(__text, '\\n', -1), {stays}), '\\n')")
     return joined.select(
         *[F.col(f"`{name}`") for name in docs.columns],
-        F.when(F.col("__kept").isNull(), F.col("__text")).otherwise(kept).alias("kept_text"),
-        F.size(F.split("__text", "\n", -1)).cast("long").alias("n_lines"),
-        F.coalesce("__n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col("__kept").isNull(), F.col("__text")).otherwise(kept).alias(f"{prefix}kept_text"),
+        F.size(F.split("__text", "\n", -1)).cast("long").alias(f"{prefix}n_lines"),
+        F.coalesce("__n_dropped", F.lit(0)).cast("long").alias(f"{prefix}n_dropped"),
     )

@@ -24,9 +24,8 @@ import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_of
+from tidemark.llm.common import id_of, id_or_null, text_of
 from tidemark.llm.encoding import PieceEncoder
 
 PIECES = (
@@ -101,7 +100,7 @@ def pack_documents(
 ) -> DataFrame:
     """One row per piece of a document: its ids, as little-endian unsigned 32-bit integers, from
     ``start`` of the document's ``doc_tokens``, and its sequence and offset in there."""
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), text_of(text_column).alias("text"))
+    rows = docs.select(id_of(id_column).alias("id"), text_of(text_column).alias("text"))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = PieceEncoder.shared(tokenizer)
@@ -121,7 +120,7 @@ def pack_documents(
                 next_sequence += 1
             frame = pd.DataFrame(
                 {
-                    "id": pd.array([piece[0] for piece in out], dtype="Int64"),
+                    "id": [piece[0] for piece in out],
                     "start": [piece[1] for piece in out],
                     "length": [len(piece[2]) for piece in out],
                     "ids": [piece[2].astype("<u4").tobytes() for piece in out],
@@ -134,7 +133,7 @@ def pack_documents(
             return frame
 
         for batch in batches:
-            for doc_id, text in zip(batch["id"].astype("Int64"), batch["text"], strict=True):
+            for doc_id, text in zip(batch["id"], batch["text"], strict=True):
                 ids = np.frombuffer(encoder.encode([text])[0] + end, dtype="<u2")
                 tail = len(ids) - len(ids) % capacity
                 for start in range(0, tail, capacity):
@@ -152,4 +151,4 @@ def pack_documents(
         if out or items:
             yield packed()
 
-    return rows.mapInPandas(place, PIECES)
+    return rows.mapInPandas(place, PIECES).withColumn("id", id_or_null("id"))

@@ -24,8 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import about, text_of
 
@@ -211,18 +213,24 @@ def train(
 
 
 def score(
-    docs: DataFrame, model: Model, *, id_column: str = "doc_id", text_column: str = "text", keep: bool = False
+    docs: DataFrame,
+    model: Model,
+    *,
+    text_column: str = "text",
+    keep: list[str] | None = None,
+    score_column: str = "score",
 ) -> DataFrame:
-    """``docs`` (or only their ids, unless ``keep``) with a column ``score``."""
-    rows = docs.withColumn("__text", text_of(text_column))
-    if not keep:
-        rows = rows.select(F.col(id_column), "__text")
-    names = [name for name in rows.columns if name != "__text"]
+    """``docs``, or its columns ``keep``, with a column for the score."""
+    names = docs.columns if keep is None else keep
+    rows = docs.select(*[F.col(f"`{name}`") for name in names], text_of(text_column).alias("__text"))
 
-    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([features(text) for text in batch["__text"]]).reshape(-1, N_FEATURES)
-            yield batch[names].assign(score=sigmoid(model.logits(found)))
-
-    schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in rows.schema if field.name != "__text")
-    return rows.mapInPandas(apply, schema + ", score double")
+            texts = batch.column("__text").to_pylist()
+            found = np.array([features(text) for text in texts]).reshape(-1, N_FEATURES)
+            scores = pa.array(sigmoid(model.logits(found)), pa.float64())
+            kept = [column for name, column in zip(batch.schema.names, batch.columns, strict=True) if name != "__text"]
+            yield pa.RecordBatch.from_arrays([*kept, scores], names=[*names, score_column])
+
+    schema = T.StructType([field for field in rows.schema if field.name != "__text"])
+    return rows.mapInArrow(apply, schema.add(score_column, "double"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_extract, line_dedup, packing, quality, shards, simhash, token_files, vector_search
+from tidemark.llm import decontaminate, html_extract, line_dedup, packing, quality, shards, simhash, token_files, toxicity, vector_search
 from tidemark.llm.common import id_remainder, table
 from tidemark.session import pin_utc, scratch_dir
 
@@ -53,7 +53,7 @@ def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.
 @_query
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    scored = quality.score(docs, quality_model(spark, docs, sf_dir))
+    scored = quality.score(docs, quality_model(spark, docs, sf_dir), keep=["doc_id"])
     return scored.select(
         "doc_id",
         (id_remainder("doc_id", 5) == 0).alias("held_out"),
@@ -232,3 +232,16 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+@_query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~id_remainder("doc_id", 4).isin(-1, 2))
+    scorer = toxicity.train(docs, labels.select(F.col("doc_id").alias("id"), "toxic"))
+    return toxicity.score(docs, scorer).select(
+        F.col("id").alias("doc_id"),
+        (id_remainder("id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )

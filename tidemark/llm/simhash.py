@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import durable, text_of
+from tidemark.llm.common import durable, id_of, id_or_null, text_of
 from tidemark.llm.components import connected_components
 
 SEED = 42
@@ -67,17 +67,16 @@ def fingerprints(
 ) -> DataFrame:
     """(id, text_hash, fp) per row; ``fp`` holds the 64 bits as a signed number."""
     rows = docs.select(
-        F.col(id_column).cast("long").alias("id"), text_of(text_column).alias("text")
+        id_of(id_column).alias("id"), text_of(text_column).alias("text")
     ).withColumn("text_hash", F.xxhash64("text"))
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fps = np.array([fingerprint(text, width) for text in batch["text"]], np.uint64)
-            yield batch[["id", "text_hash"]].assign(
-                id=batch["id"].astype("Int64"), fp=fps.view(np.int64)
-            )
+            yield batch[["id", "text_hash"]].assign(fp=fps.view(np.int64))
 
-    return rows.mapInPandas(sign, "id long, text_hash long, fp long")
+    signed = rows.mapInPandas(sign, "id long, text_hash long, fp long")
+    return signed.select(id_or_null("id"), "text_hash", "fp")
 
 
 # Trees

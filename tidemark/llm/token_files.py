@@ -28,10 +28,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import partitions_for, text_of
+from tidemark.llm.common import id_of, id_or_null, partitions_for, text_of
 from tidemark.llm.encoding import PieceEncoder, crc32_of_u32
 
-NULL_ID = -(2**63)
 _CHUNK_BYTES = 4 << 20
 _FILES = "kind string, part int, seq int, value binary"
 _PARTS = "part int, n_docs long, n_tokens long, first_doc long, first_token long"
@@ -53,14 +52,14 @@ def write_token_files(
     if end_id.to_bytes(width, "little")[-1]:
         raise ValueError("the end id must leave the highest byte of an id zero")
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_column).cast("long").alias("id"), text_of(text_column).alias("text"))
+    texts = docs.select(id_of(id_column).alias("id"), text_of(text_column).alias("text"))
     total = texts.agg(F.sum(F.octet_length("text") + 64)).first()[0]
     if total is None:
         spark.createDataFrame([], _PARTS).write.parquet(f"{path}/parts")
         return
     ordered = texts.repartitionByRange(
-        partitions_for(total, text_bytes_per_part), F.col("id").asc_nulls_first(), F.col("text")
-    ).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
+        partitions_for(total, text_bytes_per_part), "id", "text"
+    ).sortWithinPartitions("id", "text")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = PieceEncoder.shared(tokenizer, width)
@@ -77,8 +76,7 @@ def write_token_files(
             )
 
         for batch in batches:
-            ids = batch["id"].astype("Int64").fillna(NULL_ID)
-            for doc_id, text in zip(ids, batch["text"], strict=True):
+            for doc_id, text in zip(batch["id"], batch["text"], strict=True):
                 value = encoder.encode([text])[0] + end
                 held.append(value)
                 index.append((int(doc_id), len(value) // width))
@@ -166,13 +164,12 @@ def read_token_files(spark: SparkSession, path: str, width: int = 2) -> DataFram
                     crc32_of_u32(ids[start - first : start - first + length].tobytes(), dtype)
                     for start, length in zip(starts.tolist(), lengths.tolist(), strict=True)
                 ]
-                found = pd.array(keys, dtype="Int64")
-                found[np.asarray(keys) == NULL_ID] = pd.NA
                 yield pd.DataFrame(
-                    {"doc_id": found, "start": starts, "n_tokens": lengths, "ids_crc32": crcs}
+                    {"doc_id": keys, "start": starts, "n_tokens": lengths, "ids_crc32": crcs}
                 )
 
-    return paths.repartition(n, "part").mapInPandas(documents, _DOCUMENTS)
+    read = paths.repartition(n, "part").mapInPandas(documents, _DOCUMENTS)
+    return read.withColumn("doc_id", id_or_null("doc_id"))
 
 
 def memory_map(path: str, dtype: str) -> np.ndarray:
