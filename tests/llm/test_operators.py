@@ -1,0 +1,380 @@
+"""Each operator on a small table with nulls, empty, long and repeated texts, and on none.
+
+Expected results come from plain Python on the same rows.
+"""
+
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from tokenizers import Tokenizer
+
+from tidemark.llm import (
+    decontaminate,
+    html_extract,
+    line_dedup,
+    packing,
+    quality,
+    shards,
+    simhash,
+    token_files,
+    toxicity,
+    vector_search,
+)
+
+LONG = "long words in a very long text, " * 3000
+COPY = "One line that many hold.\nAnother line of this text, short."
+# Extra columns are called like some that operators make themselves.
+SCHEMA = "doc_id long, text string, lang string, score double, n_lines long, slot int, hash string"
+ROWS = [
+    (5, COPY, "en", 1.0, 1, 1, "x"),
+    (3, "  ONE line that many hold. \t\nMore.", "en", None, None, None, None),
+    (4, None, None, None, None, None, None),
+    (None, COPY, "en", 1.0, 1, 1, "x"),
+    (9, "", "de", 1.0, 1, 1, "x"),
+    (9, "", "de", 1.0, 1, 1, "x"),
+    (7, LONG, "en", 1.0, 1, 1, "x"),
+    (8, LONG + "end", "en", 1.0, 1, 1, "x"),
+    (2**60 + 1, "déjà  vu <|endoftext|>\r\n two  spaces", "fr", 1.0, 1, 1, "x"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def ids_of(name, text, end):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    return tokenizer.encode(text or "", add_special_tokens=False).ids + [end]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_token_files_round_trip(spark, docs, folder):
+    path = folder("tokens")
+    name = "word_bpe_49k.json"
+    tokenizer = public_tokenizers.path(name)
+    token_files.write_token_files(docs, path, tokenizer, 2, text_bytes_per_part=20_000)
+    got = [tuple(row) for row in token_files.read_token_files(spark, path).collect()]
+    order = sorted(ROWS, key=lambda row: (row[0] is not None, row[0] or 0, row[1] or ""))
+    want, start = [], 0
+    for row in order:
+        ids = ids_of(name, row[1], 2)
+        want.append((row[0], start, len(ids), crc(ids)))
+        start += len(ids)
+    assert sorted(got, key=lambda row: row[1]) == want
+
+
+def test_token_files_of_nothing(spark, none, folder):
+    path = folder("tokens")
+    token_files.write_token_files(none, path, public_tokenizers.path("word_bpe_49k.json"), 2)
+    assert token_files.read_token_files(spark, path).count() == 0
+
+
+def test_packing_round_trip(docs):
+    name = "byte_bpe_50k.json"
+    pieces = packing.pack_documents(docs, public_tokenizers.path(name), 1, capacity=64).collect()
+    texts = defaultdict(list)
+    for row in ROWS:
+        texts[row[0]].append(ids_of(name, row[1], 1))
+    total = sum(len(ids) for rows in texts.values() for ids in rows)
+    assert sum(piece.length for piece in pieces) == total
+    for piece in pieces:
+        ids = np.frombuffer(piece.ids, "<u4").tolist()
+        assert len(ids) == piece.length
+        assert any(
+            ids == each[piece.start : piece.start + piece.length] and len(each) == piece.doc_tokens
+            for each in texts[piece.id]
+        )
+    windows = defaultdict(list)
+    for piece in pieces:
+        windows[piece.sequence_id].append(piece)
+    for window in windows.values():
+        at = 0
+        for piece in sorted(window, key=lambda piece: piece.offset):
+            assert piece.offset == at
+            at += piece.length
+        assert at <= 64
+
+
+def test_packing_of_nothing(none):
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.pack_documents(none, tokenizer, 1).count() == 0
+
+
+@pytest.mark.parametrize("sizes", [[], [7], [10] * 5, [9, 8, 7, 6, 5, 4], list(range(1, 11)) * 9])
+def test_windows_hold_every_item_once(sizes):
+    windows = packing.pack(sizes, 10)
+    assert sorted(item for window in windows for item in window) == list(range(len(sizes)))
+    assert all(sum(sizes[item] for item in window) <= 10 for window in windows)
+
+
+def test_differencing_balances():
+    sums, _ = packing.differencing(np.array([8, 7, 6, 5, 4]), 2)
+    assert sums.tolist() == [16, 14]
+
+
+def test_shards(docs):
+    got = shards.byte_shards(docs, 3).collect()
+    rows = sorted((row.shard, row.slot, row.id is not None, row.id or 0, row.size) for row in got)
+    assert len(rows) == len(ROWS)
+    # In ascending order of ids, null first, and gapless in each shard.
+    assert [row[2:4] for row in rows] == sorted(row[2:4] for row in rows)
+    for shard in {row[0] for row in rows}:
+        slots = [row[1] for row in rows if row[0] == shard]
+        assert slots == list(range(len(slots)))
+    assert sum(row.size for row in got) == sum(len((row[1] or "").encode()) + 16 for row in ROWS)
+    assert {(row.id, row.text_crc32) for row in got} == {
+        (row[0], zlib.crc32((row[1] or "").encode())) for row in ROWS
+    }
+
+
+def test_shards_of_nothing(none):
+    assert shards.byte_shards(none, 3).count() == 0
+
+
+def test_shards_are_balanced(spark):
+    many = spark.range(4000).selectExpr("id % 1500 as doc_id", "repeat('a', cast(id % 7 as int)) as text")
+    sizes = [row.total for row in shards.byte_shards(many, 10).groupBy("shard").agg({"size": "sum"}).toDF("s", "total").collect()]
+    assert len(sizes) == 10 and max(sizes) - min(sizes) < 100
+
+
+def test_line_dedup(docs):
+    got = {(row.doc_id, row.text): row for row in line_dedup.drop_repeated_lines(docs, prefix="__").collect()}
+    first = "One line that many hold."
+    # The row without an id comes before all others and keeps its lines.
+    assert got[None, COPY]["__kept_text"] == COPY
+    assert got[5, COPY]["__kept_text"] == ""
+    assert got[5, COPY]["__n_dropped"] == 2
+    assert got[3, ROWS[1][1]]["__kept_text"] == "More."
+    assert got[4, None]["__kept_text"] == "" and got[4, None]["__n_lines"] == 1
+    assert got[7, LONG]["__n_dropped"] == 0
+    assert got[5, COPY].n_lines == 1 and first in COPY
+
+
+def test_line_dedup_of_nothing(none):
+    assert line_dedup.drop_repeated_lines(none, prefix="__").count() == 0
+
+
+def test_line_dedup_over_id_buckets(spark):
+    """A line in many documents, over several id buckets, and lines past the 64th."""
+    line = "the very same line of words"
+    rows = [(i * 1000, "\n".join([f"own line number {i}.{j}" for j in range(i % 80)] + [line])) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {row.doc_id: row.kept_text for row in line_dedup.drop_repeated_lines(frame).collect()}
+    assert got[0] == line
+    for doc_id, text in rows[1:]:
+        assert got[doc_id] == "\n".join(text.split("\n")[:-1])
+
+
+def words_of(text):
+    lowered = re.sub("[A-Z]", lambda found: found[0].lower(), text or "")
+    return re.findall(r"[^\x20\x09-\x0D]+", lowered)
+
+
+def slow_fingerprint(text, width=4):
+    words = words_of(text)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))]
+    hashes = [xxhash.xxh64_intdigest(shingle.encode(), 42) for shingle in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_groups(docs):
+    got = simhash.near_duplicates(docs).collect()
+    assert len(got) == len(ROWS)
+    fps = {(row[0], row[1]): slow_fingerprint(row[1]) for row in ROWS}
+    assert sorted(row.fp % 2**64 for row in got) == sorted(slow_fingerprint(row[1]) for row in ROWS)
+    near = lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 4
+    by_id = {row.id: row.component_id for row in got}
+    assert by_id[9] == 4 and by_id[4] == 4  # empty texts
+    assert by_id[None] == 5 and by_id[5] == 5  # the same text, once without an id
+    assert (by_id[8] == 7) == near((7, LONG), (8, LONG + "end"))
+
+
+def test_simhash_keeps_one_of_each(docs, none):
+    kept = simhash.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(row.doc_id for row in kept.collect()) == [3, 4, 5, 7, 2**60 + 1]
+    assert simhash.keep_one_of_each(none).count() == 0
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 3])
+def test_near_links_find_all_links(spark, blocks):
+    """A dense ball of fingerprints among random ones, in many small shards."""
+    rng = np.random.default_rng(3)
+    points = rng.integers(0, 2**63, 1500, dtype=np.uint64).tolist()
+    for _ in range(500):
+        point = points[0]
+        for bit in rng.integers(0, 64, 3):
+            point ^= 1 << int(bit)
+        points.append(point)
+    points = np.array(sorted(set(points)), np.uint64)
+    frame = spark.createDataFrame([(p,) for p in points.view(np.int64).tolist()], "fp long")
+    links = simhash.near_links(frame, 4, blocks=blocks, per_shard=100, sample_size=1000)
+    found, every = simhash.Forest(), simhash.Forest()
+    rows = np.array([tuple(row) for row in links.collect()], np.int64).reshape(-1, 2).view(np.uint64)
+    found.add(rows[:, 0], rows[:, 1])
+    for point in points:
+        near = points[np.bitwise_count(points ^ point) <= 4]
+        every.add(np.full(len(near), point), near)
+    assert [part.tolist() for part in found.stars()] == [part.tolist() for part in every.stars()]
+
+
+ITEM = "a passage of the benchmark that has quite a few words in it so that it can be found again in texts"
+
+
+def test_leaks(spark, docs, none):
+    words = ITEM.split()
+    swapped = " ".join("other" if at in (6, 14) else word for at, word in enumerate(words))
+    broken = " ".join("other" if at % 3 == 0 else word for at, word in enumerate(words))
+    extra = spark.createDataFrame(
+        [
+            (20, f"Before. {ITEM.upper()}! After."),
+            (21, f"before {swapped} after"),
+            (22, f"before {broken} after"),
+            (None, ITEM),
+            (23, " ".join(words[:9])),
+        ],
+        "doc_id long, text string",
+    )
+    every = extra.unionByName(docs.select("doc_id", "text"))
+    items = spark.createDataFrame([(1, ITEM), (2, "too short"), (3, None), (None, None)], "item_id long, text string")
+    got = {(row.row_id, row.item_id): row.n_matched for row in decontaminate.leaks(every, items).collect()}
+    n = len(words)
+    assert got == {(20, 1): n, (21, 1): n - 2, (None, 1): n}
+    kept = decontaminate.drop_leaking(every, items)
+    assert kept.where("doc_id in (20, 21)").count() == 0
+    assert kept.count() == every.count() - 3
+    assert decontaminate.drop_leaking(none, items).count() == 0
+    assert decontaminate.drop_leaking(docs, items.limit(0)).count() == len(ROWS)
+
+
+PAGE = """<html><head><title>T</title></head><body><header class="site-header"><h1>Site</h1></header>
+<nav><ul><li><a href="/">Home</a></li></ul></nav><div id="content"><h2>The story of a bridge</h2>
+<p>It was built in 1900 &amp; it still   stands, they say.</p><div class="ad-box">Buy now, dear reader, only today
+in our shop.</div><p>Short.</p><form><label>Your mail</label><input></form><section id="comments"><h3>Comments</h3>
+<p>I liked this article a lot, thank you so much for writing it.</p></section></div>
+<script>var x = "</p><p>never text</p>";</script><footer>(c) 2020</footer></body></html>"""
+TEXT = "The story of a bridge\nIt was built in 1900 & it still stands, they say.\nShort."
+
+
+def test_html_text(spark):
+    long_page = "<article>" + "<p>A paragraph with some words in it.</p>" * 20_000 + "</article>"
+    pages = spark.createDataFrame(
+        [(1, "u", PAGE), (2, None, None), (None, "v", ""), (4, "w", long_page), (5, "w", "<p <a <!-- x")],
+        "page_id long, url string, html string",
+    )
+    got = {row.page_id: row for row in html_extract.extract_text(pages).collect()}
+    assert got[1].text == TEXT and got[1].n_chars == len(TEXT)
+    assert got[2].text == "" and got[None].text == "" and got[5].text == ""
+    assert got[4].text.count("\n") == 19_999
+    assert html_extract.extract_text(pages.limit(0)).count() == 0
+
+
+def test_minimum_cut():
+    # Two nodes of which one is torn between its own evidence and a strong neighbour.
+    assert html_extract.source_side([5.0, 1.0], [0.0, 2.0], [(0, 1, 3.0)]) == [True, True]
+    assert html_extract.source_side([5.0, 1.0], [0.0, 2.0], [(0, 1, 0.5)]) == [True, False]
+    assert html_extract.source_side([], [], []) == []
+
+
+def test_nearest_vectors(spark):
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(3000, 16)).astype(np.float32)
+    points[1000:2000] = points[1000]  # a third of all rows is one vector
+    rows = [(i, point.tolist(), 1) for i, point in enumerate(points)]
+    bad = [(7000, None, 1), (7100, [0.0] * 16, 1), (7200, [float("nan")] * 16, 1), (None, points[0].tolist(), 1), (7300, [1.0], 1)]
+    frame = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>, rank int")
+    from pyspark.sql import functions as F
+
+    got = defaultdict(list)
+    for row in vector_search.nearest(frame, F.col("id") % 100 == 0, 10, per_slot=400).collect():
+        got[row.query_id].append((row["rank"], row.vec_id, row.score))
+    assert sorted(got) == list(range(0, 3000, 100))
+    hits = 0
+    exact = points.astype(float)
+    for query, found in got.items():
+        distances = np.sqrt(((exact - exact[query]) ** 2).sum(axis=1))
+        distances[query] = np.inf
+        best = np.lexsort((np.arange(3000), distances))[:10]
+        hits += len(set(best.tolist()) & {vec_id for _, vec_id, _ in found})
+        assert [rank for rank, _, _ in sorted(found)] == list(range(1, 11))
+        assert all(abs(distances[vec_id] - score) < 1e-12 for _, vec_id, score in found)
+    assert hits >= 0.9 * 10 * len(got)
+
+
+def test_nearest_of_few_vectors(spark):
+    from pyspark.sql import functions as F
+
+    far = [(0, [1.0, 0.0]), (1, [900.0, 1.0]), (2, [-700.0, 5.0]), (100, [1.0, 0.0])]
+    frame = spark.createDataFrame(far, "vec_id long, embedding array<double>")
+    got = vector_search.nearest(frame, F.col("id") % 100 == 0, 10).orderBy("query_id", "rank").collect()
+    assert [(row.query_id, row.vec_id) for row in got] == [(0, 100), (0, 2), (0, 1), (100, 0), (100, 2), (100, 1)]
+    assert vector_search.nearest(frame.limit(0), F.col("id") % 100 == 0, 10).count() == 0
+
+
+def test_quality_learns_from_positives_alone():
+    rng = np.random.default_rng(2)
+    good = rng.normal(0, 1, (3000, quality.N_FEATURES))
+    bad = rng.normal(3, 1, (1000, quality.N_FEATURES))
+    model, prior = quality.fit_non_negative(good[:1500], np.concatenate([good[1500:], bad]))
+    assert abs(prior - 0.6) < 0.05
+    assert (quality.sigmoid(model.logits(good)) >= 0.3).mean() > 0.97
+    assert (quality.sigmoid(model.logits(bad)) >= 0.3).mean() < 0.05
+
+
+def test_quality_scores_every_row(docs, none, spark):
+    empty = spark.createDataFrame([], "id long")
+    model, _ = quality.train(docs, empty)
+    scored = quality.score(docs, model, score_column="__score")
+    assert {row["__score"] for row in scored.collect()} == {0.5}
+    assert scored.columns == [*docs.columns, "__score"]
+    assert sorted((r.doc_id for r in scored.collect() if r.doc_id), key=int)[-1] == 2**60 + 1
+    assert quality.score(none, model, score_column="__score").count() == 0
+
+
+def test_label_model_finds_accuracies():
+    rng = np.random.default_rng(4)
+    truth = rng.random(8000) < 0.15
+    fires = np.array([0.6, 0.5, 0.4, 0.3])
+    votes = np.where(truth[:, None], rng.random((8000, 4)) < fires, rng.random((8000, 4)) < 0.01).astype(float)
+    model = toxicity.fit_label_model(votes, np.arange(4))
+    assert abs(model.prior - 0.15) < 0.03
+    assert np.abs(model.rates[1] - fires).max() < 0.06
+    votes = np.column_stack([votes, votes[:, 0]])  # a voter that copies another
+    model = toxicity.fit_label_model(votes, np.arange(4))
+    assert model.shares[[0, 4]].max() < model.shares[1:4].min()
+
+
+def test_toxicity_scores_every_row(spark, docs, none):
+    rng = np.random.default_rng(6)
+    names = [f"wort{i}" for i in range(300)]
+    rows = []
+    for i in range(400):
+        words = rng.choice(names, 30).tolist()
+        if i % 5 == 0:
+            words[3] = "Grauslich,"
+        rows.append((i, " ".join(words)))
+    texts = spark.createDataFrame([*rows, (None, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(300)], "id long, toxic int")
+    scorer = toxicity.train(texts, labels)
+    got = {row.id: row.score for row in toxicity.score(texts, scorer).collect()}
+    assert all((got[i] >= 0.3) == (i % 5 == 0) for i in range(400))
+    assert got[None] < 0.3
+    unlearnt = toxicity.train(docs, labels.limit(0))
+    assert {round(row.score, 6) for row in toxicity.score(docs, unlearnt).collect()} == {0.0}
+    assert toxicity.score(none, scorer).count() == 0

@@ -62,9 +62,12 @@ def id_remainder(id_column: str, modulus: int) -> Column:
     return F.coalesce(crc % modulus, F.lit(-1))
 
 
-def about(frame: DataFrame, rows: int, salt: str) -> DataFrame:
-    """About ``rows`` rows of ``frame`` (id, ...), or all if there are fewer, chosen by a hash of
-    the id. At most one and a half times as many."""
-    share = max(1, -(-frame.count() // rows))
-    chosen = F.pmod(F.xxhash64(F.lit(salt), F.col("id")), F.lit(share)) == 0
-    return frame.where(chosen).limit(rows + rows // 2)
+def some_ids(ids: DataFrame, rows: int) -> DataFrame:
+    """Up to ``rows`` rows of ``ids`` (id, ...), which are distinct, chosen by a hash of the id."""
+    return ids.orderBy(F.xxhash64("id"), "id").limit(rows)
+
+
+def some_rows(frame: DataFrame, rows: int, seed: int) -> DataFrame:
+    """About ``rows`` rows of ``frame``, or all if there are fewer, each with the same chance."""
+    n = frame.count()
+    return frame if n <= rows else frame.where(F.rand(seed) < rows / n)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import about, text_of
+from tidemark.llm.common import some_ids, some_rows, text_of
 
 _CLASSES = {
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -204,9 +204,9 @@ def train(
 ) -> tuple[Model, float]:
     """A model from the ids in ``positives`` (one column ``id``) and a sample of ``docs``."""
     texts = docs.select(F.col(id_column).cast("long").alias("id"), text_of(text_column).alias("text"))
-    trusted = about(positives.select("id").distinct(), most_positives, "positive")
+    trusted = some_ids(positives.select("id").distinct(), most_positives)
     positive = _feature_rows(texts.join(F.broadcast(trusted), "id"))
-    unlabelled = _feature_rows(about(texts, most_unlabelled, "unlabelled"))
+    unlabelled = _feature_rows(some_rows(texts, most_unlabelled, 3))
     if len(positive) < 2 or len(unlabelled) < 2:
         return Model(np.zeros((N_FEATURES, 1)), np.zeros((N_FEATURES, 2)), 0.0), 0.5
     return fit_non_negative(positive, unlabelled)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import about, durable, id_of, id_or_null, text_of
+from tidemark.llm.common import durable, id_of, id_or_null, some_ids, some_rows, text_of
 
 _EDGES = ".,;:!?\"'()[]{}<>«»„“”‘’…*_~-–—¡¿"
 _BEGINNINGS = (4, 5, 6)
@@ -226,7 +226,7 @@ def train(
     """A scorer from ``labels`` (id, toxic) of each kind up to a bound, and a sample of texts."""
     texts = docs.select(F.col(id_column).cast("long").alias("id"), text_of(text_column).alias("text"))
     kinds = [
-        about(labels.where(F.col("toxic") == kind).select("id", "toxic").distinct(), most_labelled, "labelled")
+        some_ids(labels.where(F.col("toxic") == kind).select("id", "toxic").distinct(), most_labelled)
         for kind in (0, 1)
     ]
     chosen = texts.join(F.broadcast(kinds[0].unionByName(kinds[1])), "id")
@@ -247,7 +247,7 @@ def train(
                 }
             )
 
-    sample = about(texts, most_unlabelled, "votes").select("text").unionByName(labelled.select("text"))
+    sample = some_rows(texts, most_unlabelled, 10).select("text").unionByName(labelled.select("text"))
     seen = sample.mapInPandas(vote, "votes array<int>, terms array<int>").toPandas()
     votes = np.array(seen["votes"].tolist(), dtype=float).reshape(len(seen), scorer.n_lexicons + PATTERNS)
     model = fit_label_model(votes, np.arange(scorer.n_lexicons))
