@@ -46,7 +46,7 @@ def write_feed(feed):
 @given(feeds)
 def test_running_upserts_fold_to_the_batch_result(spark, feed):
     folder, out = write_feed(feed), tempfile.mkdtemp(prefix="tidemark-out-")
-    table = sinks.aggregations_table(f"{out}/stats")
+    table = sinks.aggregations_table(f"{out}/stats", "feed")
     ticks = jobs.ticks_of(files.stream_messages(spark, folder, maxFilesPerTrigger="1"))
     jobs.start_stats_upsert(
         ticks, table, f"{out}/ck", trigger={"availableNow": True}
@@ -66,7 +66,7 @@ def test_running_upserts_fold_to_the_batch_result(spark, feed):
 @given(feeds)
 def test_every_tick_is_stored_once(spark, feed):
     folder, out = write_feed(feed), tempfile.mkdtemp(prefix="tidemark-out-")
-    table = sinks.trades_table(f"{out}/trades")
+    table = sinks.trades_table(f"{out}/trades", "feed")
     ticks = jobs.ticks_of(files.stream_messages(spark, folder, maxFilesPerTrigger="1"))
     jobs.start_raw_batches(
         ticks, table, f"{out}/ck", trigger={"availableNow": True}

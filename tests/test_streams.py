@@ -125,7 +125,7 @@ def stats_of(spark, path, **settings):
 
 
 def test_upsert_table_holds_the_newest_stats(spark, feed, folder):
-    table = sinks.aggregations_table(folder("stats"))
+    table = sinks.aggregations_table(folder("stats"), "feed")
     feed.add(A, SECOND)
     for more in ((), (C, LATE_AT_ONCE)):
         feed.add(*more)
@@ -138,7 +138,7 @@ def test_upsert_table_holds_the_newest_stats(spark, feed, folder):
 
 
 def test_append_table_and_restart(spark, feed, folder):
-    table = sinks.aggregations_table(folder("stats"))
+    table = sinks.aggregations_table(folder("stats"), "feed")
     feed.add(A, SECOND, C)
     for more in ((), (LATE_AT_ONCE,)):
         feed.add(*more)
@@ -146,7 +146,7 @@ def test_append_table_and_restart(spark, feed, folder):
             feed.ticks(spark), table, folder("ck"), trigger=ONCE
         ).awaitTermination()
     want = [(0, "A", 39.75, 4), (0, "B", 1.0, 1), (5, "A", 30.0, 1)]
-    first_close = stats_of(spark, table.path, versioned=False)
+    first_close = stats_of(spark, table.path)
     assert len(first_close) == 3
     assert {r[:2] for r in first_close} == {w[:2] for w in want}
 
@@ -155,29 +155,63 @@ def test_files_per_day_bounds_the_files_of_a_batch(spark, feed, folder):
     days = range(3)
     ticks = [(s, 1, B + day * 86_400_000 + 5000 * i) for day in days for i, s in enumerate("ABCDEF")]
     feed.add(message(*ticks))
-    table = sinks.aggregations_table(folder("stats"))
+    table = sinks.aggregations_table(folder("stats"), "feed")
     jobs.start_stats_upsert(
         feed.ticks(spark), table, folder("ck"), trigger=ONCE, files_per_day=1
     ).awaitTermination()
-    stored = tables.read_aggregations(spark, table.path, versioned=False)
+    stored = tables.read_aggregations(spark, table.path)
     assert stored.count() == len(ticks)
     assert len(stored.inputFiles()) == len(days)
 
 
+def test_a_day_is_written_by_every_task(spark, feed, folder):
+    feed.add(message(*[(f"S{i}", 1, B + i) for i in range(200)]))
+    table = sinks.aggregations_table(folder("stats"), "feed")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        jobs.start_stats_upsert(feed.ticks(spark), table, folder("ck"), trigger=ONCE).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(tables.read_sums(spark, table.path).inputFiles()) == 8
+
+
+def test_counts_of_all_batches_are_kept(spark, feed, folder):
+    feed.add(A, SECOND, C, A, C)
+    log = metrics.BatchLog(spark, folder("log"), every=2)
+    spark.streams.addListener(log)
+    table = sinks.trades_table(folder("trades"), "feed")
+    try:
+        jobs.start_raw_batches(feed.ticks(spark), table, folder("ck"), trigger=ONCE).awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
+    finally:
+        spark.streams.removeListener(log)
+    log.flush()
+    counts = metrics.logged_batches(spark, folder("log")).orderBy("batch_id").collect()
+    assert [(row.batch_id, row.row_count, row.late_rows) for row in counts] == [
+        (0, 3, 0), (1, 2, 0), (2, 1, 0), (3, 3, 0), (4, 1, 0),
+    ]
+
+
+def test_formats_that_cannot_replace_are_refused(folder):
+    with pytest.raises(ValueError, match="replayed"):
+        sinks.trades_table(folder("trades"), "feed", format="json")
+
+
 def test_null_symbols_are_kept_apart_from_the_table(spark, feed, folder):
     feed.add('{"data":[{"p":1,"t":%d,"v":1},{"s":"A","p":2,"t":%d,"v":1}]}' % (B, B))
-    table = sinks.aggregations_table(folder("stats"))
+    table = sinks.aggregations_table(folder("stats"), "feed")
     jobs.start_stats_upsert(
         feed.ticks(spark), table, folder("ck"), trigger=ONCE
     ).awaitTermination()
     assert stats_of(spark, table.path) == [(0, "A", 2.0, 1)]
     [rejected] = tables.read_rejected(spark, table.path, schemas.STORED_AGGREGATIONS).collect()
-    assert (rejected.symbol, rejected.avg_price, rejected.trade_count) == (None, 1.0, 1)
+    assert (rejected.symbol, rejected.price_sum, rejected.trade_count) == (None, 1.0, 1)
 
 
 def test_raw_batches_and_row_counts(spark, feed, folder):
     feed.add(A, SECOND, '{"type":"ping"}', C)
-    table = sinks.trades_table(folder("trades"))
+    table = sinks.trades_table(folder("trades"), "feed")
     query = jobs.start_raw_batches(feed.ticks(spark), table, folder("ck"), trigger=ONCE)
     query.awaitTermination()
     counts = metrics.rows_per_batch(query)
@@ -191,7 +225,7 @@ def test_raw_batches_and_row_counts(spark, feed, folder):
 
 def test_raw_batches_with_random_ids(spark, feed, folder):
     feed.add(A, SECOND)
-    table = sinks.trades_table(folder("trades"))
+    table = sinks.trades_table(folder("trades"), "feed")
     jobs.start_raw_batches(
         feed.ticks(spark), table, folder("ck"), row_id=ids.random_id(), trigger=ONCE
     ).awaitTermination()
@@ -200,7 +234,7 @@ def test_raw_batches_with_random_ids(spark, feed, folder):
 
 def test_raw_append_keeps_null_times_apart(spark, feed, folder):
     feed.add(A, message(("A", 1, '"bad"')))
-    table = sinks.trades_table(folder("trades"))
+    table = sinks.trades_table(folder("trades"), "feed")
     jobs.start_raw_append(feed.ticks(spark), table, folder("ck"), trigger=ONCE).awaitTermination()
     ids_seen = [r.id for r in tables.read_trades(spark, table.path).collect()]
     assert sorted(ids_seen) == [
@@ -217,7 +251,7 @@ def test_a_failed_batch_is_replayed_without_loss_or_duplicates(
 ):
     """The first try dies after its rows are written and before the batch is committed."""
     feed.add(A, SECOND)
-    table = sinks.trades_table(folder("trades"))
+    table = sinks.trades_table(folder("trades"), "feed")
     real = sinks.batch_writer
 
     def dies_after_writing(*args):
@@ -248,7 +282,7 @@ def test_both_jobs_stop_when_one_fails(spark, feed, folder):
     feed.add(A)
     ticks = feed.ticks(spark)
     stats = jobs.start_stats_upsert(
-        ticks, sinks.aggregations_table(folder("stats")), folder("ck1"),
+        ticks, sinks.aggregations_table(folder("stats"), "feed"), folder("ck1"),
         trigger={"processingTime": "1 second"},
     )
     stats.processAllAvailable()
@@ -258,19 +292,19 @@ def test_both_jobs_stop_when_one_fails(spark, feed, folder):
 
     raw = ticks.writeStream.foreachBatch(fail).option("checkpointLocation", folder("ck2")).start()
     with pytest.raises(StreamingQueryException, match="sink is down"):
-        jobs.run_until_any_ends(spark, stats, raw)
+        jobs.run_until_any_ends(stats, raw)
     assert not stats.isActive and not raw.isActive
 
 
 def test_connector_formats_get_plain_rows(spark, feed, folder):
     """Anything that is not a file format is written as is; noop stands for a connector."""
     feed.add(A)
-    store = sinks.trades_table(None, format="noop", options={"table": "trades"})
+    store = sinks.trades_table(None, "feed", format="noop", options={"table": "trades"})
     query = jobs.start_raw_batches(feed.ticks(spark), store, folder("ck1"), trigger=ONCE)
     query.awaitTermination()
     assert sum(metrics.rows_per_batch(query).values()) == 3
     query = jobs.start_raw_append(feed.ticks(spark), store, folder("ck2"), trigger=ONCE)
     query.awaitTermination()
     assert sum(metrics.rows_per_batch(query).values()) == 3
-    store = sinks.aggregations_table(None, format="noop")
+    store = sinks.aggregations_table(None, "feed", format="noop")
     jobs.start_stats_append(feed.ticks(spark), store, folder("ck3"), trigger=ONCE).awaitTermination()

@@ -62,13 +62,3 @@ def partition_key(ts: Column, pattern: str) -> Column:
 
 def partition_key_of(moment: datetime, pattern: str) -> str:
     return as_utc(moment).strftime(_STRFTIME[pattern])
-
-
-def partition_keys_between(start: datetime, end: datetime, pattern: str) -> list[str]:
-    """The values of all periods that touch [start, end]."""
-    moment, keys = as_utc(start), []
-    while moment <= as_utc(end):
-        keys.append(partition_key_of(moment, pattern))
-        moment += _LENGTH[pattern]
-    last = partition_key_of(end, pattern)
-    return keys if last in keys else [*keys, last]

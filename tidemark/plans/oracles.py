@@ -54,6 +54,15 @@ SELECT ingestion_time AS time, symbol, coalesce(sum(volume), 0) AS total_volume
 FROM ({_TRADES}) WHERE {_BETWEEN} AND symbol IS NOT NULL GROUP BY 1, 2
 """
 
+_BY_EVENT_MS = """
+SELECT CAST(make_timestamp((epoch_us(l_shipdate) // 1000) * 1000) AS VARCHAR) AS id,
+       l_returnflag AS symbol, l_extendedprice AS price, l_quantity AS volume
+FROM lineitem WHERE l_shipdate IS NOT NULL
+QUALIFY row_number() OVER (
+    PARTITION BY epoch_us(l_shipdate) // 1000
+    ORDER BY l_returnflag DESC, l_extendedprice DESC, l_quantity DESC) = 1
+"""
+
 ORACLES = {
     "tumbling_stats": _FIVE_SECONDS,
     "tumbling_stats_hourly": _HOURLY,
@@ -80,14 +89,7 @@ FROM events
 SELECT event_id, ({_MS} // 1000) * 1000 AS trade_timestamp, {_MS} AS exact_timestamp FROM events
 """,
     "stable_trade_id": f"SELECT event_id, {_TICK_ID} AS id FROM events",
-    "trades_by_event_ms": """
-SELECT CAST(make_timestamp((epoch_us(l_shipdate) // 1000) * 1000) AS VARCHAR) AS id,
-       l_returnflag AS symbol, l_extendedprice AS price, l_quantity AS volume
-FROM lineitem WHERE l_shipdate IS NOT NULL
-QUALIFY row_number() OVER (
-    PARTITION BY epoch_us(l_shipdate) // 1000
-    ORDER BY l_returnflag DESC, l_extendedprice DESC, l_quantity DESC) = 1
-""",
+    "trades_by_event_ms": _BY_EVENT_MS,
     "quarantine_null_keys": """
 SELECT nullif(event_type, 'error') IS NOT NULL AND ts IS NOT NULL AS valid,
        count(*) AS row_count
@@ -119,6 +121,17 @@ WHERE window_end <= (
     SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 SECONDS FROM events)
 """,
     "window_stats_upsert": _FIVE_SECONDS,
+    "raw_trades_v2_keyed": _BY_EVENT_MS,
+    "trades_lookback": "SELECT event_type AS symbol, count(*) AS total_trades FROM events GROUP BY 1",
+    "aggregations_lookback": _TOTALS,
+    "upsert_after_reset": _HOURLY,
+    "backfill_then_stream": _FIVE_SECONDS,
+    "compacted_stats": _HOURLY,
+    "view_trade_count": """
+SELECT strftime(ts, '%Y-%m-%d') AS window_day, event_type AS symbol, count(*) AS total_trades
+FROM events WHERE ts >= TIMESTAMP '2024-01-05' GROUP BY 1, 2
+""",
+    "bad_messages": "SELECT event_id, event_type AS symbol FROM events WHERE event_id % 10 = 3",
     "trade_count_by_symbol": _TOTALS,
     "trade_count_share": f"""
 SELECT symbol, total_trades,

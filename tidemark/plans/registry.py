@@ -7,8 +7,9 @@ rounded because the order in which doubles are added up is free.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from tidemark.operators.upserts import latest_version
 from tidemark.operators.windows import WINDOW_SIZE
 from tidemark.plans import dashboard
 from tidemark.session import pin_utc, scratch_dir
-from tidemark.sources import samples, tables
+from tidemark.sources import compaction, files, samples, tables
 from tidemark.streaming import jobs, metrics, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,7 @@ SINCE = NOW - timedelta(minutes=LOOKBACK_MINUTES)
 ALLOWED_SYMBOLS = ("purchase", "view")
 NO_SYMBOL = "error"
 ONCE = {"availableNow": True}
+FEED = "feed"
 
 _QUERIES: dict[str, Query] = {}
 
@@ -197,32 +199,119 @@ def upsert_latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def raw_trades_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = sinks.trades_table(scratch_dir(spark, "trades"))
+    table = sinks.trades_table(scratch_dir(spark, "trades"), FEED)
     _finish(jobs.start_raw_batches(_tick_stream(spark, sf_dir), table, **_run(spark)))
     return tables.read_trades(spark, table.path).drop("ingestion_time")
 
 
 @_query
 def raw_trades_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = sinks.trades_table(scratch_dir(spark, "trades"))
+    table = sinks.trades_table(scratch_dir(spark, "trades"), FEED)
     _finish(jobs.start_raw_append(_tick_stream(spark, sf_dir), table, **_run(spark)))
     return tables.read_trades(spark, table.path).drop("ingestion_time")
 
 
 @_query
 def window_stats_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = sinks.aggregations_table(scratch_dir(spark, "trade_aggregations"))
+    table = sinks.aggregations_table(scratch_dir(spark, "trade_aggregations"), FEED)
     _finish(jobs.start_stats_append(_tick_stream(spark, sf_dir), table, **_run(spark)))
-    return _comparable(tables.read_aggregations(spark, table.path, versioned=False))
+    return _comparable(tables.read_aggregations(spark, table.path))
 
 
 @_query
 def window_stats_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = sinks.aggregations_table(scratch_dir(spark, "trade_aggregations"))
+    table = sinks.aggregations_table(scratch_dir(spark, "trade_aggregations"), FEED)
     _finish(jobs.start_stats_upsert(_tick_stream(spark, sf_dir), table, **_run(spark)))
     return _comparable(tables.read_aggregations(spark, table.path))
 
 
+@_query
+def raw_trades_v2_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items under their event time, of which a keyed read leaves one per millisecond.
+
+    All are one batch here, so the greatest row stays.
+    """
+    table = sinks.trades_table(scratch_dir(spark, "trades"), FEED)
+    source = files.stream_parquet(spark, f"{sf_dir}/lineitem.parquet", spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema)
+    ticks = samples.lineitem_ticks(source)
+    _finish(jobs.start_raw_append(ticks, table, **_run(spark)))
+    trades = tables.read_trades(spark, table.path, keyed=True)
+    return trades.select("id", "symbol", "price", "volume")
+
+
+@_query
+def trades_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trade counts from a stored table, read with bounds around the time of writing."""
+    table = sinks.trades_table(scratch_dir(spark, "trades"), FEED)
+    start = datetime.now(timezone.utc)
+    _finish(jobs.start_raw_append(_tick_stream(spark, sf_dir), table, **_run(spark)))
+    hour = timedelta(hours=1)
+    trades = tables.read_trades(spark, table.path, start - hour, datetime.now(timezone.utc) + hour)
+    return trades.groupBy("symbol").agg(F.count("*").alias("total_trades"))
+
+
+@_query
+def aggregations_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the look-back, from hourly stats that a stream has stored."""
+    return dashboard.trade_count_by_symbol(
+        tables.read_aggregations(spark, _stored_stats(spark, sf_dir).path, SINCE, NOW), NOW, LOOKBACK_MINUTES
+    )
+
+
+@_query
+def upsert_after_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stats of a feed that is replayed from a new checkpoint into the table it has written."""
+    table = _stored_stats(spark, sf_dir)
+    _finish(jobs.start_stats_upsert(_tick_stream(spark, sf_dir), table, size="1 hour", **_run(spark)))
+    return _comparable(tables.read_aggregations(spark, table.path))
+
+
+@_query
+def backfill_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One half of the events as history, the other as a stream: the stats add up."""
+    root = scratch_dir(spark, "halves")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.where("event_id % 2 = 1").write.parquet(f"{root}/live")
+    history = samples.event_ticks(events.where("event_id % 2 = 0"))
+    stats = sinks.aggregations_table(f"{root}/stats", "history")
+    jobs.backfill(history, sinks.trades_table(f"{root}/trades", "history"), stats, datetime(2024, 1, 1))
+    live = samples.event_ticks(files.stream_parquet(spark, f"{root}/live", events.schema))
+    _finish(jobs.start_stats_upsert(live, sinks.aggregations_table(stats.path, "live"), **_run(spark)))
+    return _comparable(tables.read_aggregations(spark, stats.path))
+
+
+@_query
+def compacted_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stats that were written twice, folded, and read again."""
+    table = _stored_stats(spark, sf_dir)
+    _finish(jobs.start_stats_upsert(_tick_stream(spark, sf_dir), table, size="1 hour", **_run(spark)))
+    compaction.compact_aggregations(spark, table.path, NOW + timedelta(days=10_000))
+    return _comparable(tables.read_aggregations(spark, table.path))
+
+
+@_query
+def view_trade_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades per symbol and day through the SQL view of a stored table."""
+    root, namespace = scratch_dir(spark, "db"), f"market_{uuid.uuid4().hex[:12]}"
+    tables.create_tables(spark, namespace, root)
+    table = sinks.aggregations_table(f"{root}/trade_aggregations", FEED)
+    _finish(jobs.start_stats_upsert(_tick_stream(spark, sf_dir), table, size="1 hour", **_run(spark)))
+    tables.refresh_tables(spark, namespace)
+    return spark.sql(
+        f"SELECT window_day, symbol, sum(trade_count) AS total_trades "
+        f"FROM {namespace}.trade_aggregations WHERE window_day >= '2024-01-05' GROUP BY ALL"
+    )
+
+
+@_query
+def bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of a feed that are not JSON, some of each event type being cut off."""
+    messages = _event_messages(spark, sf_dir, keep=["event_id", "symbol"])
+    cut = F.when(F.col("event_id") % 10 == 3, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    feed = messages.withColumn("value", cut)
+    return envelopes.bad_messages(feed).select("event_id", "symbol")
+
+
 # Dashboard
 
 
@@ -323,6 +412,12 @@ def _recent_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples.event_stats(spark, sf_dir, "1 hour", SINCE, NOW + timedelta(hours=1))
 
 
+def _stored_stats(spark: SparkSession, sf_dir: str) -> sinks.Table:
+    table = sinks.aggregations_table(scratch_dir(spark, "trade_aggregations"), FEED)
+    _finish(jobs.start_stats_upsert(_tick_stream(spark, sf_dir), table, size="1 hour", **_run(spark)))
+    return table
+
+
 def _run(spark: SparkSession) -> dict:
     return {"checkpoint": scratch_dir(spark, "checkpoint"), "trigger": ONCE}
 

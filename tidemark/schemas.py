@@ -41,6 +41,18 @@ TRADE_AGGREGATIONS = columns(
     trade_count="long",
 )
 
+# Stats on disk are sums, so that those of several sources add up, and know when they were
+# written: of the rows of one source the newest counts.
+AGGREGATION_SUMS = columns(
+    window_start="timestamp",
+    window_end="timestamp",
+    symbol="string",
+    price_sum="double",
+    price_count="long",
+    trade_count="long",
+    written_at="timestamp",
+)
+
 TRADES_KEY = ("id",)
 TRADE_AGGREGATIONS_KEY = ("window_start", "symbol")
 
@@ -51,9 +63,12 @@ REJECTED = "rejected"
 TRADES_PERIOD = "ingestion_hour"
 AGGREGATIONS_PERIOD = "window_day"
 
-# Micro-batch number: file partition that makes a replayed batch overwrite itself, and
-# version number of the keyed upsert.
+# Who wrote: the feed's label, the run (a new one for each new checkpoint) and its micro-batch.
+# As partitions these make a replayed batch overwrite itself and nothing else.
+SOURCE = "source"
+RUN_ID = "run_id"
 BATCH_ID = "batch_id"
+WRITER = (SOURCE, RUN_ID, BATCH_ID)
 
 
 def stored(columns: T.StructType, period: str) -> T.StructType:
@@ -63,10 +78,12 @@ def stored(columns: T.StructType, period: str) -> T.StructType:
             *columns.fields,
             T.StructField(REJECTED, T.BooleanType()),
             T.StructField(period, T.StringType()),
+            T.StructField(SOURCE, T.StringType()),
+            T.StructField(RUN_ID, T.StringType()),
             T.StructField(BATCH_ID, T.LongType()),
         ]
     )
 
 
 STORED_TRADES = stored(TRADES, TRADES_PERIOD)
-STORED_AGGREGATIONS = stored(TRADE_AGGREGATIONS, AGGREGATIONS_PERIOD)
+STORED_AGGREGATIONS = stored(AGGREGATION_SUMS, AGGREGATIONS_PERIOD)

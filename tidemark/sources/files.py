@@ -30,9 +30,13 @@ def _with_message_id(lines: DataFrame) -> DataFrame:
 def stream_parquet(
     spark: SparkSession, path: str, schema: T.StructType, **options: str
 ) -> DataFrame:
-    """A Parquet file or folder as a stream.
+    """A Parquet file, or the Parquet files of a folder, as a stream.
 
-    The last letter is written as a glob because a stream's plain path must be a folder,
-    while a glob may match a folder or a single file.
+    A stream's path must be a folder, so a single file is picked out of its folder by name.
     """
-    return spark.readStream.schema(schema).options(**options).parquet(f"{path[:-1]}[{path[-1]}]")
+    folder, _, name = path.rstrip("/").rpartition("/")
+    reader = spark.readStream.schema(schema).options(**options)
+    if spark.read.format("binaryFile").load(path).select("path").where(F.col("path").endswith(f"/{name}")).isEmpty():
+        return reader.parquet(path)
+    literal = "".join(f"[{letter}]" if letter in "*?[]{}" else letter for letter in name)
+    return reader.option("pathGlobFilter", literal).parquet(folder or "/")

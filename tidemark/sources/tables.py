@@ -1,27 +1,29 @@
-"""The two stored tables: creation and pruned scans."""
+"""The two stored tables: creation, pruned scans and SQL views."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions import clock
-from tidemark.operators.upserts import latest_row, latest_version
+from tidemark.operators.upserts import latest_row
+from tidemark.sources import folders
 
-# Look-backs of more periods list the whole table instead of naming each folder.
-_MAX_LISTED_PERIODS = 1000
+# Newest first by the time of writing, then by batch: one number, so that finding the newest
+# row needs no sort. Times are microseconds, of which three digits give way to the batch.
+VERSION = f"unix_micros(written_at) * 1000 + pmod({schemas.BATCH_ID}, 1000)"
 
 
 def create_tables(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     """Create the namespace, the stored tables and views of them where they do not exist yet.
 
     ``trades_log`` and ``trade_aggregations_log`` are the folders jobs write to, ``trades`` and
-    ``trade_aggregations`` show their accepted rows, stats in their newest version.
+    ``trade_aggregations`` show their accepted rows, stats in their newest version added up over
+    sources. Each view ends with its period column: a filter on that prunes folders.
     """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}")
     for name, columns, period in (
@@ -29,53 +31,69 @@ def create_tables(spark: SparkSession, namespace: str, location: str | None = No
         ("trade_aggregations", schemas.STORED_AGGREGATIONS, schemas.AGGREGATIONS_PERIOD),
     ):
         listed = ", ".join(f"{c.name} {c.dataType.simpleString()}" for c in columns)
-        partitions = f"{schemas.REJECTED}, {period}, {schemas.BATCH_ID}"
-        place = f"LOCATION '{location.rstrip('/')}/{name}'" if location else ""
+        partitions = ", ".join([schemas.REJECTED, period, *schemas.WRITER])
+        place = ""
+        if location:
+            path = f"{location.rstrip('/')}/{name}"
+            folders.make(spark, path)
+            place = f"LOCATION '{path}'"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {namespace}.{name}_log ({listed}) "
             f"USING parquet PARTITIONED BY ({partitions}) {place}"
         )
     spark.sql(
         f"CREATE VIEW IF NOT EXISTS {namespace}.trades AS "
-        f"SELECT {', '.join(schemas.TRADES.names)} "
+        f"SELECT {', '.join(schemas.TRADES.names)}, {schemas.TRADES_PERIOD} "
         f"FROM {namespace}.trades_log WHERE NOT {schemas.REJECTED}"
     )
-    newest = [
-        name
-        if name in schemas.TRADE_AGGREGATIONS_KEY
-        else f"max_by({name}, {schemas.BATCH_ID}) AS {name}"
-        for name in schemas.TRADE_AGGREGATIONS.names
-    ]
+    # The day follows from the window's start, so grouping by it changes nothing, and lets a
+    # filter on it through to the scan.
+    keys = ", ".join([*schemas.TRADE_AGGREGATIONS_KEY, schemas.AGGREGATIONS_PERIOD])
+    newest = ", ".join(
+        f"max_by({name}, {VERSION}) AS {name}"
+        for name in ("window_end", "price_sum", "price_count", "trade_count")
+    )
     spark.sql(
-        f"CREATE VIEW IF NOT EXISTS {namespace}.trade_aggregations AS SELECT {', '.join(newest)} "
-        f"FROM {namespace}.trade_aggregations_log WHERE NOT {schemas.REJECTED} "
-        f"GROUP BY {', '.join(schemas.TRADE_AGGREGATIONS_KEY)}"
+        f"CREATE VIEW IF NOT EXISTS {namespace}.trade_aggregations AS "
+        f"SELECT window_start, max(window_end) AS window_end, symbol, "
+        f"try_divide(sum(price_sum), sum(price_count)) AS avg_price, "
+        f"sum(trade_count) AS trade_count, {schemas.AGGREGATIONS_PERIOD} FROM ("
+        f"SELECT {keys}, {newest} FROM {namespace}.trade_aggregations_log "
+        f"WHERE NOT {schemas.REJECTED} GROUP BY {keys}, {schemas.SOURCE}) GROUP BY {keys}"
     )
 
 
+def refresh_tables(spark: SparkSession, namespace: str) -> None:
+    """Make files written by path visible to SQL; needed after a job has written."""
+    for log in ("trades_log", "trade_aggregations_log"):
+        spark.sql(f"MSCK REPAIR TABLE {namespace}.{log} SYNC PARTITIONS")
+        spark.catalog.refreshTable(f"{namespace}.{log}")
+
+
 def read_trades(
     spark: SparkSession,
     path: str,
     since: datetime | None = None,
     until: datetime | None = None,
     keyed: bool = False,
-    by_folder: bool = True,
 ) -> DataFrame:
     """Trades of the hours that touch [since, until]; exact bounds are the query's business.
 
-    With both bounds given and ``by_folder``, only the folders of those hours are listed,
-    however many the table has. Tables of ``start_raw_append`` must be read without it: their
-    list of committed files lies in the table's root.
-
-    ``keyed`` keeps the newest row of each id, as a store with the id as its key would. Of
-    trades stored under their event time that is one per millisecond; stable and random ids
-    do not repeat, and need no search.
+    ``keyed`` keeps the newest row of each id, as a store with the id as its key would: the
+    table as it was at ``until``, of what was ingested from ``since`` on, both bounds exact. Of
+    trades stored under their event time that is one per millisecond. Stable ids repeat where a
+    checkpoint was reset and the feed replayed, and for a line that a file holds twice.
     """
     rows = _accepted(
-        spark, path, schemas.STORED_TRADES, schemas.TRADES_PERIOD, clock.HOURLY, since, until,
-        by_folder,
+        spark, path, schemas.STORED_TRADES, schemas.TRADES_PERIOD, clock.HOURLY, since, until
     ).select(*schemas.TRADES.names)
-    return latest_row(rows, schemas.TRADES_KEY, ["ingestion_time"]) if keyed else rows
+    if not keyed:
+        return rows
+    if since is not None:
+        rows = rows.where(F.col("ingestion_time") >= clock.instant(since))
+    if until is not None:
+        rows = rows.where(F.col("ingestion_time") <= clock.instant(until))
+    return latest_row(rows, schemas.TRADES_KEY, ["ingestion_time"])
 
 
 def read_aggregations(
@@ -83,24 +101,37 @@ def read_aggregations(
     path: str,
     since: datetime | None = None,
     until: datetime | None = None,
-    versioned: bool = True,
 ) -> DataFrame:
-    """The newest stats of each window and symbol that starts in the days of [since, until].
+    """The stats of each window and symbol that starts in the days of [since, until].
 
-    Tables that get each window once (``start_stats_append``) need no search for the newest:
-    ``versioned=False`` reads them without a shuffle.
+    Of each source the newest row counts, whichever run wrote it; sources add up.
     """
-    log = _accepted(
+    newest = newest_sums(read_sums(spark, path, since, until))
+    total, n = F.sum("price_sum"), F.sum("price_count")
+    added = newest.groupBy(*schemas.TRADE_AGGREGATIONS_KEY).agg(
+        F.max("window_end").alias("window_end"),
+        F.try_divide(total, n).alias("avg_price"),
+        F.sum("trade_count").alias("trade_count"),
+    )
+    return added.select(*schemas.TRADE_AGGREGATIONS.names)
+
+
+def read_sums(
+    spark: SparkSession, path: str, since: datetime | None = None, until: datetime | None = None
+) -> DataFrame:
+    """The log of stats as written: every version of every source."""
+    return _accepted(
         spark, path, schemas.STORED_AGGREGATIONS, schemas.AGGREGATIONS_PERIOD, clock.DAILY,
         since, until,
     )
-    if not versioned:
-        return log.select(*schemas.TRADE_AGGREGATIONS.names)
-    return latest_version(
-        log.select(*schemas.TRADE_AGGREGATIONS.names, schemas.BATCH_ID),
-        schemas.TRADE_AGGREGATIONS_KEY,
-        schemas.BATCH_ID,
-    )
+
+
+def newest_sums(log: DataFrame) -> DataFrame:
+    """The newest row of each window, symbol and source."""
+    keys = [*schemas.TRADE_AGGREGATIONS_KEY, schemas.SOURCE]
+    values = [name for name in schemas.AGGREGATION_SUMS.names if name not in keys]
+    log = log.withColumn("version", F.expr(VERSION))
+    return log.groupBy(*keys).agg(*[F.max_by(name, "version").alias(name) for name in values])
 
 
 def read_rejected(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
@@ -116,44 +147,25 @@ def _accepted(
     pattern: str,
     since: datetime | None,
     until: datetime | None,
-    by_folder: bool = True,
 ) -> DataFrame:
-    """Rows with a full key, of the periods that touch [since, until].
+    """Rows with a full key, of the periods that touch [since, until]; open ends are allowed.
 
-    Spark cannot derive partition filters from a filter on the time column itself.
+    The period folders are listed, one level deep, and only those inside the bounds are read. A
+    table that does not exist is an error, a period without a folder is empty.
     """
-    if by_folder and since is not None and until is not None:
-        periods = clock.partition_keys_between(since, until, pattern)
-        if len(periods) <= _MAX_LISTED_PERIODS:
-            return _folders(spark, path, schema, period, periods)
-    rows = spark.read.schema(schema).parquet(path).where(~F.col(schemas.REJECTED))
-    if since is not None:
-        rows = rows.where(F.col(period) >= clock.partition_key_of(since, pattern))
-    if until is not None:
-        rows = rows.where(F.col(period) <= clock.partition_key_of(until, pattern))
-    return rows
-
-
-def _folders(
-    spark: SparkSession, path: str, schema: T.StructType, period: str, periods: list[str]
-) -> DataFrame:
-    """Only the named folders; a period without a folder has no rows."""
-    wanted = f"{path}/{schemas.REJECTED}=false/{period}={{{','.join(periods)}}}"
-    try:
-        return spark.read.schema(schema).option("basePath", path).parquet(wanted)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    first = None if since is None else clock.partition_key_of(since, pattern)
+    last = None if until is None else clock.partition_key_of(until, pattern)
+    accepted = f"{path.rstrip('/')}/{schemas.REJECTED}=false"
+    wanted = [
+        f"{accepted}/{period}={key}"
+        for key in folders.partition_values(spark, path, accepted, period)
+        if (first is None or key >= first) and (last is None or key <= last)
+    ]
+    if not wanted:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*wanted)
 
 
 def peek(table: DataFrame, *order: str, rows: int = 10) -> DataFrame:
     """The first rows under a full order, which keeps only that many per task."""
     return table.orderBy(*order).limit(rows)
-
-
-def refresh_tables(spark: SparkSession, namespace: str) -> None:
-    """Make files written by path visible to SQL; needed after a job has written."""
-    for log in ("trades_log", "trade_aggregations_log"):
-        spark.sql(f"ALTER TABLE {namespace}.{log} RECOVER PARTITIONS")
-        spark.catalog.refreshTable(f"{namespace}.{log}")

@@ -7,25 +7,24 @@ as running values that overwrite each other by key, with trades of any lateness
 
 from __future__ import annotations
 
+import itertools
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import clock, ids
 from tidemark.operators import ticks as tick_ops
 from tidemark.operators.envelopes import parse_envelopes
-from tidemark.operators.windows import LATENESS, WINDOW_SIZE, window_stats
+from tidemark.operators.windows import LATENESS, WINDOW_SIZE, window_stats, window_sums
 from tidemark.session import keep_state_off_heap, pin_utc
 from tidemark.streaming import sinks
 from tidemark.streaming.metrics import count_rows
 from tidemark.streaming.sinks import Table
 
-# Files that one micro-batch of stats may add to one day.
-FILES_PER_DAY = 4
-
-# Batch number of backfills; streams count from 0.
+# Run and batch number of backfills; streams have ids of their own and count from 0.
+BACKFILL_RUN = "backfill"
 BACKFILL = -1
 
 TICK_IDENTITY = ("message_id", "position", "symbol", "price", "volume", "timestamp")
@@ -60,7 +59,9 @@ def start_raw_append(
     """Trade rows with event time in whole seconds and the event time as id."""
     pin_utc(ticks.sparkSession)  # the id is a time as text
     rows = tick_ops.with_batch_stamp(tick_ops.raw_rows_by_event_time(ticks))
-    return sinks.start_append(count_rows(rows), table, checkpoint, **settings)
+    if not table.on_files:
+        return sinks.start_append(count_rows(rows), table, checkpoint, **settings)
+    return sinks.start_batches(count_rows(rows), table, checkpoint, "append", **settings)
 
 
 def start_stats_upsert(
@@ -69,7 +70,7 @@ def start_stats_upsert(
     checkpoint: str,
     size: str = WINDOW_SIZE,
     watermark: str | None = None,
-    files_per_day: int = FILES_PER_DAY,
+    files_per_day: int | None = None,
     **settings,
 ) -> StreamingQuery:
     """Running stats of the windows each batch changed.
@@ -78,8 +79,8 @@ def start_stats_upsert(
     and later trades are dropped and counted (``rows_dropped_as_late``).
     """
     keep_state_off_heap(ticks.sparkSession)
-    stats = window_stats(tick_ops.with_event_time(ticks), size, watermark)
     settings["files_per_period"] = files_per_day
+    stats = _stats(ticks, table, size, watermark)
     return sinks.start_batches(stats, table, checkpoint, "update", **settings)
 
 
@@ -89,16 +90,12 @@ def start_stats_append(
     checkpoint: str,
     size: str = WINDOW_SIZE,
     watermark: str = LATENESS,
-    files_per_day: int = FILES_PER_DAY,
+    files_per_day: int | None = None,
     **settings,
 ) -> StreamingQuery:
-    """Final stats of each window, once the watermark has passed its end.
-
-    Files go through the batch writer too: the plain file sink would write one file per
-    shuffle task and day, which for a backfill of years is more files than rows are worth.
-    """
+    """Final stats of each window, once the watermark has passed its end."""
     keep_state_off_heap(ticks.sparkSession)
-    stats = window_stats(tick_ops.with_event_time(ticks), size, watermark)
+    stats = _stats(ticks, table, size, watermark)
     if not table.on_files:
         return sinks.start_append(stats, table, checkpoint, **settings)
     settings["files_per_period"] = files_per_day
@@ -110,23 +107,38 @@ def backfill(
 ) -> None:
     """Write both tables from a batch of ticks, all windows included.
 
-    ``stamp`` is the ingestion time of all rows; running again with the same stamp replaces
-    what was written. Stored as a batch older than any of a stream: where a stream has stats
-    of the same window and symbol, those count.
+    ``stamp`` is the ingestion time of all rows; running again with the same tables and stamp
+    replaces what was written. The tables' source must be this backfill's own: what other
+    sources have of a window is added to what it has.
     """
     rows = tick_ops.raw_rows_exact(ticks, tick_id())
     rows = rows.withColumn("ingestion_time", clock.instant(stamp))
-    sinks.batch_writer(trades)(rows, BACKFILL)
-    result = window_stats(tick_ops.with_event_time(ticks), size)
-    sinks.batch_writer(stats, FILES_PER_DAY)(result, BACKFILL)
+    sinks.batch_writer(trades, BACKFILL_RUN)(rows, BACKFILL)
+    result = _stats(ticks, stats, size, None)
+    if stats.on_files:
+        result = result.withColumn("written_at", clock.instant(stamp))
+    # A batch has no state that fixes its number of tasks: files follow the size of a day.
+    sinks.batch_writer(stats, BACKFILL_RUN, files_per_period=1)(result, BACKFILL)
 
 
-def run_until_any_ends(spark: SparkSession, *queries: StreamingQuery) -> None:
-    """Block until one of the queries ends, then stop the others; a failure is raised."""
-    spark.streams.resetTerminated()  # forget queries of the session that ended earlier
+def _stats(ticks: DataFrame, table: Table, size: str, watermark: str | None) -> DataFrame:
+    """Stamped sums for files, which are added up when read, and averages for a store."""
+    ticks = tick_ops.with_event_time(ticks)
+    if not table.on_files:
+        return window_stats(ticks, size, watermark)
+    sums = window_sums(ticks, size, watermark)
+    return tick_ops.with_batch_stamp(sums).withColumnRenamed("ingestion_time", "written_at")
+
+
+def run_until_any_ends(*queries: StreamingQuery, poll_seconds: float = 1.0) -> None:
+    """Block until one of the given queries ends, then stop the others; a failure is raised.
+
+    Other queries of the session may start and end as they like.
+    """
     try:
-        if all(query.isActive for query in queries):
-            spark.streams.awaitAnyTermination()
+        waiting = itertools.cycle(queries)
+        while all(query.isActive for query in queries):
+            next(waiting).awaitTermination(poll_seconds)
     finally:
         for query in queries:
             query.stop()

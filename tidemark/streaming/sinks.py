@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,16 +15,24 @@ from tidemark import schemas
 from tidemark.functions import clock
 from tidemark.operators.ticks import keys_present
 
+# File formats that only append: a replayed batch would be there twice.
+_APPENDING = ("avro", "csv", "json", "orc", "text", "xml")
+
+
 @dataclass(frozen=True)
 class Table:
     """Where a stream writes: a folder of Parquet, or any store Spark has a connector for.
 
+    ``source`` names the feed that is written. Each source has its own part of the table: the
+    rows of several feeds, or of history and a live stream, stand side by side.
+
     Connectors take their settings (namespace, table, hosts) in ``options`` and do the keyed
     overwrite themselves. They get every row: a store that refuses rows without a key needs
     ``split_null_keys`` before it.
     """
 
     path: str | None
+    source: str
     keys: Sequence[str]
     time: str
     period: str
@@ -30,6 +40,10 @@ class Table:
     format: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        if self.format in _APPENDING:
+            raise ValueError(f"{self.format} cannot replace what a replayed batch wrote before")
+
     @property
     def on_files(self) -> bool:
         return self.format == "parquet"
@@ -41,9 +55,10 @@ class Table:
         )
 
 
-def trades_table(path: str | None, **settings) -> Table:
+def trades_table(path: str | None, source: str, **settings) -> Table:
     return Table(
         path,
+        source,
         schemas.TRADES_KEY,
         "ingestion_time",
         schemas.TRADES_PERIOD,
@@ -52,9 +67,10 @@ def trades_table(path: str | None, **settings) -> Table:
     )
 
 
-def aggregations_table(path: str | None, **settings) -> Table:
+def aggregations_table(path: str | None, source: str, **settings) -> Table:
     return Table(
         path,
+        source,
         schemas.TRADE_AGGREGATIONS_KEY,
         "window_start",
         schemas.AGGREGATIONS_PERIOD,
@@ -64,16 +80,17 @@ def aggregations_table(path: str | None, **settings) -> Table:
 
 
 def batch_writer(
-    table: Table, files_per_period: int | None = None
+    table: Table, run: str | Callable[[], str], files_per_period: int | None = None
 ) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that writes one micro-batch in one distributed job.
 
-    On files, a batch owns its batch_id partitions and overwrites just those, so a batch
-    that is replayed after a failure replaces what it wrote before. Failures are raised:
-    the stream stops and resumes from its checkpoint with no rows lost.
+    On files, a batch owns the partitions of its source, run and number and overwrites just
+    those, so a batch that is replayed after a failure replaces what it wrote before, and no
+    other writer's rows. Failures are raised: the stream stops and resumes from its checkpoint
+    with no rows lost.
 
-    ``files_per_period`` shuffles the rows once more for fewer files (``_evened``); unset,
-    every task writes a file for every period it has rows of.
+    Every task writes a file for every period it has rows of. ``files_per_period`` shuffles the
+    rows once more for fewer files (``_evened``); else that is left to ``compaction``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -81,8 +98,12 @@ def batch_writer(
             writer = batch.write.format(table.format).options(**table.options)
             writer.mode("append").save(table.path)
             return
-        rows = table.partitioned(batch).withColumn(
-            schemas.BATCH_ID, F.lit(batch_id).cast("bigint")
+        rows = table.partitioned(batch).withColumns(
+            {
+                schemas.SOURCE: F.lit(table.source),
+                schemas.RUN_ID: F.lit(run if isinstance(run, str) else run()),
+                schemas.BATCH_ID: F.lit(batch_id).cast("bigint"),
+            }
         )
         if files_per_period is not None:
             rows = _evened(rows, table, files_per_period)
@@ -91,13 +112,19 @@ def batch_writer(
             .options(**table.options)
             .option("partitionOverwriteMode", "dynamic")
             .mode("overwrite")
-            .partitionBy(schemas.REJECTED, table.period, schemas.BATCH_ID)
+            .partitionBy(schemas.REJECTED, table.period, *schemas.WRITER)
             .save(table.path)
         )
 
     return write
 
 
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint: a new one for each new checkpoint."""
+    [line] = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect()
+    return json.loads(line.value)["id"]
+
+
 def _evened(rows: DataFrame, table: Table, files_per_period: int) -> DataFrame:
     """Rows of a period together, in files of Spark's advisory size or in a fixed number.
 
@@ -120,7 +147,8 @@ def start_batches(
     files_per_period: int | None = None,
 ) -> StreamingQuery:
     """Write every micro-batch with ``batch_writer``."""
-    writer = rows.writeStream.foreachBatch(batch_writer(table, files_per_period))
+    run = cache(lambda: run_of(rows.sparkSession, checkpoint))
+    writer = rows.writeStream.foreachBatch(batch_writer(table, run, files_per_period))
     return _start(writer.outputMode(mode), checkpoint, name, trigger)
 
 
@@ -131,12 +159,8 @@ def start_append(
     name: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write with the format's own streaming sink; on files each row is committed once."""
-    if table.on_files:
-        rows = table.partitioned(rows)
+    """Write with the connector's own streaming sink."""
     writer = rows.writeStream.format(table.format).options(**table.options).outputMode("append")
-    if table.on_files:
-        writer = writer.partitionBy(schemas.REJECTED, table.period)
     if table.path is not None:
         writer = writer.option("path", table.path)
     return _start(writer, checkpoint, name, trigger)
