@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_SPACE, id_of, lower_ascii, text_of
+from tidemark.llm.common import ASCII_SPACE, durable, id_of, lower_ascii, text_of
 
 _BUCKET_BITS = 12
 _ROW = ("__row_id", "__row_hash")
@@ -61,7 +61,9 @@ def keep_bitmaps(
 
     ``kept`` maps the number of a group of 64 lines to the bits of its kept lines.
     """
-    lines = _lines(_with_row(docs, id_column, text_column), least_chars)
+    # Written once, in a few bytes per line: the range partitioning reads its input twice, and
+    # what it makes is used twice.
+    lines = durable(_lines(_with_row(docs, id_column, text_column), least_chars))
     run = [*_KEY, "bucket"]
     streamed = Window.partitionBy(*run).orderBy("__row_id", "pos")
     so_far = streamed.rowsBetween(Window.unboundedPreceding, Window.currentRow)
