@@ -64,7 +64,12 @@ def id_remainder(id_column: str, modulus: int) -> Column:
 
 def some_ids(ids: DataFrame, rows: int) -> DataFrame:
     """Up to ``rows`` rows of ``ids`` (id, ...), which are distinct, chosen by a hash of the id."""
-    return ids.orderBy(F.xxhash64("id"), "id").limit(rows)
+    return one_in(ids, ids.count() // (2 * rows), "id").orderBy(F.xxhash64("id"), "id").limit(rows)
+
+
+def one_in(frame: DataFrame, share: int, column: str) -> DataFrame:
+    """One of ``share`` values of a column, chosen by a hash; all if the share is 1 or less."""
+    return frame if share <= 1 else frame.where(F.pmod(F.xxhash64(column), F.lit(share)) == 0)
 
 
 def some_rows(frame: DataFrame, rows: int, seed: int) -> DataFrame:

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import durable, id_of, id_or_null, text_of
+from tidemark.llm.common import durable, id_of, id_or_null, one_in, text_of
 from tidemark.llm.components import connected_components
 
 SEED = 42
@@ -257,13 +257,14 @@ def near_links(
 ) -> DataFrame:
     """Links (a, b) that connect just those distinct fingerprints ``fp`` which are near.
 
-    The trees are fitted to at most ``sample_size`` fingerprints; every fingerprint is dealt and
+    The trees are fitted to about ``sample_size`` fingerprints at most; every fingerprint is dealt and
     searched. Only fitted trees are sent to the tasks.
     """
     total = distinct.count()
-    # Chosen by a hash, so the same for any order of rows.
-    chosen = distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample_size)
-    sample = chosen.toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+    # Chosen by a hash, so the same for any order of rows. Fingerprints are distinct.
+    chosen = one_in(distinct.select("fp"), -(-total // sample_size), "fp")
+    sample = np.sort(chosen.toPandas()["fp"].to_numpy(np.int64)).view(np.uint64)
+    sample = np.random.default_rng(1).permutation(sample)
     trees, slots = build_trees(sample, total, max_distance, blocks, per_shard)
     first = [_first_slot(tree.root) for tree in trees]
 

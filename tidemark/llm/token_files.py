@@ -9,7 +9,7 @@ A folder holds, for each part:
 - ``kind=docs/part=N``: two 64-bit integers per document, its id and its number of ids.
 
 and ``parts``, a table with the first token and the first document of each part. Parts, and the
-documents in them, are in ascending order of (id, text). All files are written by Spark's own
+documents in them, are in ascending order of (id, hash of the text). All files are written by Spark's own
 writer, so failed and repeated tasks leave nothing behind; a reader maps them into memory.
 
 Nulls: a null text is empty, so its ids are the end id alone; a null id comes first and is kept
@@ -52,14 +52,17 @@ def write_token_files(
     if end_id.to_bytes(width, "little")[-1]:
         raise ValueError("the end id must leave the highest byte of an id zero")
     spark = docs.sparkSession
-    texts = docs.select(id_of(id_column).alias("id"), text_of(text_column).alias("text"))
+    # Keys of a range partitioning are sampled to the driver: a hash of the text, not the text.
+    texts = docs.select(
+        id_of(id_column).alias("id"), text_of(text_column).alias("text")
+    ).withColumn("text_hash", F.xxhash64("text"))
     total = texts.agg(F.sum(F.octet_length("text") + 64)).first()[0]
     if total is None:
         spark.createDataFrame([], _PARTS).write.parquet(f"{path}/parts")
         return
     ordered = texts.repartitionByRange(
-        partitions_for(total, text_bytes_per_part), "id", "text"
-    ).sortWithinPartitions("id", "text")
+        partitions_for(total, text_bytes_per_part), "id", "text_hash"
+    ).sortWithinPartitions("id", "text_hash")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = PieceEncoder.shared(tokenizer, width)
@@ -87,7 +90,7 @@ def write_token_files(
         if held:
             yield chunk()
 
-    files = ordered.mapInPandas(encode, _FILES).sortWithinPartitions("kind", "part", "seq")
+    files = ordered.select("id", "text").mapInPandas(encode, _FILES).sortWithinPartitions("kind", "part", "seq")
     _write(files, path, "kind", "part")
     _write_offsets(spark, path)
 

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import durable, partitions_for
+from tidemark.llm.common import durable, one_in, partitions_for
 
 _FOUND = "query_id long, near array<struct<vec_id:long,score:double>>"
 _ALL = float("inf")
@@ -118,7 +118,7 @@ def nearest(
     hashing = Hashing(
         rng.normal(size=(tables, dimension, functions)),
         rng.uniform(size=(tables, functions)),
-        width * _median_distance(rows, sample_size),
+        width * _median_distance(one_in(rows, total // (4 * sample_size), "id"), sample_size),
         partitions_for(total, per_slot),
         {},
     )
