@@ -26,8 +26,14 @@ DISPLAY_NAMES = {
 }
 
 
+# Look-backs in minutes when none is given.
+COUNT_MINUTES = 10
+PRICE_MINUTES = 5
+TREND_MINUTES = 15
+
+
 def trade_count_by_symbol(
-    stats: DataFrame, now: datetime, lookback_minutes: float = 10
+    stats: DataFrame, now: datetime, lookback_minutes: float = COUNT_MINUTES
 ) -> DataFrame:
     """Total trades per symbol over the windows that start inside the look-back."""
     recent = _strictly_between(stats, "window_start", now, lookback_minutes)
@@ -36,7 +42,7 @@ def trade_count_by_symbol(
 
 
 def trade_count_share(
-    stats: DataFrame, now: datetime, lookback_minutes: float = 10
+    stats: DataFrame, now: datetime, lookback_minutes: float = COUNT_MINUTES
 ) -> DataFrame:
     """Each symbol's part of all trades.
 
@@ -49,7 +55,7 @@ def trade_count_share(
 
 
 def latest_price(
-    trades: DataFrame, now: datetime, lookback_minutes: float = 5
+    trades: DataFrame, now: datetime, lookback_minutes: float = PRICE_MINUTES
 ) -> DataFrame:
     """Last known price per symbol by event time; null where a symbol never had one.
 
@@ -67,7 +73,7 @@ def latest_price(
 
 
 def latest_trade_row(
-    trades: DataFrame, now: datetime, lookback_minutes: float = 5
+    trades: DataFrame, now: datetime, lookback_minutes: float = PRICE_MINUTES
 ) -> DataFrame:
     """The whole last trade of each symbol."""
     recent = _with_symbol(_since(trades, now, lookback_minutes))
@@ -86,7 +92,7 @@ def latest_price_label(latest: DataFrame) -> DataFrame:
     )
 
 
-def trends(trades: DataFrame, now: datetime, lookback_minutes: float = 15) -> DataFrame:
+def trends(trades: DataFrame, now: datetime, lookback_minutes: float = TREND_MINUTES) -> DataFrame:
     """Trade count, total volume and mean price per ingested batch and symbol, in one pass.
 
     The single trends below are projections of it: figures they leave out are not computed
@@ -96,25 +102,25 @@ def trends(trades: DataFrame, now: datetime, lookback_minutes: float = 15) -> Da
 
 
 def trade_count_trend(
-    trades: DataFrame, now: datetime, lookback_minutes: float = 15
+    trades: DataFrame, now: datetime, lookback_minutes: float = TREND_MINUTES
 ) -> DataFrame:
     return trends(trades, now, lookback_minutes).select("time", "symbol", "trade_count")
 
 
 def volume_trend(
-    trades: DataFrame, now: datetime, lookback_minutes: float = 15
+    trades: DataFrame, now: datetime, lookback_minutes: float = TREND_MINUTES
 ) -> DataFrame:
     return trends(trades, now, lookback_minutes).select("time", "symbol", "total_volume")
 
 
 def price_trend(
-    trades: DataFrame, now: datetime, lookback_minutes: float = 15
+    trades: DataFrame, now: datetime, lookback_minutes: float = TREND_MINUTES
 ) -> DataFrame:
     return trends(trades, now, lookback_minutes).select("time", "symbol", "price")
 
 
 def volume_stacked(
-    trades: DataFrame, now: datetime, lookback_minutes: float = 15
+    trades: DataFrame, now: datetime, lookback_minutes: float = TREND_MINUTES
 ) -> DataFrame:
     """``volume_trend`` with the height of each symbol's band when bands are stacked.
 
