@@ -63,23 +63,32 @@ def _windows(mask: int, words: str = "words", where: str = "true") -> str:
 
 
 class _Bitmap:
-    """Which values may be there: a fixed number of bits, set by the values' own bits."""
+    """Which hashes may be there: each sets two of a bounded number of bits."""
 
     def __init__(self, values: DataFrame, column: str) -> None:
-        wanted = 16 * max(1, values.count())
+        wanted = 32 * max(1, values.count())
         self.longs = min(_MOST_BITS, max(1 << 12, 1 << math.ceil(math.log2(wanted)))) // 64
-        place = f"shiftrightunsigned({column}, 40) & {self.longs - 1}"
-        rows = values.groupBy(F.expr(place).alias("at")).agg(
-            F.expr(f"bit_or(shiftleft(1L, cast({column} & 63 as int)))").alias("bits")
-        )
+        pairs = ", ".join(f"named_struct('at', {at}, 'bit', {bit})" for at, bit in self._places(column))
+        each = values.select(F.expr(f"inline(array({pairs}))"))
+        rows = each.groupBy("at").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
         bits = dict(rows.collect())  # at most ``longs`` rows
         # One literal, which the optimizer turns into an array before the query runs.
         listed = ",".join(str(bits.get(at, 0)) for at in range(self.longs))
         self.array = f"from_json('[{listed}]', 'array<bigint>')"
 
+    def _places(self, value: str) -> list[tuple[str, str]]:
+        """The two places of a hash, from bits of it that do not overlap."""
+        return [
+            (
+                f"cast(shiftrightunsigned({value}, {skip + 6}) & {self.longs - 1} as int)",
+                f"cast(shiftrightunsigned({value}, {skip}) & 63 as int)",
+            )
+            for skip in (0, 32)
+        ]
+
     def holds(self, value: str) -> str:
-        at = f"cast(shiftrightunsigned({value}, 40) & {self.longs - 1} as int)"
-        return f"(shiftright({self.array}[{at}], cast({value} & 63 as int)) & 1L) = 1L"
+        tests = (f"(shiftright({self.array}[{at}], {bit}) & 1L) = 1L" for at, bit in self._places(value))
+        return "(" + " and ".join(tests) + ")"
 
 
 def leaks(
