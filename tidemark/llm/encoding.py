@@ -21,7 +21,7 @@ _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _PLAIN = r"0-9!-&(-/:-@\[-`{-~"
 _PARTS = re.compile(rf"[{_LATIN}]+|[^{_LATIN}]+")
 _SIMPLE = re.compile(rf"(?:[{_LATIN}{_PLAIN}]|\n(?!\n))+")
-KEPT = 400_000
+KEPT = 600_000
 KEPT_CHARS = 48
 _encoders: dict[tuple, PieceEncoder] = {}
 
@@ -43,6 +43,7 @@ class PieceEncoder:
         self.special = [each.content for each in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces: dict[str, bytes] = {}  # of pieces after a space
         self.parts: dict[str, bytes] = {}
+        self.firsts: dict[str, bytes] = {}  # of pieces at the start of a text
 
     @classmethod
     def shared(cls, path: str, width: int = 2) -> PieceEncoder:
@@ -67,7 +68,15 @@ class PieceEncoder:
                 new = [at for at, found in enumerate(ids) if found is None]
             for at, value in zip(new, self._new([rest[at] for at in new]), strict=True):
                 ids[at] = value
-        return b"".join([*self._raw([first]), *ids])
+        return b"".join([self._first(first), *ids])
+
+    def _first(self, piece: str) -> bytes:
+        found = self.firsts.get(piece)
+        if found is None:
+            [found] = self._raw([piece])
+            if len(self.firsts) < KEPT and len(piece) <= KEPT_CHARS:
+                self.firsts[piece] = found
+        return found
 
     def _new(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces after a space, by way of their parts."""
