@@ -263,6 +263,42 @@ def test_leaks(spark, docs, none):
     assert decontaminate.drop_leaking(docs, items.limit(0)).count() == len(ROWS)
 
 
+def test_leaks_of_two_passages(spark):
+    """A passage is found whatever stands between it and the next one; so is the longest stretch."""
+    words = [f"word{at}" for at in range(59)]
+    mask = decontaminate.MASKS[0]
+    texts = {
+        1: ["other" if 22 <= at < 37 else word for at, word in enumerate(words)],
+        2: words[:22] + ["other"] * 37,
+        # Word for word, then windows of which two thirds agree.
+        3: [word if at < 22 or mask[at % 12] == "1" else "other" for at, word in enumerate(words)],
+        4: words,
+        5: [word if mask[at % 12] == "1" else "other" for at, word in enumerate(words)],
+    }
+
+    def longest(text):
+        same = [a == b for a, b in zip(text, words, strict=True)]
+        hits = [
+            at
+            for at in range(len(words) - 11)
+            if any(all(same[at + i] for i in range(12) if each[i] == "1") for each in decontaminate.MASKS)
+        ]
+        found = [(b + 12 - a, -a) for a in hits for b in hits if b >= a and sum(same[a : b + 12]) >= 0.8 * (b + 12 - a)]
+        return max(found, default=None), sum(same)
+
+    want = {}
+    for doc_id, text in texts.items():
+        best, matched = longest(text)
+        if best:
+            want[doc_id] = (1 - best[1], -best[1], best[0], matched)
+    assert want.keys() == {1, 2, 3, 4}
+    docs = spark.createDataFrame([(i, " ".join(["before", *text])) for i, text in texts.items()], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = {row.row_id: tuple(row)[3:] for row in decontaminate.leaks(docs, items).collect()}
+    assert got == want
+    assert [row.doc_id for row in decontaminate.drop_leaking(docs, items).collect()] == [5]
+
+
 PAGE = """<html><head><title>T</title></head><body><header class="site-header"><h1>Site</h1></header>
 <nav><ul><li><a href="/">Home</a></li></ul></nav><div id="content"><h2>The story of a bridge</h2>
 <p>It was built in 1900 &amp; it still   stands, they say.</p><div class="ad-box">Buy now, dear reader, only today

@@ -3,10 +3,11 @@
 Texts become words: runs of letters and digits in lower case. A fixed mask selects some of the
 words of a window and ignores the rest, so that a window with replaced words still has the same
 hash as the original if only ignored positions changed; several masks ignore different ones.
-Windows of documents are joined with those of the items by hash. All hits of a document and an
-item with the same displacement are then verified word by word: around the hits at least
-``least_match`` of the words must agree, and along the whole item at least ``least_words``, or
-that share of the words of a shorter item.
+Windows of documents are joined with those of the items by hash. The hits of a document and an
+item with the same displacement are then verified word by word: in the longest stretch from one
+hit to another, or to itself, at least ``least_match`` of the words must agree, and along the
+whole item at least ``least_words``, or that share of the words of a shorter item. A passage is
+found whatever lies between it and the next one.
 
 Before the join two bitmaps of bounded size, of the items' words and of their window hashes, rule
 out nearly all windows where they are made; they have false positives only, which the join and
@@ -62,6 +63,31 @@ def _windows(mask: int, words: str = "words", where: str = "true") -> str:
     return f"if(size({words}) >= {SPAN}, {windows}, array())"
 
 
+def _longest_stretch(least_match: float) -> str:
+    """(n_words, item_start) of the longest stretch between hits, of several the first, in which
+    the share of the words agrees; null if there is none. Positions count from ``first``.
+
+    The hits are those windows of which a mask's words agree. Only documents whose words from the
+    first to the last hit fail as a whole come here.
+    """
+    same = "transform(sequence(first, last - 1), j -> doc_words[cast(j + shift as int)] = words[j])"
+    masks = (" and ".join(f"same[i + {at}]" for at in _selected(mask)) for mask in MASKS)
+    is_hit = " or ".join(f"({mask})" for mask in masks)
+    hits = f"filter(sequence(0, size(same) - {SPAN}), i -> {is_hit})"
+    # Agreeing words before each position, and after the last.
+    sums = "aggregate(same, array(0), (sums, x) -> concat(sums, array(element_at(sums, -1) + int(x))))"
+    passes = f"sums[b + {SPAN}] - sums[a] >= (b + {SPAN} - a) * {least_match!r}D"
+    last = f"array_max(filter(hits, b -> b >= a and {passes}))"
+    each = f"transform(hits, a -> struct({last} + {SPAN} - a as n_words, -a as start))"
+    best = f"array_max(filter({each}, x -> x.n_words is not null))"
+
+    def let(name: str, value: str, body: str) -> str:
+        return f"transform(array({value}), {name} -> {body})[0]"
+
+    found = f"if(best is null, null, struct(best.n_words as n_words, cast(first - best.start as int) as item_start))"
+    return let("same", same, let("hits", hits, let("sums", sums, let("best", best, found))))
+
+
 class _Bitmap:
     """Which hashes may be there: each sets two of a bounded number of bits."""
 
@@ -105,8 +131,8 @@ def leaks(
     """One row per row of ``docs`` and item that it holds a passage of.
 
     Columns: row_id, row_hash (of the text), item_id, doc_start and item_start (word positions
-    of the first hit's window), n_words (from the first hit to the end of the last) and
-    n_matched (words that agree along the whole item).
+    of the window of the passage's first hit), n_words (from there to the end of the last hit of
+    the longest stretch that passes) and n_matched (words that agree along the whole item).
     """
     item_words = durable(
         items.select(
@@ -155,15 +181,31 @@ def leaks(
     counted = with_words.select(
         *_ROW,
         "item_id",
-        (F.col("first") + F.col("shift")).cast("int").alias("doc_start"),
-        F.col("first").alias("item_start"),
-        (F.col("last") - F.col("first")).alias("n_words"),
+        "shift",
+        "first",
+        "last",
+        "words",
+        "doc_words",
         F.expr(agree.format(a="first", b="last")).alias("near"),
         F.expr(agree.format(a="0", b="size(words)")).alias("n_matched"),
         F.least(F.lit(least_words), F.ceil(F.size("words") * F.lit(least_match))).alias("needed"),
-    )
-    verified = counted.where(
-        (F.col("near") >= F.col("n_words") * F.lit(least_match)) & (F.col("n_matched") >= F.col("needed"))
+        _once(),
+    ).where((F.col("once") >= 0) & (F.col("n_matched") >= F.col("needed")))
+    stretch = F.when(
+        F.col("near") >= (F.col("last") - F.col("first")) * F.lit(least_match),
+        F.struct((F.col("last") - F.col("first")).alias("n_words"), F.col("first").alias("item_start")),
+    ).otherwise(F.expr(_longest_stretch(least_match)))
+    verified = (
+        counted.select(*_ROW, "item_id", "shift", "n_matched", stretch.alias("stretch"), _once())
+        .where((F.col("once") >= 0) & F.col("stretch").isNotNull())
+        .select(
+            *_ROW,
+            "item_id",
+            (F.col("stretch.item_start") + F.col("shift")).cast("int").alias("doc_start"),
+            "stretch.item_start",
+            "stretch.n_words",
+            "n_matched",
+        )
     )
     best = F.max(F.struct("n_matched", "n_words", -F.col("doc_start"), -F.col("item_start"))).alias("best")
     return verified.groupBy(*_ROW, "item_id").agg(best).select(
