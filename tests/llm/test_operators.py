@@ -321,6 +321,34 @@ def test_html_text(spark):
     assert html_extract.extract_text(pages.limit(0)).count() == 0
 
 
+_ARTICLE = "<article><p>The first of two paragraphs, it has a few words.</p><p>And the second one, also with words.</p></article>"
+_ARTICLE_TEXT = ["The first of two paragraphs, it has a few words.", "And the second one, also with words."]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<body><div class="overflow-hidden">{_ARTICLE}</div></body>',
+        f'<body><div style="overflow:hidden">{_ARTICLE}</div></body>',
+        f'<body><div aria-hidden="false" data-hidden="no">{_ARTICLE}</div></body>',
+        f"<html><head><title>T</title><meta charset=utf-8><body>{_ARTICLE}</body></html>",
+        f"<html><head><title>T</title><style>p {{}}</style>{_ARTICLE}</html>",
+        f"<body><svg-icon></svg-icon>{_ARTICLE}<template-x></template-x></body>",
+        f"<body><title-bar></title-bar>{_ARTICLE}</body>",
+        f'<body><svg viewBox="0 0 1 1"/>{_ARTICLE}<iframe src="x" /></body>',
+    ],
+)
+def test_html_text_is_not_skipped(page):
+    assert html_extract.content_blocks(page) == _ARTICLE_TEXT
+
+
+@pytest.mark.parametrize("hidden", ["hidden", 'hidden=""', "aria-hidden=true", 'style="color: red; display : none"'])
+def test_html_text_that_is_hidden(hidden):
+    inner = "<p>Nobody sees this one, although it is a sentence.</p>"
+    assert html_extract.content_blocks(f"<body>{_ARTICLE}<main><div {hidden}>{inner}</div></main></body>") == _ARTICLE_TEXT
+    assert html_extract.content_blocks(f"<head><title>T</title></head><svg><p>x</p></svg >{_ARTICLE}") == _ARTICLE_TEXT
+
+
 def test_minimum_cut():
     # Two nodes of which one is torn between its own evidence and a strong neighbour.
     assert html_extract.source_side([5.0, 1.0], [0.0, 2.0], [(0, 1, 3.0)]) == [True, True]

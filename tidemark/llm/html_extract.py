@@ -34,19 +34,22 @@ _BOILERPLATE = frozenset(["nav", "footer", "aside", "form", "menu", "dialog", "f
 _CONTENT = frozenset(["article", "main"])
 _CONTAINERS = _SKIPPED | _BOILERPLATE | _CONTENT | frozenset(["div", "section", "header", "ul", "ol", "dl", "table", "figure", "blockquote", "details", "address", "body", "center"])
 _BREAKS = _CONTAINERS | frozenset(["p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "tr", "td", "th", "pre", "hr", "caption", "figcaption", "summary", "legend", "label", "input", "html", "thead", "tbody", "tfoot"])
+# What may stand in a head; anything else ends it, as it does in a browser.
+_HEAD = frozenset(["html", "head", "title", "meta", "link", "base", "basefont", "bgsound", "noframes", "script", "style", "noscript", "template"])
 _HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 # Words of class names, ids and roles.
 _BOILERPLATE_WORDS = frozenset(["ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "banner", "sidebar", "side", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "foot", "masthead", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "register", "search", "share", "sharing", "social", "related", "recommended", "recommendations", "trending", "popular", "comment", "comments", "commentlist", "disqus", "reply", "replies", "respond", "discussion", "widget", "pagination", "pager", "copyright", "legal", "disclaimer", "toolbar", "skip", "complementary", "contentinfo", "form", "feedback", "survey", "paywall"])
 _CONTENT_WORDS = frozenset(["article", "content", "main", "post", "entry", "story", "text", "maincontent", "articlebody"])
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*')*+)>"
+    rf"<!--.*?(?:-->|\Z)|<(?:{_RAW})(?=[\s/])(?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*')*+(?<=/)>"
+    rf"|<({_RAW})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>\"'<]*)((?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*')*+)>"
     r"|<[/!?a-zA-Z][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+_UNSEEN = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.IGNORECASE)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SENTENCE_END = re.compile(r"[.!?…。:;]['\")\]»”]*\Z")
 
@@ -89,12 +92,25 @@ class _Open:
     skipped: bool
 
 
-def _name_words(attributes: str) -> set[str]:
-    words: set[str] = set()
-    for groups in _NAMES.findall(attributes):
-        for word in _WORDS.findall("".join(groups)):
-            words.add(word.lower())
-    return words
+def _attributes(attributes: str) -> dict[str, str]:
+    """Values by name in lower case; the first of several counts."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    return (
+        "hidden" in attributes
+        or attributes.get("aria-hidden", "").strip().lower() == "true"
+        or bool(_UNSEEN.search(attributes.get("style", "")))
+    )
+
+
+def _name_words(attributes: dict[str, str]) -> set[str]:
+    names = (attributes.get(name, "") for name in ("class", "id", "role"))
+    return {word.lower() for name in names for word in _WORDS.findall(name)}
 
 
 @dataclass
@@ -118,6 +134,8 @@ class _Page:
             parts, linked, own = [], 0, 0.0
 
         for match in _TOKEN.finditer(page):
+            if stack[-1].tag == "head" and page[at : match.start()].strip():
+                stack.pop()
             if match.start() > at and not stack[-1].skipped:
                 text = html.unescape(page[at : match.start()])
                 parts.append(text)
@@ -128,6 +146,8 @@ class _Page:
             if not name:
                 continue  # comments, scripts, declarations
             name = name.lower()
+            if stack[-1].tag == "head" and not closing and name not in _HEAD:
+                stack.pop()
             if name == "a":
                 links = 0 if closing else 1
                 continue
@@ -151,6 +171,8 @@ class _Page:
                     stack.append(_Open(name, containers, content, boilerplate, skipped))
             else:
                 own = boilerplate - stack[-1].boilerplate
+        if stack[-1].tag == "head":
+            stack.pop()
         if at < len(page) and not stack[-1].skipped:
             parts.append(html.unescape(page[at:]))
         flush()
@@ -166,14 +188,15 @@ class _Page:
         elif name == "header" and outer.content < costs.content_element:
             boilerplate += costs.header
         if attributes:
-            words = _name_words(attributes)
+            given = _attributes(attributes)
+            words = _name_words(given)
             if words & _BOILERPLATE_WORDS and name not in _CONTENT and name != "body":
                 boilerplate += costs.boilerplate
             elif words & _CONTENT_WORDS and name != "body":
                 content += costs.content_name
             elif "header" in words and outer.content < costs.content_element:
                 boilerplate += costs.header
-            skipped = skipped or bool(_HIDDEN.search(attributes))
+            skipped = skipped or _hidden(given)
         return content, boilerplate, skipped
 
     def _add(self, text: str, linked: int, tag: str, holder: _Open, own: float) -> None:
