@@ -349,6 +349,25 @@ def test_html_text_that_is_hidden(hidden):
     assert html_extract.content_blocks(f"<head><title>T</title></head><svg><p>x</p></svg >{_ARTICLE}") == _ARTICLE_TEXT
 
 
+@pytest.mark.parametrize("given", ['section id="side-effects"', 'div id="search-methods"', 'section class="legal-history"', 'div id="discussion"'])
+def test_html_text_under_ambiguous_names(given):
+    name = given.split()[0]
+    inner = f'<{given}><h2 id="popular-culture">In popular culture</h2><p>It is often seen in films.</p></{name}>'
+    page = _ARTICLE.replace("</article>", f"{inner}</article>")
+    assert html_extract.content_blocks(page) == [*_ARTICLE_TEXT, "In popular culture", "It is often seen in films."]
+
+
+def test_html_text_outweighs_names():
+    text = "A long text that nobody would call a comment or an advert. " * 80
+    assert html_extract.content_blocks(f'<div class="sidebar"><p>{text}</p></div>') == [text.strip()]
+    for given in ("comments", "sidebar", "cookie-notice", "site-footer", "related-posts"):
+        inner = f'<div class="{given}"><a href="/">More to be read about it</a></div>'
+        assert html_extract.content_blocks(_ARTICLE + inner) == _ARTICLE_TEXT
+    for given in ("comments", "sidebar", "cookie-notice"):
+        inner = f'<div class="{given}"><p>One or two words of somebody else, as they are often found there.</p></div></article>'
+        assert html_extract.content_blocks(_ARTICLE.replace("</article>", inner)) == _ARTICLE_TEXT
+
+
 def test_minimum_cut():
     # Two nodes of which one is torn between its own evidence and a strong neighbour.
     assert html_extract.source_side([5.0, 1.0], [0.0, 2.0], [(0, 1, 3.0)]) == [True, True]

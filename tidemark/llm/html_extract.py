@@ -5,6 +5,7 @@ block (the elements it stands in, their class names, its length, its links) beco
 capacities of its two terminal edges: from the source, what it costs to call it boilerplate; to
 the sink, what it costs to call it content. Edges between neighbouring blocks, and between
 successive blocks of one container, cost as much as it takes to label them differently. The
+evidence of length grows with the text, so that a long one outweighs any name around it. The
 maximum flow gives the cheapest labelling of all blocks of the page at once; the blocks on the
 source's side are the text.
 
@@ -39,6 +40,10 @@ _HEAD = frozenset(["html", "head", "title", "meta", "link", "base", "basefont",
 _HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 # Words of class names, ids and roles.
 _BOILERPLATE_WORDS = frozenset(["ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "banner", "sidebar", "side", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "foot", "masthead", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "register", "search", "share", "sharing", "social", "related", "recommended", "recommendations", "trending", "popular", "comment", "comments", "commentlist", "disqus", "reply", "replies", "respond", "discussion", "widget", "pagination", "pager", "copyright", "legal", "disclaimer", "toolbar", "skip", "complementary", "contentinfo", "form", "feedback", "survey", "paywall"])
+# Of these, words that titles of chapters have as well: by themselves they say little.
+_AMBIGUOUS_WORDS = frozenset(["side", "search", "form", "legal", "related", "popular", "notice", "notices", "discussion", "register", "survey", "alert", "alerts", "consent", "feedback", "reply", "replies", "respond", "subscription", "promotion", "trending", "skip", "disclaimer", "foot"])
+# What a name may hold beside them and still be one of boilerplate as a whole.
+_PLACE_WORDS = frozenset(["site", "page", "box", "bar", "list", "item", "items", "wrap", "wrapper", "container", "section", "area", "block", "inner", "outer", "primary", "secondary", "left", "right", "top", "bottom", "links", "link", "buttons", "button", "slot", "unit", "policy", "global", "header", "title", "body", "row", "col", "js", "is", "the"])
 _CONTENT_WORDS = frozenset(["article", "content", "main", "post", "entry", "story", "text", "maincontent", "articlebody"])
 
 _TOKEN = re.compile(
@@ -59,14 +64,16 @@ class Costs:
     """Weights of the linear costs, in the unit of one neighbour edge inside a container."""
 
     per_char: float = 1 / 60
-    most_for_length: float = 3.0
     sentence: float = 0.5
     heading: float = 0.5
     content_element: float = 5.0
     content_name: float = 2.0
     any_block: float = 1.0
     links: float = 4.0
-    boilerplate: float = 60.0
+    boilerplate: float = 60.0  # elements and whole names
+    boilerplate_inside: float = 30.0  # whole names inside article and main
+    part_of_name: float = 6.0
+    ambiguous: float = 3.0
     header: float = 6.0
     neighbour: float = 1.0
     across: float = 0.25
@@ -108,9 +115,31 @@ def _hidden(attributes: dict[str, str]) -> bool:
     )
 
 
-def _name_words(attributes: dict[str, str]) -> set[str]:
-    names = (attributes.get(name, "") for name in ("class", "id", "role"))
-    return {word.lower() for name in names for word in _WORDS.findall(name)}
+def _names(attributes: dict[str, str]) -> list[set[str]]:
+    """The words of each class, id and role."""
+    names = (name for key in ("class", "id", "role") for name in attributes.get(key, "").split())
+    return [{word.lower() for word in _WORDS.findall(name)} for name in names]
+
+
+def _name_cost(names: list[set[str]], inside: bool, costs: Costs) -> float:
+    """What the names say for boilerplate: the most that one of them does.
+
+    Whole names (comments, sidebar, cookie-notice) say much, names that hold other words, too
+    (side-effects, banner-history), or ambiguous words only (discussion) a few units.
+    """
+    most = 0.0
+    for words in names:
+        known = words & _BOILERPLATE_WORDS
+        if not known:
+            continue
+        if known <= _AMBIGUOUS_WORDS:
+            cost = costs.ambiguous
+        elif words <= _BOILERPLATE_WORDS | _PLACE_WORDS | _CONTENT_WORDS:
+            cost = costs.boilerplate_inside if inside else costs.boilerplate
+        else:
+            cost = costs.part_of_name
+        most = max(most, cost)
+    return most
 
 
 @dataclass
@@ -189,12 +218,14 @@ class _Page:
             boilerplate += costs.header
         if attributes:
             given = _attributes(attributes)
-            words = _name_words(given)
-            if words & _BOILERPLATE_WORDS and name not in _CONTENT and name != "body":
-                boilerplate += costs.boilerplate
-            elif words & _CONTENT_WORDS and name != "body":
+            names = _names(given)
+            words = set().union(*names)
+            inside = outer.content >= costs.content_element
+            against = _name_cost(names, inside, costs) if name not in _CONTENT and name != "body" else 0.0
+            boilerplate += against
+            if words & _CONTENT_WORDS and name != "body" and against <= costs.ambiguous:
                 content += costs.content_name
-            elif "header" in words and outer.content < costs.content_element:
+            elif "header" in words and not against and not inside:
                 boilerplate += costs.header
             skipped = skipped or _hidden(given)
         return content, boilerplate, skipped
@@ -202,7 +233,7 @@ class _Page:
     def _add(self, text: str, linked: int, tag: str, holder: _Open, own: float) -> None:
         costs = self.costs
         share = min(1.0, linked / len(text))
-        content = min(costs.most_for_length, len(text) * costs.per_char) * (1 - share)
+        content = len(text) * costs.per_char * (1 - share)
         if _SENTENCE_END.search(text):
             content += costs.sentence
         if tag in _HEADINGS:
