@@ -410,6 +410,20 @@ def test_nearest_of_few_vectors(spark):
     assert vector_search.nearest(frame.limit(0), F.col("id") % 100 == 0, 10).count() == 0
 
 
+def test_nearest_of_repeated_rows(spark):
+    """Copies of a row take no other row's place, whether or not the query has enough."""
+    from pyspark.sql import functions as F
+
+    near = [(i, [1.0, 0.01 * i]) for i in range(1, 11)]
+    far = [(i, [-1.0, 0.1 * i]) for i in range(11, 50)]
+    copies = [(7, [1.0, 0.001])] * 20
+    frame = spark.createDataFrame([(0, [1.0, 0.0])] + near + far + copies, "vec_id long, embedding array<double>")
+    for per_slot in (50_000, 20):
+        got = vector_search.nearest(frame, F.col("id") == 0, 10, per_slot=per_slot).orderBy("rank").collect()
+        assert [row.vec_id for row in got] == [7, *range(1, 10)]
+        assert [row["rank"] for row in got] == list(range(1, 11))
+
+
 def test_quality_learns_from_positives_alone():
     rng = np.random.default_rng(2)
     good = rng.normal(0, 1, (3000, quality.N_FEATURES))

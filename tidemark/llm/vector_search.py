@@ -244,6 +244,7 @@ def _compare(
     points, ids = _stack(data["vector"]), data["id"].to_numpy()
     cells, of_cell = np.unique(np.floor(hashing.cells(points, table)), axis=0, return_inverse=True)
     of_cell = of_cell.ravel()
+    repeated = len(np.unique(ids)) < len(ids)
     found = []
     for query_id, vector, reach in zip(asking["id"], asking["vector"], asking["reach"], strict=True):
         query = np.asarray(vector, dtype=np.float64)
@@ -258,11 +259,16 @@ def _compare(
         if not len(at):
             continue
         scores = np.sqrt(((points[at] - query) ** 2).sum(axis=1))
+        if repeated:
+            # Copies of a row count once, so they go before the best are cut off.
+            order = np.lexsort((ids[at], scores))
+            at, scores = at[order], scores[order]
+            new = np.append(True, (np.diff(ids[at]) != 0) | (np.diff(scores) != 0))
+            at, scores = at[new], scores[new]
         if len(at) > k:
             near = scores <= np.partition(scores, k - 1)[k - 1]
             at, scores = at[near], scores[near]
-        order = np.lexsort((ids[at], scores))
-        pairs = dict.fromkeys(zip(ids[at][order].tolist(), scores[order].tolist(), strict=True))
-        best = [{"vec_id": v, "score": s} for v, s in itertools.islice(pairs, k)]
-        found.append((int(query_id), best))
+        order = np.lexsort((ids[at], scores))[:k]
+        pairs = zip(ids[at][order].tolist(), scores[order].tolist(), strict=True)
+        found.append((int(query_id), [{"vec_id": v, "score": s} for v, s in pairs]))
     return found
