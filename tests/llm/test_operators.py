@@ -299,6 +299,28 @@ def test_leaks_of_two_passages(spark):
     assert [row.doc_id for row in decontaminate.drop_leaking(docs, items).collect()] == [5]
 
 
+def test_leaks_of_short_items(spark):
+    items = spark.createDataFrame(
+        [(1, "Who built the old bridge?"), (2, "谁建造了这座桥"), (3, ITEM), (4, "?!"), (5, "eleven words are one too few for the masks of twelve")],
+        "item_id long, text string",
+    )
+    docs = spark.createDataFrame(
+        [
+            (1, "They ask: who built the OLD bridge, and who built the old bridge"),
+            (2, "they ask who built the new bridge"),
+            (3, "问题：谁建造了这座桥？"),
+            (4, "who built the old"),
+            (5, f"{ITEM} eleven words are one too few for the masks of twelve"),
+        ],
+        "doc_id long, text string",
+    )
+    got = {(row.row_id, row.item_id): tuple(row)[3:] for row in decontaminate.leaks(docs, items).collect()}
+    n = len(ITEM.split())
+    assert got == {(1, 1): (2, 0, 5, 5), (3, 2): (1, 0, 1, 1), (5, 3): (0, 0, n, n), (5, 5): (n, 0, 11, 11)}
+    short = items.where("item_id = 1")
+    assert sorted(row.doc_id for row in decontaminate.drop_leaking(docs, short).collect()) == [2, 3, 4, 5]
+
+
 PAGE = """<html><head><title>T</title></head><body><header class="site-header"><h1>Site</h1></header>
 <nav><ul><li><a href="/">Home</a></li></ul></nav><div id="content"><h2>The story of a bridge</h2>
 <p>It was built in 1900 &amp; it still   stands, they say.</p><div class="ad-box">Buy now, dear reader, only today

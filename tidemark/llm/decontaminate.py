@@ -14,8 +14,8 @@ out nearly all windows where they are made; they have false positives only, whic
 the check remove. Everything is built-in expressions.
 
 Nulls: null texts have no words. Rows without an id are searched, too, and reported with a null
-id. Items shorter than the longest mask are too short to identify a leak and are not searched
-for. Repeated items and rows are reported each, repeated pairs of ids once. An empty table on
+id. Items shorter than a mask are found where a document holds all their words in a row, whatever
+stands around them; items without words are not searched for. Repeated items and rows are reported each, repeated pairs of ids once. An empty table on
 either side gives an empty result; other columns are not looked at.
 """
 
@@ -63,6 +63,14 @@ def _windows(mask: int, words: str = "words", where: str = "true") -> str:
     return f"if(size({words}) >= {SPAN}, {windows}, array())"
 
 
+def _whole(length: int, where: str = "true") -> str:
+    """An array of (hash, pos) of the windows of ``length`` words at which ``where`` holds."""
+    chosen = ", ".join(f"words[i + {at}]" for at in range(length))
+    starts = f"filter(sequence(0, size(words) - {length}), i -> {where})"
+    windows = f"transform({starts}, i -> struct(xxhash64({-length}, {chosen}) as hash, i as pos))"
+    return f"if(size(words) >= {length}, {windows}, array())"
+
+
 def _longest_stretch(least_match: float) -> str:
     """(n_words, item_start) of the longest stretch between hits, of several the first, in which
     the share of the words agrees; null if there is none. Positions count from ``first``.
@@ -73,7 +81,7 @@ def _longest_stretch(least_match: float) -> str:
     same = "transform(sequence(first, last - 1), j -> doc_words[cast(j + shift as int)] = words[j])"
     masks = (" and ".join(f"same[i + {at}]" for at in _selected(mask)) for mask in MASKS)
     is_hit = " or ".join(f"({mask})" for mask in masks)
-    hits = f"filter(sequence(0, size(same) - {SPAN}), i -> {is_hit})"
+    hits = f"if(size(same) >= {SPAN}, filter(sequence(0, size(same) - {SPAN}), i -> {is_hit}), cast(array() as array<int>))"
     # Agreeing words before each position, and after the last.
     sums = "aggregate(same, array(0), (sums, x) -> concat(sums, array(element_at(sums, -1) + int(x))))"
     passes = f"sums[b + {SPAN}] - sums[a] >= (b + {SPAN} - a) * {least_match!r}D"
@@ -139,9 +147,12 @@ def leaks(
             F.col(item_column).alias("item_id"),
             word_hashes(text_of(item_text_column)).alias("words"),
             _once(),
-        ).where((F.size("words") >= SPAN) & (F.col("once") >= 0))
+        ).where((F.size("words") > 0) & (F.col("once") >= 0))
     )
-    every = ", ".join(_windows(mask) for mask in range(len(MASKS)))
+    short = item_words.where(F.size("words") < SPAN).select(F.size("words").alias("n")).distinct()
+    lengths = sorted(row.n for row in short.collect())  # fewer than SPAN
+    of_short = (f"if(size(words) = {length}, {_whole(length)}, array())" for length in lengths)
+    every = ", ".join([*(_windows(mask) for mask in range(len(MASKS))), *of_short])
     windows = item_words.select("item_id", F.expr(f"concat({every})").alias("windows"), _once())
     seeds = durable(windows.where("once >= 0").select("item_id", F.inline("windows")).withColumnRenamed("pos", "item_pos"))
     known_words = _Bitmap(item_words.select(F.explode("words").alias("word")).distinct(), "word")
@@ -159,6 +170,9 @@ def leaks(
     for mask in range(len(MASKS)):
         all_known = " and ".join(f"known[i + {at}]" for at in _selected(MASKS[mask]))
         found.append(f"filter({_windows(mask, where=all_known)}, w -> {known_seeds.holds('w.hash')})")
+    for length in lengths:
+        all_known = " and ".join(f"known[i + {at}]" for at in range(length))
+        found.append(f"filter({_whole(length, where=all_known)}, w -> {known_seeds.holds('w.hash')})")
     hits = rows.select(*_ROW, "words", F.expr(f"concat({', '.join(found)})").alias("hits"), _once("once"))
     # A small share of all documents. Equal rows are searched once.
     hit = durable(hits.where((F.size("hits") > 0) & (F.col("once") >= 0)).drop("once").dropDuplicates(list(_ROW)))
@@ -175,6 +189,7 @@ def leaks(
         .join(hit.alias("h"), same_row[0] & same_row[1])
         .select("p.*", F.col("h.words").alias("doc_words"))
         .join(item_words.select("item_id", "words").distinct(), "item_id")
+        .withColumn("last", F.least("last", F.size("words")))  # a short item is its own window
     )
     # Counts of agreeing words from item word a to before b, where the document has a word.
     agree = "size(filter(sequence({a}, {b} - 1), j -> j + shift >= 0 and j + shift < size(doc_words) and doc_words[cast(j + shift as int)] = words[j]))"
