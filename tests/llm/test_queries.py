@@ -36,7 +36,7 @@ def canonical(frame: pd.DataFrame) -> pd.DataFrame:
 
 def test_all_are_registered():
     names = [name.split("_")[0] for name in llm.queries()]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14))
     assert "pipeline" in contract.queries()
 
 

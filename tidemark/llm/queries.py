@@ -8,8 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_extract, line_dedup, packing, quality, shards, simhash, token_files, toxicity, vector_search
-from tidemark.llm.common import id_remainder, table
+from tidemark.llm import (
+    conversations,
+    decontaminate,
+    html_extract,
+    line_dedup,
+    packing,
+    quality,
+    shards,
+    simhash,
+    token_files,
+    toxicity,
+    url_filter,
+    vector_search,
+    whitening,
+)
+from tidemark.llm.common import id_of, id_or_null, id_remainder, table
 from tidemark.session import pin_utc, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,3 +259,65 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@_query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = table(spark, sf_dir, "conversations")
+    repaired = conversations.repair(conversations.damage(whole))
+    every = whole.select(id_of("conv_id").alias("conv")).distinct()
+    found = every.join(repaired.summary, "conv", "left").join(
+        conversations.text_digests(repaired.rows), "conv", "left"
+    )
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.withColumnRenamed("conv", "conv_id").select(
+        id_or_null("conv_id"),
+        *[F.coalesce(name, F.lit(0)).cast("long").alias(name) for name in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
+    )
+
+
+# The rules of op12, as host, path and verdict.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+@_query
+def op12_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, url_filter.RULES)
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), rules)
+    return judged.withColumnRenamed("id", "page_id")
+
+
+ORACLES["op12_url_verdicts"] = f"""
+WITH rests AS (
+  SELECT row_number() OVER () AS row, page_id,
+         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+),
+parts AS (
+  SELECT row, page_id, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         translate(regexp_extract(rest, '^[^/?#]*'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+  FROM rests
+),
+rules (rule_host, rule_path, rule_verdict) AS (VALUES {", ".join(map(str, URL_RULES))}),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY row ORDER BY length(rule_host || rule_path) DESC) AS place
+  FROM parts LEFT JOIN rules
+  ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(rule_verdict, 'allow') AS verdict
+FROM ranked WHERE place = 1
+"""
+
+
+@_query
+def op13_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"), components=32, scale=64)
+    return whitened.withColumnRenamed("id", "vec_id")
