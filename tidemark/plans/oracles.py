@@ -121,6 +121,12 @@ WHERE window_end <= (
     SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 SECONDS FROM events)
 """,
     "window_stats_upsert": _FIVE_SECONDS,
+    "window_stats_delta": _FIVE_SECONDS,
+    "late_corrections": f"""
+SELECT * FROM ({_FIVE_SECONDS})
+WHERE window_end <= (
+    SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 SECONDS FROM events)
+""",
     "raw_trades_v2_keyed": _BY_EVENT_MS,
     "trades_lookback": "SELECT event_type AS symbol, count(*) AS total_trades FROM events GROUP BY 1",
     "aggregations_lookback": _TOTALS,

@@ -22,7 +22,7 @@ from tidemark.operators.windows import WINDOW_SIZE
 from tidemark.plans import dashboard
 from tidemark.session import pin_utc, scratch_dir
 from tidemark.sources import compaction, files, samples, tables
-from tidemark.streaming import jobs, metrics, sinks
+from tidemark.streaming import jobs, late, metrics, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -225,6 +225,29 @@ def window_stats_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(tables.read_aggregations(spark, table.path))
 
 
+@_query
+def window_stats_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stats of a feed whose files come out of order, from the sums of each batch."""
+    table = sinks.aggregations_table(scratch_dir(spark, "deltas"), FEED)
+    _feed_in_parts(
+        spark, sf_dir, lambda ticks, run: jobs.start_stats_delta(ticks, table, **run)
+    )
+    return _comparable(tables.read_deltas(spark, table.path))
+
+
+@_query
+def late_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final stats of the same feed, most of whose trades come late, after their correction."""
+    root = scratch_dir(spark, "late")
+    stats = sinks.aggregations_table(f"{root}/stats", FEED)
+    kept = sinks.late_table(f"{root}/late", FEED)
+    _feed_in_parts(
+        spark, sf_dir, lambda ticks, run: late.start_stats_append(ticks, stats, kept, **run)
+    )
+    late.correct(spark, kept.path, stats, datetime(2024, 1, 1))
+    return _comparable(tables.read_aggregations(spark, stats.path))
+
+
 @_query
 def raw_trades_v2_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items under their event time, of which a keyed read leaves one per millisecond.
@@ -404,6 +427,19 @@ def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples.event_ticks(samples.event_stream(spark, sf_dir))
 
 
+def _feed_in_parts(spark: SparkSession, sf_dir: str, start: Callable, parts: int = 3) -> None:
+    """Run a stream job over a folder that gets a third of all events at a time.
+
+    Every part has events of all days, so what it has is late to the parts before.
+    """
+    root, run = scratch_dir(spark, "feed"), _run(spark)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for part in range(parts):
+        events.where(F.col("event_id") % parts == part).write.mode("append").parquet(root)
+        ticks = samples.event_ticks(files.stream_parquet(spark, root, events.schema))
+        _finish(start(ticks, run))
+
+
 def _recent_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples.event_trades(spark, sf_dir, since=SINCE, until=NOW)
 

@@ -53,6 +53,18 @@ AGGREGATION_SUMS = columns(
     written_at="timestamp",
 )
 
+# A tick that came when its window was closed, and the watermark that had passed the window.
+LATE_TICKS = columns(
+    window_start="timestamp",
+    window_end="timestamp",
+    symbol="string",
+    price="double",
+    volume="double",
+    event_time="timestamp",
+    watermark="timestamp",
+    ingestion_time="timestamp",
+)
+
 TRADES_KEY = ("id",)
 TRADE_AGGREGATIONS_KEY = ("window_start", "symbol")
 
@@ -87,3 +99,4 @@ def stored(columns: T.StructType, period: str) -> T.StructType:
 
 STORED_TRADES = stored(TRADES, TRADES_PERIOD)
 STORED_AGGREGATIONS = stored(AGGREGATION_SUMS, AGGREGATIONS_PERIOD)
+STORED_LATE_TICKS = stored(LATE_TICKS, AGGREGATIONS_PERIOD)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,9 +107,29 @@ def read_aggregations(
 
     Of each source the newest row counts, whichever run wrote it; sources add up.
     """
-    newest = newest_sums(read_sums(spark, path, since, until))
+    return added_up(newest_sums(read_sums(spark, path, since, until)))
+
+
+def read_deltas(
+    spark: SparkSession,
+    path: str,
+    since: datetime | None = None,
+    until: datetime | None = None,
+    runs: Sequence[str] | None = None,
+) -> DataFrame:
+    """The stats of a table of deltas: what all batches of all sources have of each window.
+
+    A feed that is replayed from a new checkpoint is a new run and would count twice: name the
+    ``runs`` that count then.
+    """
+    log = read_sums(spark, path, since, until)
+    return added_up(log if runs is None else log.where(F.col(schemas.RUN_ID).isin(list(runs))))
+
+
+def added_up(sums: DataFrame) -> DataFrame:
+    """One row per window and symbol from rows of sums."""
     total, n = F.sum("price_sum"), F.sum("price_count")
-    added = newest.groupBy(*schemas.TRADE_AGGREGATIONS_KEY).agg(
+    added = sums.groupBy(*schemas.TRADE_AGGREGATIONS_KEY).agg(
         F.max("window_end").alias("window_end"),
         F.try_divide(total, n).alias("avg_price"),
         F.sum("trade_count").alias("trade_count"),
@@ -134,6 +155,15 @@ def newest_sums(log: DataFrame) -> DataFrame:
     return log.groupBy(*keys).agg(*[F.max_by(name, "version").alias(name) for name in values])
 
 
+def read_late(
+    spark: SparkSession, path: str, since: datetime | None = None, until: datetime | None = None
+) -> DataFrame:
+    """The ticks of a table of late ones, of windows that start in the days of [since, until]."""
+    return _accepted(
+        spark, path, schemas.STORED_LATE_TICKS, schemas.AGGREGATIONS_PERIOD, clock.DAILY, since, until
+    )
+
+
 def read_rejected(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
     """Rows that came without a full key; ``columns`` is one of the STORED schemas."""
     return spark.read.schema(columns).parquet(path).where(F.col(schemas.REJECTED))

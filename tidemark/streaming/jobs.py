@@ -3,6 +3,8 @@
 Each table can be kept in two ways. *Batches*: every micro-batch is written as it comes, stats
 as running values that overwrite each other by key, with trades of any lateness accepted.
 *Append*: rows are final when written, stats once per window after the watermark has closed it.
+Stats can be kept in a third way, as *deltas*: each micro-batch writes the sums of its own trades,
+which are added up when read, so trades of any lateness count and no state is kept.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from tidemark.streaming.sinks import Table
 # Run and batch number of backfills; streams have ids of their own and count from 0.
 BACKFILL_RUN = "backfill"
 BACKFILL = -1
+# Files that a batch of stats writes per day of windows; a hot day is worth more.
+FILES_PER_DAY = 1
 
 TICK_IDENTITY = ("message_id", "position", "symbol", "price", "volume", "timestamp")
 
@@ -70,7 +74,7 @@ def start_stats_upsert(
     checkpoint: str,
     size: str = WINDOW_SIZE,
     watermark: str | None = None,
-    files_per_day: int | None = None,
+    files_per_day: int | None = FILES_PER_DAY,
     **settings,
 ) -> StreamingQuery:
     """Running stats of the windows each batch changed.
@@ -90,7 +94,7 @@ def start_stats_append(
     checkpoint: str,
     size: str = WINDOW_SIZE,
     watermark: str = LATENESS,
-    files_per_day: int | None = None,
+    files_per_day: int | None = FILES_PER_DAY,
     **settings,
 ) -> StreamingQuery:
     """Final stats of each window, once the watermark has passed its end."""
@@ -102,6 +106,29 @@ def start_stats_append(
     return sinks.start_batches(stats, table, checkpoint, "append", **settings)
 
 
+def start_stats_delta(
+    ticks: DataFrame,
+    table: Table,
+    checkpoint: str,
+    size: str = WINDOW_SIZE,
+    files_per_day: int | None = FILES_PER_DAY,
+    **settings,
+) -> StreamingQuery:
+    """The sums of each batch's own trades, to be read with ``tables.read_deltas``.
+
+    The stream is stateless: windows never close, nothing is late and nothing is remembered. A
+    batch that is replayed replaces its own sums, as each batch owns its partitions.
+    """
+    rows = count_rows(tick_ops.with_batch_stamp(tick_ops.with_event_time(ticks)))
+
+    def own_sums(batch: DataFrame) -> DataFrame:
+        return window_sums(batch, size, extra=[F.max("ingestion_time").alias("written_at")])
+
+    return sinks.start_batches(
+        rows, table, checkpoint, "append", files_per_period=files_per_day, prepare=own_sums, **settings
+    )
+
+
 def backfill(
     ticks: DataFrame, trades: Table, stats: Table, stamp: datetime, size: str = WINDOW_SIZE
 ) -> None:

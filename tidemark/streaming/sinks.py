@@ -79,6 +79,11 @@ def aggregations_table(path: str | None, source: str, **settings) -> Table:
     )
 
 
+def late_table(path: str | None, source: str, **settings) -> Table:
+    """Where ticks go that came after their window was closed."""
+    return aggregations_table(path, source, **settings)
+
+
 def batch_writer(
     table: Table, run: str | Callable[[], str], files_per_period: int | None = None
 ) -> Callable[[DataFrame, int], None]:
@@ -89,8 +94,8 @@ def batch_writer(
     other writer's rows. Failures are raised: the stream stops and resumes from its checkpoint
     with no rows lost.
 
-    Every task writes a file for every period it has rows of. ``files_per_period`` shuffles the
-    rows once more for fewer files (``_evened``); else that is left to ``compaction``.
+    Every task writes a file for every period it has rows of, unless ``files_per_period`` bounds
+    them by one more shuffle (``_evened``).
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -145,11 +150,24 @@ def start_batches(
     name: str | None = None,
     trigger: dict | None = None,
     files_per_period: int | None = None,
+    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> StreamingQuery:
-    """Write every micro-batch with ``batch_writer``."""
+    """Write every micro-batch with ``batch_writer``, after ``prepare`` has made its rows."""
     run = cache(lambda: run_of(rows.sparkSession, checkpoint))
-    writer = rows.writeStream.foreachBatch(batch_writer(table, run, files_per_period))
-    return _start(writer.outputMode(mode), checkpoint, name, trigger)
+    write = batch_writer(table, run, files_per_period)
+    return start_each(rows, lambda batch, number: write(prepare(batch), number), checkpoint, mode, name, trigger)
+
+
+def start_each(
+    rows: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    mode: str,
+    name: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Hand every micro-batch and its number to a function."""
+    return _start(rows.writeStream.foreachBatch(write).outputMode(mode), checkpoint, name, trigger)
 
 
 def start_append(
