@@ -170,7 +170,9 @@ def test_a_day_is_written_by_every_task(spark, feed, folder):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     try:
-        jobs.start_stats_upsert(feed.ticks(spark), table, folder("ck"), trigger=ONCE).awaitTermination()
+        jobs.start_stats_upsert(
+            feed.ticks(spark), table, folder("ck"), trigger=ONCE, files_per_day=None
+        ).awaitTermination()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert len(tables.read_sums(spark, table.path).inputFiles()) == 8
