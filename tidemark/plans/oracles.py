@@ -122,6 +122,36 @@ WHERE window_end <= (
 """,
     "window_stats_upsert": _FIVE_SECONDS,
     "window_stats_delta": _FIVE_SECONDS,
+    "feed_ticks": """
+SELECT event_type AS symbol, value AS price, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS volume,
+       epoch_us(ts) // 1000 AS trade_timestamp
+FROM events
+""",
+    "state_windows": _FIVE_SECONDS,
+    "state_handover": _FIVE_SECONDS,
+    "offset_gaps": """
+WITH numbers AS (SELECT 'trades:' || (event_id % 4) AS stream, event_id // 4 AS pos FROM events),
+stored AS (
+  SELECT stream, pos, 'first' AS writer,
+         unnest(range(CASE WHEN pos % 50 < 2 THEN 2 WHEN pos % 211 = 5 THEN 3 ELSE 1 END))
+  FROM numbers WHERE NOT (pos % 101 < 3 OR pos BETWEEN 1000 AND 1200)
+  UNION ALL SELECT stream, pos, 'second', 0 FROM numbers WHERE pos BETWEEN 300 AND 450
+),
+ends AS (SELECT stream, max(pos) AS last FROM numbers GROUP BY 1),
+every AS (SELECT stream, unnest(range(0, last + 1)) AS pos FROM ends),
+counted AS (
+  SELECT every.stream, every.pos, count(writer) AS n,
+         CASE WHEN count(writer) = 0 THEN 'missing' WHEN count(DISTINCT writer) > 1 THEN 'overlap'
+              WHEN count(writer) > 1 THEN 'repeated' END AS kind
+  FROM every LEFT JOIN stored ON stored.stream = every.stream AND stored.pos = every.pos GROUP BY 1, 2
+),
+marked AS (
+  SELECT *, pos - row_number() OVER (PARTITION BY stream, kind ORDER BY pos) AS island
+  FROM counted WHERE kind IS NOT NULL
+)
+SELECT stream, kind, min(pos) AS first, max(pos) AS last, count(*) AS messages, sum(n)::BIGINT AS rows
+FROM marked GROUP BY stream, kind, island
+""",
     "late_corrections": f"""
 SELECT * FROM ({_FIVE_SECONDS})
 WHERE window_end <= (

@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import clock
-from tidemark.operators import envelopes, ticks as tick_ops
+from tidemark.operators import envelopes, gaps, ticks as tick_ops
 from tidemark.operators.upserts import latest_version
 from tidemark.operators.windows import WINDOW_SIZE
 from tidemark.plans import dashboard
 from tidemark.session import pin_utc, scratch_dir
-from tidemark.sources import compaction, files, samples, tables
-from tidemark.streaming import jobs, late, metrics, sinks
+from tidemark.sources import compaction, feed, files, samples, tables
+from tidemark.streaming import jobs, late, metrics, sinks, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -248,6 +248,65 @@ def late_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(tables.read_aggregations(spark, stats.path))
 
 
+@_query
+def feed_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trades of a live feed: files of messages, read in ranges of bytes by a stream."""
+    root = scratch_dir(spark, "messages")
+    _event_messages(spark, sf_dir, keep=()).write.text(root)
+    table = sinks.trades_table(scratch_dir(spark, "trades"), FEED)
+    messages = feed.stream_feed(spark, root, rangeBytes=str(1 << 20))
+    _finish(jobs.start_raw_batches(jobs.ticks_of(messages), table, **_run(spark)))
+    return tables.read_trades(spark, table.path).drop("id", "ingestion_time")
+
+
+@_query
+def state_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running stats as they stand in the state of their stream."""
+    table, run = sinks.aggregations_table(scratch_dir(spark, "trade_aggregations"), FEED), _run(spark)
+    _finish(jobs.start_stats_upsert(_tick_stream(spark, sf_dir), table, **run))
+    windows = state.read_windows(spark, run["checkpoint"]).where("symbol IS NOT NULL")
+    average = F.try_divide("price_sum", "price_count")
+    return _comparable(windows.select("window_start", "window_end", "symbol", average.alias("avg_price"), "trade_count"))
+
+
+@_query
+def state_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final stats of a feed whose job goes on in another one with other shuffle partitions."""
+    root = scratch_dir(spark, "messages")
+    stats = scratch_dir(spark, "trade_aggregations")
+    offsets, partitions = "{}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for job in range(2):
+        messages = _event_messages(spark, sf_dir).where(F.col("event_id") % 2 == job).select("value")
+        messages.write.mode("append").text(root)
+        table, run = sinks.aggregations_table(stats, f"{FEED}.{job}"), _run(spark)
+        ticks = jobs.ticks_of(feed.stream_feed(spark, root, startingOffsets=offsets))
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions + job))
+        try:
+            _finish(jobs.start_stats_append(ticks, table, **run))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        offsets = state.hand_over(spark, run["checkpoint"], table, datetime(2024, 1, 1))
+    return _comparable(tables.read_aggregations(spark, stats))
+
+
+@_query
+def offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps, repeats and overlaps of stored events, some of which are lost, doubled or replayed.
+
+    An event's number is its place in one of four partitions of a topic.
+    """
+    events = samples.events(spark, sf_dir).select(
+        F.format_string("trades:%d", F.col("event_id") % 4).alias("stream"),
+        F.floor(F.col("event_id") / 4).alias("offset"),
+    )
+    lost = (F.col("offset") % 101 < 3) | F.col("offset").between(1000, 1200)
+    rows = F.when(F.col("offset") % 50 < 2, 2).when(F.col("offset") % 211 == 5, 3).otherwise(1)
+    first = events.where(~lost).select("stream", "offset", F.explode(F.array_repeat(F.lit("first"), rows)).alias("writer"))
+    again = events.where(F.col("offset").between(300, 450)).withColumn("writer", F.lit("second"))
+    expected = events.groupBy("stream").agg(F.lit(0).cast("long").alias("first"), F.max("offset").alias("last"))
+    return gaps.audit(first.unionByName(again), expected)
+
+
 @_query
 def raw_trades_v2_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items under their event time, of which a keyed read leaves one per millisecond.

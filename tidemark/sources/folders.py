@@ -28,6 +28,14 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(each.getPath().getName() for each in store.listStatus(place) if each.isDirectory())
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """The files right below ``path``, none if it does not exist."""
+    store, place = _open(spark, path)
+    if not store.exists(place):
+        return []
+    return sorted(each.getPath().getName() for each in store.listStatus(place) if each.isFile())
+
+
 def partition_values(spark: SparkSession, table: str, below: str, column: str) -> list[str]:
     """Values of the partition ``column`` right below the folder ``below`` of a table."""
     store, place = _open(spark, table)
