@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
 # No quote, as it joins the letters after it, no white space but single line feeds, and no
@@ -21,6 +21,8 @@ _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _PLAIN = r"0-9!-&(-/:-@\[-`{-~"
 _PARTS = re.compile(rf"[{_LATIN}]+|[^{_LATIN}]+")
 _SIMPLE = re.compile(rf"(?:[{_LATIN}{_PLAIN}]|\n(?!\n))+")
+# Characters of texts whose new pieces are encoded in one call.
+_TOGETHER = 1 << 20
 KEPT = 600_000
 KEPT_CHARS = 48
 _encoders: dict[tuple, PieceEncoder] = {}
@@ -53,30 +55,48 @@ class PieceEncoder:
         return _encoders[path, width]
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        return [self._text(text) for text in texts]
+        return list(self.each(texts))
+
+    def each(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text in turn; what is new in some texts is encoded in one call."""
+        some, held = [], 0
+        for text in texts:
+            some.append(text)
+            held += len(text)
+            if held >= _TOGETHER:
+                yield from self._some(some)
+                some, held = [], 0
+        if some:
+            yield from self._some(some)
+
+    def _some(self, texts: list[str]) -> list[bytes]:
+        rows = [self._cut(text) for text in texts]
+        new = {piece: b"" for _, rest, ids, open_ in rows if open_ for piece in _missing(rest, ids)}
+        new.update(zip(new, self._new(list(new)), strict=True))
+        firsts = {first: b"" for first, _, _, _ in rows if first not in self.firsts}
+        firsts.update(zip(firsts, self._raw(list(firsts)), strict=True))
+        found = []
+        for first, rest, ids, open_ in rows:
+            if open_:
+                ids = [new[piece] if held is None else held for piece, held in zip(rest, ids, strict=True)]
+            found.append(b"".join([self.firsts[first] if first in self.firsts else firsts[first], *ids]))
+        for first, ids in firsts.items():
+            if len(self.firsts) < KEPT and len(first) <= KEPT_CHARS:
+                self.firsts[first] = ids
+        return found
 
-    def _text(self, text: str) -> bytes:
+    def _cut(self, text: str) -> tuple[str, list[str], list[bytes | None], bool]:
+        """The first piece of a text, the others, their ids as far as known, and if any is not."""
         first, *rest = text.split(" ")
         ids = list(map(self.pieces.get, rest))
         # Pieces that are empty or have white space at an end are never remembered, so a text
         # that holds one always comes here.
-        if None in ids or _open_end(first):
-            new = [at for at, found in enumerate(ids) if found is None]
-            if _open_end(first) or any(_unsafe(rest[at]) for at in new):
-                first, *rest = _BREAK.split(text)
-                ids = list(map(self.pieces.get, rest))
-                new = [at for at, found in enumerate(ids) if found is None]
-            for at, value in zip(new, self._new([rest[at] for at in new]), strict=True):
-                ids[at] = value
-        return b"".join([self._first(first), *ids])
-
-    def _first(self, piece: str) -> bytes:
-        found = self.firsts.get(piece)
-        if found is None:
-            [found] = self._raw([piece])
-            if len(self.firsts) < KEPT and len(piece) <= KEPT_CHARS:
-                self.firsts[piece] = found
-        return found
+        open_ = None in ids
+        if _open_end(first) or (open_ and any(map(_unsafe, _missing(rest, ids)))):
+            first, *rest = _BREAK.split(text)
+            ids = list(map(self.pieces.get, rest))
+            open_ = None in ids
+        return first, rest, ids, open_
 
     def _new(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces after a space, by way of their parts."""
@@ -107,6 +127,10 @@ class PieceEncoder:
         return [array(self.code, each.ids).tobytes() for each in found]
 
 
+def _missing(pieces: list[str], ids: list[bytes | None]) -> list[str]:
+    return [piece for piece, found in zip(pieces, ids, strict=True) if found is None]
+
+
 def _open_end(first: str) -> bool:
     return not first or first[-1].isspace()
 

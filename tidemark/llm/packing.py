@@ -1,11 +1,12 @@
 """Token sequences of nearly equal length, packed by Karmarkar-Karp multiway differencing.
 
 A document that is longer than the capacity gives full sequences of its own; what is left of it
-is an item, or two equal ones if it is longer than half a sequence. The items of a group of documents are packed together: each starts as a partial
-partition, one window holding it and the others empty. The two partitions with the largest
-imbalance (longest less shortest window) are merged again and again, the longest windows of one
-with the shortest of the other, so that imbalances cancel out. If a window of the last partition
-exceeds the capacity, the number of windows rises and the group is packed again.
+is an item, or two equal ones if it is longer than half a sequence. The items of a group of
+documents are packed together: each starts as a partial partition, one window holding it and the
+others empty. The two partitions with the largest imbalance (longest less shortest window) are
+merged again and again, the longest windows of one with the shortest of the other, so that
+imbalances cancel out. If a window of the last partition exceeds the capacity, the number of
+windows rises and the group is packed again.
 
 A group is a run of rows of one partition with about ``group_tokens`` tokens, so packing needs
 no shuffle and a task holds one group; text never waits for other partitions.
@@ -17,8 +18,7 @@ packed each for itself. An empty table gives no sequences; other columns are not
 from __future__ import annotations
 
 import heapq
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -28,50 +28,51 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import id_of, id_or_null, text_of
 from tidemark.llm.encoding import PieceEncoder
 
+_NODE = 32  # bits of a node's number
+_NODES = (1 << _NODE) - 1
 PIECES = (
     "id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 )
 
 
-def differencing(sizes: np.ndarray, windows: int) -> tuple[np.ndarray, list[list[int]]]:
-    """Sums of the windows, and the items of each, by merging partitions of opposed imbalance."""
-    left, right = array("q"), array("q")  # the two halves of what has been put together
-    n = len(sizes)
-
-    def join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        first = n + len(left)
-        left.extend(a.tolist())
-        right.extend(b.tolist())
-        return np.arange(first, first + len(a))
+def differencing(sizes: Sequence[int], windows: int) -> tuple[list[int], list[list[int]]]:
+    """Sums of the windows, longest first, and the items of each, by merging partitions of opposed
+    imbalance.
 
-    # A partition lists its windows that are not empty, longest first.
-    heap = [(-int(size), i, np.array([size]), np.array([i])) for i, size in enumerate(sizes)]
+    A partition lists its windows that are not empty, shortest first, each as one number: its
+    sum, and below that the node of a tree that holds its items.
+    """
+    n = len(sizes)
+    left: list[int] = []  # the two halves of every inner node
+    right: list[int] = []
+    heap = [(-int(size), item, [int(size) << _NODE | item]) for item, size in enumerate(sizes)]
     heapq.heapify(heap)
     for turn in range(n, 2 * n - 1):
-        _, _, a, of_a = heapq.heappop(heap)
-        _, _, b, of_b = heapq.heappop(heap)
-        b, of_b = b[::-1], of_b[::-1]
-        alone, both = windows - len(b), max(0, len(a) + len(b) - windows)
-        sums = np.concatenate([a[:alone], a[alone:] + b[:both], b[both:]]) if both else np.concatenate([a, b])
-        parts = (
-            [of_a[:alone], join(of_a[alone:], of_b[:both]), of_b[both:]] if both else [of_a, of_b]
-        )
-        order = np.argsort(-sums, kind="stable")
-        sums, held = sums[order], np.concatenate(parts)[order]
-        shortest = sums[-1] if len(sums) == windows else 0
-        heapq.heappush(heap, (-int(sums[0] - shortest), turn, sums, held))
-
-    _, _, sums, held = heap[0]
+        _, _, a = heapq.heappop(heap)
+        _, _, b = heapq.heappop(heap)
+        # The longest windows of one meet the shortest of the other. Where both have one, the
+        # shortest ``both`` of each are put together in opposite order; the others stay alone.
+        both = max(0, len(a) + len(b) - windows)
+        merged = a[both:] + b[both:]
+        for x, y in zip(a[:both][::-1], b, strict=False):
+            merged.append(((x >> _NODE) + (y >> _NODE)) << _NODE | (n + len(left)))
+            left.append(x & _NODES)
+            right.append(y & _NODES)
+        merged.sort()  # a few runs in order, which costs little more than reading them
+        shortest = merged[0] >> _NODE if len(merged) == windows else 0
+        heapq.heappush(heap, (shortest - (merged[-1] >> _NODE), turn, merged))
+
+    held = heap[0][2][::-1]
     items = []
-    for node in held.tolist():
-        open_, found = [node], []
+    for window in held:
+        open_, found = [window & _NODES], []
         while open_:
             if (at := open_.pop()) < n:
                 found.append(at)
             else:
                 open_ += [left[at - n], right[at - n]]
         items.append(sorted(found))
-    return sums, items
+    return [window >> _NODE for window in held], items
 
 
 def pack(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -81,11 +82,11 @@ def pack(sizes: list[int], capacity: int) -> list[list[int]]:
     total = sum(sizes)
     windows = -(-total // capacity)
     while True:
-        sums, items = differencing(np.array(sizes, dtype=np.int64), windows)
-        over = int(sums[0]) - capacity
-        if over <= 0:
+        sums, items = differencing(sizes, windows)
+        if sums[0] <= capacity:
             return items
-        windows += max(1, windows * over // (3 * capacity))
+        # As many as would do if the longest window kept its share of the total.
+        windows = max(windows + 1, -(-windows * sums[0] // capacity))
 
 
 def pack_documents(
@@ -133,8 +134,8 @@ def pack_documents(
             return frame
 
         for batch in batches:
-            for doc_id, text in zip(batch["id"], batch["text"], strict=True):
-                ids = np.frombuffer(encoder.encode([text])[0] + end, dtype="<u2")
+            for doc_id, encoded in zip(batch["id"], encoder.each(batch["text"]), strict=True):
+                ids = np.frombuffer(encoded + end, dtype="<u2")
                 tail = len(ids) - len(ids) % capacity
                 for start in range(0, tail, capacity):
                     piece = ids[start : start + capacity]

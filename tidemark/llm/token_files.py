@@ -79,8 +79,8 @@ def write_token_files(
             )
 
         for batch in batches:
-            for doc_id, text in zip(batch["id"], batch["text"], strict=True):
-                value = encoder.encode([text])[0] + end
+            for doc_id, encoded in zip(batch["id"], encoder.each(batch["text"]), strict=True):
+                value = encoded + end
                 held.append(value)
                 index.append((int(doc_id), len(value) // width))
                 size += len(value)
