@@ -5,10 +5,17 @@ block (the elements it stands in, their class names, its length, its links) beco
 capacities of its two terminal edges: from the source, what it costs to call it boilerplate; to
 the sink, what it costs to call it content. Edges between neighbouring blocks, and between
 successive blocks of one container, cost as much as it takes to label them differently. The
-evidence of length grows with the text, so that a long one outweighs any name around it. The
 maximum flow gives the cheapest labelling of all blocks of the page at once; the blocks on the
 source's side are the text.
 
+The weights are set by hand. Evidence of length grows with the text, and so does that of an
+element or a whole name that says boilerplate (nav, footer, comments, cookie-notice), only twice
+as fast: no length turns a comment or a footer into an article. Parts of names and words that
+titles of chapters have as well cost a few units, which a longer text outweighs. A block pays
+something for being a block only where something speaks against it: links, names around it, or
+an article elsewhere on the page. So a page of a few short lines keeps them. Text in hidden
+elements of any kind is not seen.
+
 Nulls: a null or empty page has an empty text. Text is decoded, white space inside a block is
 one space, blocks are joined by line feeds. Repeated pages are each extracted; other columns are
 not looked at. An empty table gives an empty result.
@@ -20,7 +27,7 @@ import html
 import re
 from collections import deque
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -37,6 +44,9 @@ _CONTAINERS = _SKIPPED | _BOILERPLATE | _CONTENT | frozenset(["div", "section",
 _BREAKS = _CONTAINERS | frozenset(["p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "tr", "td", "th", "pre", "hr", "caption", "figcaption", "summary", "legend", "label", "input", "html", "thead", "tbody", "tfoot"])
 # What may stand in a head; anything else ends it, as it does in a browser.
 _HEAD = frozenset(["html", "head", "title", "meta", "link", "base", "basefont", "bgsound", "noframes", "script", "style", "noscript", "template"])
+# Elements that end where the next of their kind begins, if nothing ends them before.
+_OPEN_ENDED = frozenset(["p", "li", "dt", "dd", "tr", "td", "th", "thead", "tbody", "tfoot"])
+_VOID = frozenset(["br", "hr", "img", "input", "wbr", "area", "base", "col", "embed", "link", "meta", "source", "track"])
 _HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 # Words of class names, ids and roles.
 _BOILERPLATE_WORDS = frozenset(["ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "banner", "sidebar", "side", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "foot", "masthead", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "register", "search", "share", "sharing", "social", "related", "recommended", "recommendations", "trending", "popular", "comment", "comments", "commentlist", "disqus", "reply", "replies", "respond", "discussion", "widget", "pagination", "pager", "copyright", "legal", "disclaimer", "toolbar", "skip", "complementary", "contentinfo", "form", "feedback", "survey", "paywall"])
@@ -44,12 +54,19 @@ _BOILERPLATE_WORDS = frozenset(["ad", "ads", "adv", "advert", "adverts", "advert
 _AMBIGUOUS_WORDS = frozenset(["side", "search", "form", "legal", "related", "popular", "notice", "notices", "discussion", "register", "survey", "alert", "alerts", "consent", "feedback", "reply", "replies", "respond", "subscription", "promotion", "trending", "skip", "disclaimer", "foot"])
 # What a name may hold beside them and still be one of boilerplate as a whole.
 _PLACE_WORDS = frozenset(["site", "page", "box", "bar", "list", "item", "items", "wrap", "wrapper", "container", "section", "area", "block", "inner", "outer", "primary", "secondary", "left", "right", "top", "bottom", "links", "link", "buttons", "button", "slot", "unit", "policy", "global", "header", "title", "body", "row", "col", "js", "is", "the"])
+# Together with one of these, a word of the first kind is one of boilerplate as a whole.
+_TEASER_WORDS = frozenset(["related", "popular", "trending"])
+_TEASED_WORDS = frozenset(["posts", "articles", "stories", "news", "topics", "videos", "products", "reading"])
+# A name of these alone is that of a page's header.
+_HEADER_WORDS = frozenset(["header", "site", "page", "global", "top"])
 _CONTENT_WORDS = frozenset(["article", "content", "main", "post", "entry", "story", "text", "maincontent", "articlebody"])
 
+# Quotes count after an equals sign only, and may hold any character.
+_ATTRIBUTES = r"""(?:=\s*(?:"[^"]*"|'[^']*')|[^>])*+"""
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?:{_RAW})(?=[\s/])(?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*')*+(?<=/)>"
-    rf"|<({_RAW})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>\"'<]*)((?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*')*+)>"
+    rf"<!--.*?(?:-->|\Z)|<(?:{_RAW})(?=[\s/]){_ATTRIBUTES}(?<=/)>"
+    rf"|<({_RAW})(?=[\s/>]){_ATTRIBUTES}>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})>"
     r"|<[/!?a-zA-Z][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
@@ -68,10 +85,10 @@ class Costs:
     heading: float = 0.5
     content_element: float = 5.0
     content_name: float = 2.0
-    any_block: float = 1.0
+    any_block: float = 1.0  # if anything speaks against it
     links: float = 4.0
-    boilerplate: float = 60.0  # elements and whole names
-    boilerplate_inside: float = 30.0  # whole names inside article and main
+    boilerplate: float = 60.0  # elements and whole names,
+    boilerplate_per_char: float = 2 / 60  # and for what they hold
     part_of_name: float = 6.0
     ambiguous: float = 3.0
     header: float = 6.0
@@ -88,15 +105,37 @@ class Block:
     container: int
     content: float = 0.0  # what it costs to call it boilerplate
     boilerplate: float = 0.0
+    inside: bool = False  # an article or main
+
+
+@dataclass(frozen=True)
+class Evidence:
+    """What elements and names around a text say; ``against`` is that of whole names."""
+
+    content: float = 0.0
+    boilerplate: float = 0.0
+    against: bool = False
+    skipped: bool = False
 
 
 @dataclass
 class _Open:
     tag: str
     number: int
-    content: float
-    boilerplate: float
-    skipped: bool
+    evidence: Evidence
+
+    @property
+    def skipped(self) -> bool:
+        return self.evidence.skipped
+
+
+@dataclass
+class _Unseen:
+    """A hidden element that is no container, and how many of its name are open inside."""
+
+    tag: str
+    depth: int  # of containers around it
+    open: int = 1
 
 
 def _attributes(attributes: str) -> dict[str, str]:
@@ -121,25 +160,26 @@ def _names(attributes: dict[str, str]) -> list[set[str]]:
     return [{word.lower() for word in _WORDS.findall(name)} for name in names]
 
 
-def _name_cost(names: list[set[str]], inside: bool, costs: Costs) -> float:
-    """What the names say for boilerplate: the most that one of them does.
+def _name_cost(names: list[set[str]], costs: Costs) -> tuple[float, bool]:
+    """What the names say for boilerplate, and whether one of them says it as a whole.
 
-    Whole names (comments, sidebar, cookie-notice) say much, names that hold other words, too
-    (side-effects, banner-history), or ambiguous words only (discussion) a few units.
+    Names that hold other words, too (side-effects, banner-history), or ambiguous words only
+    (discussion) cost a few units.
     """
-    most = 0.0
+    most, whole = 0.0, False
     for words in names:
         known = words & _BOILERPLATE_WORDS
         if not known:
             continue
-        if known <= _AMBIGUOUS_WORDS:
-            cost = costs.ambiguous
+        if known <= _TEASER_WORDS and words & _TEASED_WORDS and words <= known | _TEASED_WORDS | _PLACE_WORDS:
+            whole = True
+        elif known <= _AMBIGUOUS_WORDS:
+            most = max(most, costs.ambiguous)
         elif words <= _BOILERPLATE_WORDS | _PLACE_WORDS | _CONTENT_WORDS:
-            cost = costs.boilerplate_inside if inside else costs.boilerplate
+            whole = True
         else:
-            cost = costs.part_of_name
-        most = max(most, cost)
-    return most
+            most = max(most, costs.part_of_name)
+    return most, whole
 
 
 @dataclass
@@ -148,10 +188,11 @@ class _Page:
     blocks: list[Block] = field(default_factory=list)
 
     def parse(self, page: str) -> list[Block]:
-        top = _Open("", 0, 0.0, 0.0, False)
+        top = _Open("", 0, Evidence())
         stack, containers = [top], 0
         parts: list[str] = []
-        linked, links, tag, own = 0, 0, "", 0.0
+        linked, links, tag, own = 0, 0, "", Evidence()
+        unseen: _Unseen | None = None
         at = 0
 
         def flush() -> None:
@@ -159,13 +200,13 @@ class _Page:
             if parts:
                 text = " ".join("".join(parts).split())
                 if text:
-                    self._add(text, linked, tag, stack[-1], own)
-            parts, linked, own = [], 0, 0.0
+                    self._add(text, linked, tag, stack[-1].number, own)
+            parts, linked, own = [], 0, stack[-1].evidence
 
         for match in _TOKEN.finditer(page):
             if stack[-1].tag == "head" and page[at : match.start()].strip():
                 stack.pop()
-            if match.start() > at and not stack[-1].skipped:
+            if match.start() > at and not stack[-1].skipped and not unseen:
                 text = html.unescape(page[at : match.start()])
                 parts.append(text)
                 if links:
@@ -177,11 +218,17 @@ class _Page:
             name = name.lower()
             if stack[-1].tag == "head" and not closing and name not in _HEAD:
                 stack.pop()
+            if unseen:
+                unseen = self._still_unseen(unseen, name, closing, len(stack))
+            given = _attributes(attributes) if attributes and not closing else {}
+            if name not in _CONTAINERS and name not in _VOID and not unseen and given and _hidden(given):
+                if not closing and not attributes.endswith("/"):
+                    unseen = _Unseen(name, len(stack))
             if name == "a":
                 links = 0 if closing else 1
                 continue
             if name not in _BREAKS:
-                if name == "br":
+                if name == "br" and not unseen:
                     parts.append(" ")
                 continue
             flush()
@@ -190,47 +237,70 @@ class _Page:
                 if name in _CONTAINERS and any(each.tag == name for each in stack):
                     while stack.pop().tag != name:
                         pass
+                    own = stack[-1].evidence
+                    if unseen and len(stack) < unseen.depth:
+                        unseen = None
                 tag = ""
                 continue
             tag = name
-            content, boilerplate, skipped = self._evidence(name, attributes, stack[-1])
+            evidence = self._evidence(name, given, stack[-1].evidence)
+            if unseen:
+                evidence = replace(evidence, skipped=True)
             if name in _CONTAINERS:
                 containers += 1
                 if not attributes.endswith("/"):
-                    stack.append(_Open(name, containers, content, boilerplate, skipped))
+                    stack.append(_Open(name, containers, evidence))
+                    own = evidence
             else:
-                own = boilerplate - stack[-1].boilerplate
+                own = evidence
         if stack[-1].tag == "head":
             stack.pop()
-        if at < len(page) and not stack[-1].skipped:
+        if at < len(page) and not stack[-1].skipped and not unseen:
             parts.append(html.unescape(page[at:]))
         flush()
-        return self.blocks
-
-    def _evidence(self, name: str, attributes: str, outer: _Open) -> tuple[float, float, bool]:
-        costs, content, boilerplate = self.costs, outer.content, outer.boilerplate
-        skipped = outer.skipped or name in _SKIPPED
-        if name in _BOILERPLATE:
-            boilerplate += costs.boilerplate
+        return self._charged()
+
+    @staticmethod
+    def _still_unseen(unseen: _Unseen, name: str, closing: str, depth: int) -> _Unseen | None:
+        """The hidden element after a tag: a paragraph ends at any block, an item at the next one
+        of its list, others where they are closed."""
+        if unseen.tag == "p" and name in _BREAKS and name not in _VOID:
+            return None
+        if name == unseen.tag and depth == unseen.depth:
+            if not closing and name in _OPEN_ENDED:
+                return None
+            unseen.open += -1 if closing else 1
+            if unseen.open == 0:
+                return None
+        return unseen
+
+    def _evidence(self, name: str, given: dict[str, str], outer: Evidence) -> Evidence:
+        costs, content, boilerplate, against = self.costs, outer.content, outer.boilerplate, outer.against
+        inside = outer.content >= costs.content_element
+        if name == "main":
+            # There is one; names around it are about the page's layout.
+            against, content = False, content + costs.content_element
         elif name in _CONTENT:
             content += costs.content_element
-        elif name == "header" and outer.content < costs.content_element:
-            boilerplate += costs.header
-        if attributes:
-            given = _attributes(attributes)
+        elif name in _BOILERPLATE or (name == "header" and not inside):
+            against = True
+        if given:
             names = _names(given)
             words = set().union(*names)
-            inside = outer.content >= costs.content_element
-            against = _name_cost(names, inside, costs) if name not in _CONTENT and name != "body" else 0.0
-            boilerplate += against
-            if words & _CONTENT_WORDS and name != "body" and against <= costs.ambiguous:
+            cost, whole = _name_cost(names, costs) if name not in ("main", "body") else (0.0, False)
+            boilerplate += cost
+            against = against or whole
+            if words & _CONTENT_WORDS and name != "body" and not whole and cost <= costs.ambiguous:
                 content += costs.content_name
-            elif "header" in words and not against and not inside:
-                boilerplate += costs.header
-            skipped = skipped or _hidden(given)
-        return content, boilerplate, skipped
-
-    def _add(self, text: str, linked: int, tag: str, holder: _Open, own: float) -> None:
+            elif "header" in words and not cost and not whole and not inside and name != "body":
+                if any("header" in each and each <= _HEADER_WORDS for each in names):
+                    against = True
+                else:
+                    boilerplate += costs.header
+        skipped = outer.skipped or name in _SKIPPED or (bool(given) and _hidden(given))
+        return Evidence(content, boilerplate, against, skipped)
+
+    def _add(self, text: str, linked: int, tag: str, container: int, around: Evidence) -> None:
         costs = self.costs
         share = min(1.0, linked / len(text))
         content = len(text) * costs.per_char * (1 - share)
@@ -238,9 +308,19 @@ class _Page:
             content += costs.sentence
         if tag in _HEADINGS:
             content += costs.heading
-        content += min(holder.content, costs.content_element + costs.content_name)
-        boilerplate = costs.any_block + costs.links * share + holder.boilerplate + own
-        self.blocks.append(Block(text, linked, tag, holder.number, content, boilerplate))
+        content += min(around.content, costs.content_element + costs.content_name)
+        boilerplate = costs.links * share + around.boilerplate
+        if around.against:
+            boilerplate += costs.boilerplate + len(text) * costs.boilerplate_per_char
+        inside = around.content >= costs.content_element
+        self.blocks.append(Block(text, linked, tag, container, content, boilerplate, inside))
+
+    def _charged(self) -> list[Block]:
+        elsewhere = any(block.inside for block in self.blocks)
+        for block in self.blocks:
+            if block.boilerplate > 0 or (elsewhere and not block.inside):
+                block.boilerplate += self.costs.any_block
+        return self.blocks
 
 
 def source_side(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
