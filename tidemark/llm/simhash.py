@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import durable, id_of, id_or_null, one_in, text_of
+from tidemark.llm.common import durable, id_of, id_or_null, numbered, one_in, place, text_of
 from tidemark.llm.components import connected_components
 
 SEED = 42
@@ -66,8 +66,8 @@ def fingerprints(
     docs: DataFrame, width: int, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """(id, text_hash, fp) per row; ``fp`` holds the 64 bits as a signed number."""
-    rows = docs.select(
-        id_of(id_column).alias("id"), text_of(text_column).alias("text")
+    rows = numbered(docs).select(
+        id_of(place(docs, id_column)).alias("id"), text_of(place(docs, text_column)).alias("text")
     ).withColumn("text_hash", F.xxhash64("text"))
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -252,17 +252,17 @@ def near_links(
     max_distance: int,
     *,
     blocks: int = 3,
-    per_shard: int = 4096,
+    per_shard: int = 8192,
     sample_size: int = 1 << 16,
 ) -> DataFrame:
     """Links (a, b) that connect just those distinct fingerprints ``fp`` which are near.
 
-    The trees are fitted to about ``sample_size`` fingerprints at most; every fingerprint is dealt and
-    searched. Only fitted trees are sent to the tasks.
+    The trees are fitted to one in eight fingerprints, or about ``sample_size`` of them if those
+    are fewer; every fingerprint is dealt and searched. Only fitted trees are sent to the tasks.
     """
     total = distinct.count()
     # Chosen by a hash, so the same for any order of rows. Fingerprints are distinct.
-    chosen = one_in(distinct.select("fp"), -(-total // sample_size), "fp")
+    chosen = one_in(distinct.select("fp"), max(8, -(-total // sample_size)), "fp")
     sample = np.sort(chosen.toPandas()["fp"].to_numpy(np.int64)).view(np.uint64)
     sample = np.random.default_rng(1).permutation(sample)
     trees, slots = build_trees(sample, total, max_distance, blocks, per_shard)
@@ -307,17 +307,28 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, text_hash, fp, component, component_id) per row of ``docs``.
 
-    ``component`` is the smallest fingerprint of the component as a signed number and never
-    null; ``component_id`` is the smallest id that occurs in it.
+    ``component_id`` is the smallest id that occurs in the component, and ``component`` the
+    fingerprint, as a signed number, which has it, or the smallest of those: never null.
     """
     signed = durable(fingerprints(docs, width, id_column, text_column))
     distinct = durable(signed.groupBy("fp").agg(F.min("id").alias("least_id")))
-    grouped = connected_components(near_links(distinct, max_distance, **search))
-    of_fp = distinct.join(grouped, distinct["fp"] == grouped["node"], "left").select(
-        "fp", "least_id", F.coalesce("component", "fp").alias("component")
+    # A node is named by its least id first, a missing one coming last. So the smallest node of a
+    # component says its id, and no stage has to bring all nodes of a component together.
+    unknown = F.col("least_id").isNull()
+    node = F.struct(unknown.alias("unknown"), F.coalesce("least_id", F.lit(0)).alias("id"), "fp")
+    named = distinct.select("fp", node.alias("node"))
+    links = near_links(distinct, max_distance, **search)
+    for end in ("a", "b"):
+        found = named.select(F.col("fp").alias(end), F.col("node").alias(f"node_{end}"))
+        links = links.join(found, end)
+    grouped = connected_components(links.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+    of_fp = named.join(grouped, "node", "left").select(
+        "fp", F.coalesce("component", "node").alias("least")
+    )
+    component_id = F.when(~F.col("least.unknown"), F.col("least.id"))
+    return signed.join(of_fp, "fp").select(
+        "id", "text_hash", "fp", F.col("least.fp").alias("component"), component_id.alias("component_id")
     )
-    named = of_fp.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    return signed.join(of_fp.select("fp", "component").join(named, "component"), "fp")
 
 
 def keep_one_of_each(
@@ -330,17 +341,19 @@ def keep_one_of_each(
     groups = near_duplicates(docs, id_column=id_column, text_column=text_column, **options)
     best = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "text_hash")).alias("best")
     kept = groups.groupBy("component").agg(best).select(
-        F.coalesce("best.id", F.lit(0)).alias("__row_id"),
-        F.col("best.unknown").alias("__row_unknown"),
-        F.col("best.text_hash").alias("__row_hash"),
+        F.coalesce("best.id", F.lit(0)).alias("row_id"),
+        F.col("best.unknown").alias("row_unknown"),
+        F.col("best.text_hash").alias("row_hash"),
     )
     keys = kept.columns
-    rows = docs.withColumns(
+    row_id = F.col(place(docs, id_column)).cast("long")
+    rows = numbered(docs).withColumns(
         {
-            "__row_id": F.coalesce(F.col(id_column).cast("long"), F.lit(0)),
-            "__row_unknown": F.col(id_column).isNull(),
-            "__row_hash": F.xxhash64(text_of(text_column)),
+            "row_id": F.coalesce(row_id, F.lit(0)),
+            "row_unknown": row_id.isNull(),
+            "row_hash": F.xxhash64(text_of(place(docs, text_column))),
         }
     )
     # Repeated rows have the same key and meet again without a further shuffle.
-    return rows.join(kept, keys, "left_semi").dropDuplicates(keys).drop(*keys)
+    once = rows.join(kept, keys, "left_semi").dropDuplicates(keys)
+    return once.select(*numbered(docs).columns).toDF(*docs.columns)
