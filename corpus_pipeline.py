@@ -8,7 +8,8 @@
 
 Each stage but the last returns the columns of ``documents``; its result is written as Parquet
 and read again as the next one's input. Rows with null texts or ids and empty texts pass through
-every stage as its operator defines it.
+every stage as its operator defines it. Columns may be called anything, and ``n_chars`` may be
+missing.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, line_dedup, packing, quality, simhash
-from tidemark.llm.common import table
+from tidemark.llm.common import free_name, numbered, place, table
 from tidemark.llm.queries import quality_model
 from tidemark.session import scratch_dir
 
@@ -28,20 +29,25 @@ LEAST_SCORE = 0.3
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = quality.score(docs, quality_model(spark, docs, sf_dir), score_column="__score")
-    return scored.where(F.col("__score") >= LEAST_SCORE).drop("__score")
+    name = free_name(docs.columns, "score")
+    scored = quality.score(docs, quality_model(spark, docs, sf_dir), score_column=name)
+    return scored.where(F.col(f"`{name}`") >= LEAST_SCORE).drop(name)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A text that loses lines has the length of what is left."""
-    lost = F.col("__n_dropped") > 0
-    left = line_dedup.drop_repeated_lines(docs, prefix="__").withColumns(
-        {
-            "text": F.when(lost, F.col("__kept_text")).otherwise(F.col("text")),
-            "n_chars": F.when(lost, F.char_length("__kept_text").cast("long")).otherwise(F.col("n_chars")),
-        }
-    )
-    return left.select(docs.columns)
+    left = line_dedup.drop_repeated_lines(docs)
+    rows = numbered(left)
+    kept, _, n_dropped = rows.columns[-3:]
+    lost = F.col(n_dropped) > 0
+    changed = {place(docs, "text"): F.col(kept)}
+    if "n_chars" in docs.columns:
+        changed[place(docs, "n_chars")] = F.char_length(kept).cast("long")
+    columns = [
+        F.when(lost, changed[name]).otherwise(F.col(name)) if name in changed else F.col(name)
+        for name in numbered(docs).columns
+    ]
+    return rows.select(*columns).toDF(*docs.columns)
 
 
 def dedup_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -122,8 +122,8 @@ def test_windows_hold_every_item_once(sizes):
 
 
 def test_differencing_balances():
-    sums, _ = packing.differencing(np.array([8, 7, 6, 5, 4]), 2)
-    assert sums.tolist() == [16, 14]
+    sums, _ = packing.differencing([8, 7, 6, 5, 4], 2)
+    assert sums == [16, 14]
 
 
 def test_shards(docs):
@@ -379,15 +379,60 @@ def test_html_text_under_ambiguous_names(given):
     assert html_extract.content_blocks(page) == [*_ARTICLE_TEXT, "In popular culture", "It is often seen in films."]
 
 
-def test_html_text_outweighs_names():
+def test_html_text_outweighs_parts_of_names():
     text = "A long text that nobody would call a comment or an advert. " * 80
-    assert html_extract.content_blocks(f'<div class="sidebar"><p>{text}</p></div>') == [text.strip()]
-    for given in ("comments", "sidebar", "cookie-notice", "site-footer", "related-posts"):
-        inner = f'<div class="{given}"><a href="/">More to be read about it</a></div>'
+    for given in ("banner-history", "discussion", "my-sidebar-story"):
+        assert html_extract.content_blocks(f'<div class="{given}"><p>{text}</p></div>') == [text.strip()]
+
+
+@pytest.mark.parametrize("size", [10, 180, 1_500, 1_800, 3_480, 3_750, 20_000, 100_000])
+def test_no_length_makes_boilerplate_an_article(size):
+    text = ("Somebody wrote this under the text. " * (size // 36 + 1))[:size]
+    for given in ("comments", "sidebar", "cookie-notice", "site-footer", "related-posts", "advert", "site-header"):
+        inner = f'<div class="{given}"><p>{text}</p></div>'
         assert html_extract.content_blocks(_ARTICLE + inner) == _ARTICLE_TEXT
-    for given in ("comments", "sidebar", "cookie-notice"):
-        inner = f'<div class="{given}"><p>One or two words of somebody else, as they are often found there.</p></div></article>'
-        assert html_extract.content_blocks(_ARTICLE.replace("</article>", inner)) == _ARTICLE_TEXT
+        assert html_extract.content_blocks(inner + _ARTICLE) == _ARTICLE_TEXT
+        assert html_extract.content_blocks(f"<p>Short.</p>{inner}") == ["Short."]
+        if given != "site-header":
+            assert html_extract.content_blocks(_ARTICLE.replace("</article>", f"{inner}</article>")) == _ARTICLE_TEXT
+    for name in ("footer", "aside", "nav", "form", "header"):
+        assert html_extract.content_blocks(f"{_ARTICLE}<{name}><p>{text}</p></{name}>") == _ARTICLE_TEXT
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p>Short text.</p>", ["Short text."]),
+        ("<div><h1>Title</h1><p>We moved.</p><p>See you there.</p></div>", ["Title", "We moved.", "See you there."]),
+        ("Bare words", ["Bare words"]),
+        ('<div class="page sidebar-right"><main><p>Short text.</p></main></div>', ["Short text."]),
+    ],
+)
+def test_short_pages_are_kept(page, text):
+    assert html_extract.content_blocks(page) == text
+
+
+def test_html_quotes_may_hold_brackets():
+    comment = '<div class="comments" title="a < b"><p>A comment of some words.</p></div>'
+    assert html_extract.content_blocks(_ARTICLE + comment) == _ARTICLE_TEXT
+    assert html_extract.content_blocks(_ARTICLE.replace("<article>", '<article title="a < b">')) == _ARTICLE_TEXT
+    assert html_extract.content_blocks(_ARTICLE.replace("<article>", "<article title='a > b' id=it's>")) == _ARTICLE_TEXT
+    assert html_extract.content_blocks("<p>Don't <b title=it's>do</b> that, it's late.</p>") == ["Don't do that, it's late."]
+
+
+@pytest.mark.parametrize(
+    "inner",
+    [
+        "<p hidden>No.</p>", "<p hidden>No.<p>Yes.", '<li style="display:none"><p>No.</p></li>', "<ul><li hidden>No.<li>Yes.</ul>",
+        "<ul><li hidden>No.<ul><li>No.</li></ul>No.</li><li>Yes.</li></ul>", "<p>Yes. <span hidden>No. <span>No.</span></span></p>",
+        "<p><b hidden>No.</b>Yes.</p>", "<h2 hidden>No.</h2>", "<table><tr hidden><td>No.</td></tr><tr><td>Yes.</td></tr></table>",
+        '<p>Yes.<img hidden src="x"> Yes.</p>', "<span hidden><div>No.</div></span>", "<div><b hidden>No.</div>Yes.",
+    ],
+)
+def test_nothing_hidden_is_seen(inner):
+    found = " ".join(html_extract.content_blocks(_ARTICLE.replace("</article>", f"{inner}</article>")))
+    assert "No." not in found and ("Yes." in found) == ("Yes." in inner)
+    assert found.startswith(" ".join(_ARTICLE_TEXT))
 
 
 def test_minimum_cut():
@@ -450,7 +495,12 @@ def test_quality_learns_from_positives_alone():
     rng = np.random.default_rng(2)
     good = rng.normal(0, 1, (3000, quality.N_FEATURES))
     bad = rng.normal(3, 1, (1000, quality.N_FEATURES))
-    model, prior = quality.fit_non_negative(good[:1500], np.concatenate([good[1500:], bad]))
+    unlabelled = np.concatenate([good[1500:], bad])
+
+    def histogram(model, rest):
+        return quality.Histogram.of(model.logits(unlabelled[1::2] if rest else unlabelled))
+
+    model, prior = quality.learn(good[:1500], unlabelled[::2], histogram)
     assert abs(prior - 0.6) < 0.05
     assert (quality.sigmoid(model.logits(good)) >= 0.3).mean() > 0.97
     assert (quality.sigmoid(model.logits(bad)) >= 0.3).mean() < 0.05
@@ -471,11 +521,15 @@ def test_label_model_finds_accuracies():
     truth = rng.random(8000) < 0.15
     fires = np.array([0.6, 0.5, 0.4, 0.3])
     votes = np.where(truth[:, None], rng.random((8000, 4)) < fires, rng.random((8000, 4)) < 0.01).astype(float)
-    model = toxicity.fit_label_model(votes, np.arange(4))
+    def fit(votes):
+        kinds, counts = np.unique(votes, axis=0, return_counts=True)
+        return toxicity.fit_label_model(kinds, counts, np.arange(4))
+
+    model = fit(votes)
     assert abs(model.prior - 0.15) < 0.03
     assert np.abs(model.rates[1] - fires).max() < 0.06
     votes = np.column_stack([votes, votes[:, 0]])  # a voter that copies another
-    model = toxicity.fit_label_model(votes, np.arange(4))
+    model = fit(votes)
     assert model.shares[[0, 4]].max() < model.shares[1:4].min()
 
 
@@ -497,3 +551,96 @@ def test_toxicity_scores_every_row(spark, docs, none):
     unlearnt = toxicity.train(docs, labels.limit(0))
     assert {round(row.score, 6) for row in toxicity.score(docs, unlearnt).collect()} == {0.0}
     assert toxicity.score(none, scorer).count() == 0
+
+
+def test_toxic_terms_of_long_and_joined_words():
+    assert {"idiot ", "moron ", "idiot"} <= set(toxicity.terms_of("idiot/moron"))
+    long = "idiotmoron" * 5
+    assert {"idiot", "moron"} <= set(toxicity.terms_of(long))
+    assert list(toxicity.terms_of("...")) == []
+    for n in (1, 30, 1999, 2001, 3999, 4001):  # a share of the whole text, whatever its length
+        assert toxicity.patterns("A" * n + "b" * n, 0)[2]
+        assert not toxicity.patterns("A" * n + "b" * 3 * n, 0)[2]
+
+
+def trained_table(spark):
+    """Good texts are sentences, bad ones are shouting; a few hold an insult. Some rows are odd."""
+    pick = np.random.default_rng(7)
+    names = [f"wort{i}" for i in range(300)]
+    rows = []
+    for i in range(1200):
+        words = pick.choice(names, 30).tolist()
+        if i % 6 == 1:
+            words[3] = "Grauslich,"
+        text = " ".join(words) + "."
+        rows.append((i, text.upper().replace(" ", "! | ") if i % 4 == 0 else text))
+    odd = [(None, None), (None, rows[1][1]), (2000, ""), (2001, None), (2002, "word " * 200_000), (2003, "x" * 300_000)]
+    frame = spark.createDataFrame(rows + odd + rows[:50], "doc_id long, text string")
+    return rows, frame
+
+
+def test_trained_models_score_odd_rows_and_any_layout(spark):
+    rows, frame = trained_table(spark)
+    good = spark.createDataFrame([(i,) for i in range(800) if i % 4], "id long")
+    toxic = spark.createDataFrame([(i, int(i % 6 == 1)) for i in range(800)], "id long, toxic int")
+    found = []
+    for layout in (frame, frame.repartition(7).sortWithinPartitions("text")):
+        model, prior = quality.train(layout, good)
+        scores = {r.doc_id: r.score for r in quality.score(layout, model).collect()}
+        assert len(scores) == 1200 + 5 - 0 and 0.6 < prior < 0.9
+        right = [(scores[i] >= 0.3) == bool(i % 4) for i in range(800, 1200)]
+        assert np.mean(right) > 0.97
+        scorer = toxicity.train(layout, toxic)
+        toxicities = {r.id: r.score for r in toxicity.score(layout, scorer).collect()}
+        assert np.mean([(toxicities[i] >= 0.3) == (i % 6 == 1) for i in range(800, 1200)]) > 0.97
+        for every in (scores, toxicities):
+            assert all(0 <= score <= 1 for score in every.values())
+        assert max(toxicities[i] for i in (2000, 2001, 2002, 2003)) < 0.3
+        found.append((scores, toxicities))
+    for one, other in zip(*found, strict=True):
+        assert all(abs(one[key] - other[key]) < 1e-9 for key in one if key is not None)
+
+
+CLASHES = ["__text", "__row_id", "__row_hash", "score", "Text", "row_id", "_0", "text_hash", "kept_text", "__score"]
+
+
+def test_columns_may_be_called_anything(spark):
+    import corpus_pipeline
+
+    names = ["doc_id", "text", "n_chars", *CLASHES]
+    texts = ["Some line that two hold.\nOne.", "Some line that two hold.\nTwo words more.", None, "Some line that two hold.\nOne."]
+    rows = [(i, text, 99, *[f"{name} {i}" for name in CLASHES]) for i, text in enumerate(texts)]
+    plain = spark.createDataFrame(rows).toDF(*[f"c{i}" for i in range(len(names))])
+    docs = plain.toDF(*names)
+    by_id = {row[0]: tuple(row[3:]) for row in rows}
+
+    def check(found, kept):
+        assert found.columns == names
+        got = {row[0]: tuple(row) for row in found.collect()}
+        assert got.keys() == kept
+        assert all(row[3:] == by_id[key] for key, row in got.items())
+        return got
+
+    model, _ = quality.train(docs, spark.createDataFrame([(0,), (1,)], "id long"))
+    scored = quality.score(docs, model)
+    assert scored.columns == [name for name in names if name != "score"] + ["score"]
+    assert all(0 <= row[-1] <= 1 for row in scored.collect())
+    lines = check(corpus_pipeline.dedup_lines(spark, docs, ""), {0, 1, 2, 3})
+    assert lines[1][1:3] == ("Two words more.", 15) and lines[0][1:3] == (texts[0], 99) and lines[3][1] == "One."
+    check(simhash.keep_one_of_each(docs), {0, 1, 2})
+    items = spark.createDataFrame([(1, "two words more")], "item_id long, text string")
+    check(decontaminate.drop_leaking(docs, items), {0, 2, 3})
+    renamed = line_dedup.drop_repeated_lines(docs, prefix="p_").columns
+    assert renamed == [*names, "p_kept_text", "p_n_lines", "p_n_dropped"]
+    scorer = toxicity.train(docs, spark.createDataFrame([(0, 1), (1, 0)], "id long, toxic int"))
+    assert toxicity.score(docs, scorer).count() == 4
+
+
+def test_groups_are_named_by_their_least_known_id(spark):
+    text = "one two three four five six seven"
+    rows = [(None, text), (7, text), (5, text + " eight"), (None, "quite other words than these here"), (9, "third text of its own kind")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = simhash.near_duplicates(docs, width=4, max_distance=64).collect()
+    assert {row.component_id for row in got} == {5}
+    alone = simhash.near_duplicates(docs, width=4, max_distance=0).collect()
+    assert sorted((row.id or 0, row.component_id or 0) for row in alone) == [(0, 0), (0, 7), (5, 5), (7, 7), (9, 9)]

@@ -2,11 +2,14 @@
 
 import glob
 import os
+import zlib
 
 import duckdb
 import numpy as np
 import pandas as pd
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -48,17 +51,68 @@ def test_query_matches_sql(spark, duck, name):
     pd.testing.assert_frame_equal(ours, theirs, check_dtype=False, check_exact=True)
 
 
-@pytest.mark.parametrize(
-    "name, label, least",
-    [("op3_quality", "quality", 0.9), ("op10_toxicity", "toxic", 0.92)],
-)
-def test_held_out_accuracy(spark, duck, name, label, least):
+def held_out(spark, duck, name, label):
     scored = run(spark, name).toPandas()
     assert len(scored) == duck.sql("SELECT count(*) FROM documents").fetchall()[0][0]
+    assert scored.score.between(0, 1).all() and (scored.predicted == (scored.score >= 0.3)).all()
     labelled = scored.merge(duck.sql(f"SELECT doc_id, {label} AS label FROM labels").df(), on="doc_id")
-    held_out = labelled[labelled.held_out]
-    assert (held_out.predicted == held_out.label).mean() >= least
-    assert scored.score.between(0, 1).all()
+    return labelled[labelled.held_out]
+
+
+def test_held_out_quality(spark, duck):
+    rows = held_out(spark, duck, "op3_quality", "quality")
+    right = rows.predicted == rows.label
+    # Balanced, as most documents are good.
+    assert (right[rows.label == 1].mean() + right[rows.label == 0].mean()) / 2 >= 0.7
+    assert right[rows.label == 1].mean() >= 0.95
+
+
+def test_held_out_toxicity(spark, duck):
+    rows = held_out(spark, duck, "op10_toxicity", "toxic")
+    caught = rows[rows.label == 1].predicted.mean()
+    precise = rows[rows.predicted == 1].label.mean()
+    # The 37 toxic rows that may be learnt from hold few of the terms.
+    assert precise >= 0.9 and caught >= 0.55
+
+
+def encoded(duck, name, end):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    rows = duck.sql("SELECT doc_id, coalesce(text, '') FROM documents ORDER BY doc_id").fetchall()
+    return {doc_id: [*tokenizer.encode(text, add_special_tokens=False).ids, end] for doc_id, text in rows}
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_token_files_hold_every_document(spark, duck):
+    want, start = set(), 0
+    for doc_id, ids in encoded(duck, "word_bpe_49k.json", 2).items():
+        want.add((doc_id, start, len(ids), crc(ids)))
+        start += len(ids)
+    got = run(spark, "op1_token_files").select("doc_id", "start", "n_tokens", "ids_crc32")
+    assert {tuple(row) for row in got.collect()} == want
+
+
+def test_packed_sequences_hold_every_document(spark, duck):
+    tokens = encoded(duck, "byte_bpe_50k.json", 1)
+    pieces = run(spark, "op5_packing").toPandas()
+    of_doc = pieces.sort_values("start").groupby("doc_id")
+    assert of_doc.ngroups == len(tokens)
+    for doc_id, rows in of_doc:
+        ids, at = tokens[doc_id], 0
+        for row in rows.itertuples():
+            assert row.start == at and row.doc_tokens == len(ids) and row.length > 0
+            assert row.ids_crc32 == crc(ids[at : at + row.length])
+            at += row.length
+        assert at == len(ids)
+    total = padded = 0
+    for _, rows in pieces.sort_values("offset").groupby("sequence_id"):
+        assert rows.offset.tolist() == [0, *rows.length.cumsum().tolist()[:-1]]
+        total += (size := int(rows.length.sum()))
+        assert size <= 2048
+        padded += size if size & (size - 1) == 0 else 2048
+    assert padded <= 1.05 * total
 
 
 def test_pages_give_their_articles(spark, duck):

@@ -67,12 +67,34 @@ def some_ids(ids: DataFrame, rows: int) -> DataFrame:
     return one_in(ids, ids.count() // (2 * rows), "id").orderBy(F.xxhash64("id"), "id").limit(rows)
 
 
-def one_in(frame: DataFrame, share: int, column: str) -> DataFrame:
-    """One of ``share`` values of a column, chosen by a hash; all if the share is 1 or less."""
-    return frame if share <= 1 else frame.where(F.pmod(F.xxhash64(column), F.lit(share)) == 0)
+def one_in(frame: DataFrame, share: int, *columns: str) -> DataFrame:
+    """One of ``share`` values of some columns, chosen by a hash; all if the share is 1 or less."""
+    return frame if share <= 1 else frame.where(F.pmod(F.xxhash64(*columns), F.lit(share)) == 0)
 
 
-def some_rows(frame: DataFrame, rows: int, seed: int) -> DataFrame:
-    """About ``rows`` rows of ``frame``, or all if there are fewer, each with the same chance."""
-    n = frame.count()
-    return frame if n <= rows else frame.where(F.rand(seed) < rows / n)
+# Tables with any column names
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The same rows with columns _0, _1, ..., which clash with no name of an operator."""
+    return docs.toDF(*[f"_{at}" for at in range(len(docs.columns))])
+
+
+def place(docs: DataFrame, name: str) -> str:
+    """The numbered name of a column: the one that is called so exactly, else but for case."""
+    if name in docs.columns:
+        return f"_{docs.columns.index(name)}"
+    [at] = [at for at, column in enumerate(docs.columns) if column.lower() == name.lower()]
+    return f"_{at}"
+
+
+def columns_of(docs: DataFrame, **names: str) -> DataFrame:
+    """Only the named columns of a table, under the given names."""
+    return numbered(docs).select(*[F.col(place(docs, name)).alias(alias) for alias, name in names.items()])
+
+
+def free_name(taken: list[str], name: str) -> str:
+    """``name`` with as many underscores before it as no column of a table has."""
+    while any(column.lower() == name.lower() for column in taken):
+        name = f"_{name}"
+    return name

@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import durable, text_of
+from tidemark.llm.common import durable, numbered, place, text_of
 
 # Eight of twelve words are selected, each ignored position being another mask's.
 MASKS = ("111011001101", "110101110011", "101100111110")
@@ -236,10 +236,12 @@ def leaks(
 def drop_leaking(
     docs: DataFrame, items: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", **options
 ) -> DataFrame:
-    """``docs`` without the rows that hold a passage of an item; all columns stay."""
-    leaking = leaks(docs, items, id_column=id_column, text_column=text_column, **options)
-    rows = leaking.select(F.col("row_id").alias("__row_id"), F.col("row_hash").alias("__row_hash")).distinct()
-    same = docs[id_column].cast("long").eqNullSafe(rows["__row_id"]) & (
-        F.xxhash64(F.coalesce(docs[text_column], F.lit(""))) == rows["__row_hash"]
+    """``docs`` without the rows that hold a passage of an item; all columns stay, whatever they
+    are called."""
+    rows, id_column, text_column = numbered(docs), place(docs, id_column), place(docs, text_column)
+    leaking = leaks(rows, items, id_column=id_column, text_column=text_column, **options)
+    found = leaking.select("row_id", "row_hash").distinct()
+    same = rows[id_column].cast("long").eqNullSafe(found["row_id"]) & (
+        F.xxhash64(F.coalesce(rows[text_column], F.lit(""))) == found["row_hash"]
     )
-    return docs.join(rows, same, "left_anti")
+    return rows.join(found, same, "left_anti").toDF(*docs.columns)

@@ -12,7 +12,7 @@ kept line, and only those numbers that drop a line. Everything is built-in expre
 
 Nulls: a null or empty text is one empty line, whose key is too short to be dropped. Rows
 without an id count as one document that comes before all others. Rows with equal ids count as
-one document. An empty table gives an empty result; other columns are not looked at.
+one document. An empty table gives an empty result; other columns stay, whatever they are called.
 """
 
 from __future__ import annotations
@@ -20,11 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_SPACE, durable, id_of, lower_ascii, text_of
+from tidemark.llm.common import ASCII_SPACE, durable, id_of, lower_ascii, numbered, place, text_of
 
 _BUCKET_BITS = 12
 _ROW = ("__row_id", "__row_hash")
 _KEY = ("hash_1", "hash_2")
+ADDED = ("kept_text", "n_lines", "n_dropped")
 
 
 def line_key(line: Column) -> Column:
@@ -32,13 +33,10 @@ def line_key(line: Column) -> Column:
 
 
 def _with_row(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``docs`` with what tells rows apart, and the text without nulls."""
-    return docs.withColumns(
-        {
-            "__row_id": id_of(id_column),
-            "__row_hash": F.xxhash64(text_of(text_column)),
-            "__text": text_of(text_column),
-        }
+    """``docs``, its columns numbered, with what tells rows apart, and the text without nulls."""
+    text = text_of(place(docs, text_column))
+    return numbered(docs).withColumns(
+        {"__row_id": id_of(place(docs, id_column)), "__row_hash": F.xxhash64(text), "__text": text}
     )
 
 
@@ -102,9 +100,8 @@ def drop_repeated_lines(
 ) -> DataFrame:
     """``docs`` with ``kept_text``, ``n_lines`` (before) and ``n_dropped``; no row goes.
 
-    ``prefix`` comes before these three names, for tables that have columns called like them.
-
-    The kept text of a row that loses no line is its text, empty if that is null.
+    ``prefix`` comes before these three names, for tables that have columns called like them. The
+    kept text of a row that loses no line is its text, empty if that is null.
     """
     bitmaps = keep_bitmaps(docs, least_chars=least_chars, id_column=id_column, text_column=text_column)
     # All groups of 64 up to the last that drops a line, for lookup by position.
@@ -118,9 +115,10 @@ def drop_repeated_lines(
         "(shiftright(__kept[cast(i div 64 as int)], i % 64) & 1L) = 1L"
     )
     kept = F.expr(f"array_join(filter(split(__text, '\\n', -1), {stays}), '\\n')")
-    return joined.select(
-        *[F.col(f"`{name}`") for name in docs.columns],
-        F.when(F.col("__kept").isNull(), F.col("__text")).otherwise(kept).alias(f"{prefix}kept_text"),
-        F.size(F.split("__text", "\n", -1)).cast("long").alias(f"{prefix}n_lines"),
-        F.coalesce("__n_dropped", F.lit(0)).cast("long").alias(f"{prefix}n_dropped"),
+    every = joined.select(
+        *numbered(docs).columns,
+        F.when(F.col("__kept").isNull(), F.col("__text")).otherwise(kept),
+        F.size(F.split("__text", "\n", -1)).cast("long"),
+        F.coalesce("__n_dropped", F.lit(0)).cast("long"),
     )
+    return every.toDF(*docs.columns, *[f"{prefix}{name}" for name in ADDED])

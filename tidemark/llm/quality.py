@@ -1,9 +1,9 @@
 """Quality scores by positive-unlabelled learning.
 
-Trusted positives are labelled rows of quality 1; the unlabelled side is a sample of all texts,
-whatever their labels. The share of positives among these, the class prior, is estimated first:
-a classifier of positives against unlabelled texts is fitted, and the prior is the least ratio
-of the shares of unlabelled and positive texts above a score, as only positives score high. The
+Trusted positives are labelled rows of quality 1; the unlabelled side are all texts, whatever
+their labels. The share of positives among these, the class prior, is estimated first: a
+classifier of positives against unlabelled texts is fitted, and the prior is the least ratio of
+the shares of unlabelled and positive texts above a score, as only positives score high. The
 scorer then minimises the non-negative unbiased risk with logistic loss
 
     prior * loss(positives, 1) + max(0, loss(unlabelled, 0) - prior * loss(positives, 0)),
@@ -11,25 +11,27 @@ scorer then minimises the non-negative unbiased risk with logistic loss
 so its sigmoid estimates the probability of quality 1. It is additive over binned statistics of
 the whole text: shares of character classes, repetition of words, lengths of words and lines.
 
-Both samples are bounded by parameters; every row is scored. Nulls: a null text is empty and
-scored as such; a null id belongs to no fold and is never learnt from. Without positives every
-score is one half. Repeated rows are each scored; other columns are not looked at.
+Only what gradient steps run over is bounded: the positives and the unlabelled rows that the
+classifiers are fitted to, both chosen by a hash, so the same for any order and files of a table.
+The prior and the cut come from histograms of the logits of all rows, and every row is scored.
+Nulls: a null text is empty and scored as such; a null id belongs to no fold and is never learnt
+from. Without positives every score is one half. Repeated rows are each scored; other columns
+stay, whatever they are called, but for one that is called like the score, which it replaces.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import some_ids, some_rows, text_of
+from tidemark.llm.common import columns_of, durable, numbered, place, some_ids, text_of
 
 _CLASSES = {
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -130,40 +132,65 @@ class _Fit:
         self.model.bias -= float(change[-1])
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, edges: np.ndarray, steps: int) -> float:
-    """The share of positives among the unlabelled rows.
+class Histogram:
+    """How many rows have which logit, in steps of 1/256: exact counts of a whole table."""
 
-    Half of each sample fits the classifier, the other half gives the ratio.
-    """
+    STEP = 1 / 256
+    MOST = 30 * 256  # logits beyond count as the farthest
+
+    def __init__(self, counts: dict[int, int]) -> None:
+        self.places = np.array(sorted(counts), np.int64)
+        self.counts = np.array([counts[at] for at in self.places.tolist()], np.int64)
+
+    @classmethod
+    def place_of(cls, logits: np.ndarray) -> np.ndarray:
+        return np.clip(np.floor(logits / cls.STEP), -cls.MOST, cls.MOST).astype(np.int64)
+
+    @classmethod
+    def of(cls, logits: np.ndarray) -> Histogram:
+        return cls(Counter(cls.place_of(logits).tolist()))
+
+    @property
+    def total(self) -> int:
+        return int(self.counts.sum())
+
+    def share_from(self, logit: float) -> float:
+        """The share of rows at or above a logit, to a step."""
+        return float(self.counts[self.places >= self.place_of(np.array(logit))].sum() / max(1, self.total))
+
+    def quantile(self, share: float) -> float:
+        at = np.searchsorted(np.cumsum(self.counts), share * self.total)
+        return float(self.places[min(at, len(self.places) - 1)] * self.STEP)
+
+
+def fit_prior_scorer(positive: np.ndarray, unlabelled: np.ndarray, edges: np.ndarray, steps: int) -> Model:
+    """A classifier of positives against unlabelled rows."""
     fit = _Fit(edges)
-    p, u = fit.place(positive[::2]), fit.place(unlabelled[::2])
+    p, u = fit.place(positive), fit.place(unlabelled)
     for _ in range(steps):
         gradient = fit.gradient(p, -(1 - sigmoid(fit.logits(p))) / (2 * len(p)))
         fit.step(gradient + fit.gradient(u, sigmoid(fit.logits(u)) / (2 * len(u))), 0.05)
-    of_p, of_u = np.sort(fit.model.logits(positive[1::2])), np.sort(fit.model.logits(unlabelled[1::2]))
+    return fit.model
+
+
+def estimate_prior(of_p: np.ndarray, of_u: Histogram) -> float:
+    """The share of positives among unlabelled rows, from logits that no row was fitted to."""
+    of_p = np.sort(of_p)
     ratios = []
     for share in np.linspace(0.3, 0.99, 70):
         least = of_p[int((1 - share) * len(of_p))]
         above_p = 1 - np.searchsorted(of_p, least) / len(of_p)
-        above_u = 1 - np.searchsorted(of_u, least) / len(of_u)
-        # Two standard errors, so that a small sample does not give too small a least.
-        spread = 2 * np.sqrt(above_u * (1 - above_u) / len(of_u) + above_p * (1 - above_p) / len(of_p))
+        above_u = of_u.share_from(least)
+        # Two standard errors, so that a small table does not give too small a least.
+        spread = 2 * np.sqrt(above_u * (1 - above_u) / max(1, of_u.total) + above_p * (1 - above_p) / len(of_p))
         ratios.append((above_u + spread) / above_p)
     return float(np.clip(min(ratios), 0.02, 0.98))
 
 
 def fit_non_negative(
-    positive: np.ndarray, unlabelled: np.ndarray, *, bins: int = 24, steps: int = 1000, cut: float = 0.3
-) -> tuple[Model, float]:
-    """The scorer and the estimated class prior.
-
-    Last the bias is set so that a score of ``cut`` lies between the logit above which the
-    prior's share of unlabelled texts is and that which all but 0.2 % of the positives exceed,
-    and never above the latter: no more positives are given up for a prior that is too low.
-    """
-    bins = min(bins, max(4, min(len(positive), len(unlabelled)) // 25))
-    edges = _edges(np.concatenate([positive, unlabelled]), bins)
-    prior = estimate_prior(positive, unlabelled, edges, steps // 2)
+    positive: np.ndarray, unlabelled: np.ndarray, edges: np.ndarray, prior: float, steps: int
+) -> Model:
+    """The scorer of least non-negative risk."""
     fit = _Fit(edges, decay=2e-5)
     p, u = fit.place(positive), fit.place(unlabelled)
     for turn in range(steps):
@@ -175,22 +202,69 @@ def fit_non_negative(
         # A negative risk below zero is overfitting: step back from it.
         gradient = positive_part + unlabelled_part if negative_risk >= 0 else -unlabelled_part
         fit.step(gradient, 0.05 if turn < steps // 2 else 0.01)
-    by_prior = np.quantile(fit.logits(u), 1 - prior)
-    by_positives = np.quantile(fit.logits(p), 0.002)
+    return fit.model
+
+
+def move_cut(model: Model, of_u: Histogram, of_p: np.ndarray, prior: float, cut: float) -> None:
+    """Set the bias so that a score of ``cut`` lies between the logit above which the prior's
+    share of unlabelled texts is and that which all but 0.2 % of the positives exceed, and never
+    above the latter: no more positives are given up for a prior that is too low."""
+    by_prior, by_positives = of_u.quantile(1 - prior), np.quantile(of_p, 0.002)
     boundary = min(by_positives, (by_prior + by_positives) / 2)
-    fit.model.bias += float(np.log(cut / (1 - cut)) - boundary)
-    return fit.model, prior
+    model.bias += float(np.log(cut / (1 - cut)) - boundary)
+
+
+def learn(
+    positive: np.ndarray,
+    unlabelled: np.ndarray,
+    histogram: Callable[[Model, bool], Histogram],
+    *,
+    bins: int = 24,
+    steps: int = 1000,
+    cut: float = 0.3,
+) -> tuple[Model, float]:
+    """The scorer and the estimated class prior.
+
+    The first half of ``positive`` and all of ``unlabelled`` fit the classifier of the prior.
+    ``histogram`` gives that of a model's logits over all rows, or over those that it was not
+    fitted to.
+    """
+    bins = min(bins, max(4, min(len(positive), len(unlabelled)) // 25))
+    edges = _edges(np.concatenate([positive, unlabelled]), bins)
+    half = (len(positive) + 1) // 2
+    first = fit_prior_scorer(positive[:half], unlabelled, edges, steps // 2)
+    prior = estimate_prior(first.logits(positive[half:]), histogram(first, True))
+    model = fit_non_negative(positive, unlabelled, edges, prior, steps)
+    move_cut(model, histogram(model, False), model.logits(positive), prior, cut)
+    return model, prior
 
 
-def _feature_rows(rows: DataFrame) -> np.ndarray:
-    """Features of a bounded sample of texts."""
+def measured(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, x) of every row: the features of its text as 32-bit numbers."""
+    texts = columns_of(docs, id=id_column, text=text_column)
+    rows = texts.select(F.col("id").cast("long").alias("id"), text_of("text").alias("text"))
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame({"x": [features(text).tolist() for text in batch["text"]]})
+            found = [features(text).astype("<f4").tobytes() for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], names=["id", "x"])
 
-    found = rows.select("text").mapInPandas(measure, "x array<double>").toPandas()["x"]
-    return np.array(found.tolist()).reshape(-1, N_FEATURES)
+    return rows.mapInArrow(measure, "id long, x binary")
+
+
+def _rows_of(packed: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(packed), "<f4").reshape(-1, N_FEATURES).astype(float)
+
+
+def _histogram(rows: DataFrame, model: Model) -> Histogram:
+    def place_logits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = Counter(Histogram.place_of(model.logits(_rows_of(batch.column("x").to_pylist()))).tolist())
+            columns = [pa.array(list(places), pa.int64()), pa.array(list(places.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["at", "n"])
+
+    counted = rows.select("x").mapInArrow(place_logits, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    return Histogram({row["at"]: row["n"] for row in counted.collect()})
 
 
 def train(
@@ -202,14 +276,23 @@ def train(
     most_positives: int = 20_000,
     most_unlabelled: int = 30_000,
 ) -> tuple[Model, float]:
-    """A model from the ids in ``positives`` (one column ``id``) and a sample of ``docs``."""
-    texts = docs.select(F.col(id_column).cast("long").alias("id"), text_of(text_column).alias("text"))
+    """A model from the ids in ``positives`` (one column ``id``) and all rows of ``docs``.
+
+    ``most_positives`` labelled rows at most, and about ``most_unlabelled`` rows, are what the
+    classifiers are fitted to. Up to half of a small table is, and the prior is read off the rest.
+    """
+    rows = durable(measured(docs, id_column, text_column))
     trusted = some_ids(positives.select("id").distinct(), most_positives)
-    positive = _feature_rows(texts.join(F.broadcast(trusted), "id"))
-    unlabelled = _feature_rows(some_rows(texts, most_unlabelled, 3))
+    found = rows.join(F.broadcast(trusted), "id").toPandas().sort_values(["id", "x"])
+    # By another hash than that of the id alone, so that the halves have nothing to do with it.
+    mixed = np.random.default_rng(3).permutation(len(found))
+    positive = _rows_of(found["x"].iloc[mixed].tolist())
+    share = max(2, rows.count() // most_unlabelled)
+    chosen = F.pmod(F.xxhash64("id", "x"), F.lit(share)) == 0
+    unlabelled = _rows_of(sorted(rows.where(chosen).select("x").toPandas()["x"].tolist()))
     if len(positive) < 2 or len(unlabelled) < 2:
         return Model(np.zeros((N_FEATURES, 1)), np.zeros((N_FEATURES, 2)), 0.0), 0.5
-    return fit_non_negative(positive, unlabelled)
+    return learn(positive, unlabelled, lambda model, rest: _histogram(rows.where(~chosen) if rest else rows, model))
 
 
 def score(
@@ -221,16 +304,16 @@ def score(
     score_column: str = "score",
 ) -> DataFrame:
     """``docs``, or its columns ``keep``, with a column for the score."""
-    names = docs.columns if keep is None else keep
-    rows = docs.select(*[F.col(f"`{name}`") for name in names], text_of(text_column).alias("__text"))
+    names = [name for name in (docs.columns if keep is None else keep) if name.lower() != score_column.lower()]
+    kept = [place(docs, name) for name in names]
+    rows = numbered(docs).select(*kept, text_of(place(docs, text_column)).alias("text"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("__text").to_pylist()
-            found = np.array([features(text) for text in texts]).reshape(-1, N_FEATURES)
-            scores = pa.array(sigmoid(model.logits(found)), pa.float64())
-            kept = [column for name, column in zip(batch.schema.names, batch.columns, strict=True) if name != "__text"]
-            yield pa.RecordBatch.from_arrays([*kept, scores], names=[*names, score_column])
-
-    schema = T.StructType([field for field in rows.schema if field.name != "__text"])
-    return rows.mapInArrow(apply, schema.add(score_column, "double"))
+            *columns, texts = batch.columns
+            found = np.array([features(text) for text in texts.to_pylist()]).reshape(-1, N_FEATURES)
+            scores = pa.array(sigmoid(model.logits(found.astype("<f4").astype(float))), pa.float64())
+            yield pa.RecordBatch.from_arrays([*columns, scores], names=[*kept, "score"])
+
+    schema = T.StructType(rows.schema.fields[:-1]).add("score", "double")
+    return rows.mapInArrow(apply, schema).toDF(*names, score_column)

@@ -3,55 +3,75 @@
 Voters look at a text and fire or not: lexicons of words and word beginnings that occur far more
 often in a bounded sample of toxic rows than in one of other rows, one lexicon per family of
 terms that begin alike, and patterns of shouting, insistence and accumulation. A generative
-label model then looks at the votes on a sample of all texts, without labels: by expectation
-maximisation it estimates how often texts are toxic and how often each voter fires on toxic and
-on other texts; correlations between voters that toxicity does not explain are estimated from
-the residuals, and correlated voters share their weight. Its posterior labels train the linear
-classifier that scores every text, over the presence of words and word beginnings.
-
-All samples are bounded by parameters; every row is scored. Nulls: a null text is empty and
-scored as such; a null id belongs to no fold and is never learnt from. Without toxic labels every
-score is zero. Repeated rows are each scored; other columns are not looked at.
+label model then looks at the votes on all texts, without labels: by expectation maximisation it
+estimates how often texts are toxic and how often each voter fires on toxic and on other texts;
+correlations between voters that toxicity does not explain are estimated from the residuals, and
+correlated voters share their weight. All it needs is how many texts have which votes: with
+``LEXICONS`` lexicons and four patterns there are 2^16 kinds of votes at most, whatever the size of
+the table. Its posterior labels train the linear classifier that scores every text, over the
+presence of words and word beginnings.
+
+Words are cut at marks inside them. One of over 40 characters, as in scripts without spaces, has
+all its runs of four to six characters as beginnings.
+
+Bounded by parameters are the labelled rows that terms are mined from and the rows that the
+linear classifier is fitted to, chosen by a hash, so the same for any order and files of a table;
+the label model counts every row, and every row is scored. Nulls: a null text is empty and scored
+as such; a null id belongs to no fold and is never learnt from. Without toxic labels every score
+is zero. Repeated rows are each scored; other columns are not looked at.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import durable, id_of, id_or_null, some_ids, some_rows, text_of
+from tidemark.llm.common import columns_of, durable, id_of, id_or_null, one_in, some_ids, text_of
 
-_EDGES = ".,;:!?\"'()[]{}<>«»„“”‘’…*_~-–—¡¿"
+_MARKS = re.compile(r"[.,;:!?\"'()\[\]{}<>«»„“”‘’…*_~\-–—¡¿/\\|+=&#@]+")
+_LONG = 40
 _BEGINNINGS = (4, 5, 6)
 _KEPT_WORDS = 300_000
 PATTERNS = 4
+LEXICONS = 12
 
 
-def terms_of(word: str) -> list[str]:
-    """A word without marks at its ends, closed by a blank, and its beginnings."""
-    word = word.strip(_EDGES)
-    if not word or len(word) > 40:
-        return []
-    return [word + " ", *(word[:size] for size in _BEGINNINGS if len(word) >= size)]
+def terms_of(word: str) -> Iterator[str]:
+    """The parts of a word between marks, each closed by a blank, and their beginnings."""
+    for part in _MARKS.split(word):
+        if len(part) > _LONG:
+            for size in _BEGINNINGS:
+                yield from (part[at : at + size] for at in range(len(part) - size + 1))
+        elif part:
+            yield part + " "
+            yield from (part[:size] for size in _BEGINNINGS if len(part) >= size)
 
 
 def text_terms(text: str) -> set[str]:
     return {term for word in set(text.lower().split()) for term in terms_of(word)}
 
 
+@cache
+def _capitals() -> np.ndarray:
+    return np.array([chr(code).isupper() for code in range(0x110000)])
+
+
 def patterns(text: str, hits: int) -> list[bool]:
-    """Shouting, insistence, words in capitals, and several terms of the lexicons."""
+    """Shouting, insistence, a third of the text in capitals, and several terms of the lexicons."""
     n = max(1, len(text))
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     return [
         text.count("!") * 100 > n,
         "!!" in text or "??" in text,
-        sum(map(str.isupper, text[:: max(1, n // 2000)])) * 3 > min(n, 2000),
+        int(_capitals()[codes].sum()) * 3 > n,
         hits >= 3,
     ]
 
@@ -150,7 +170,7 @@ def mine_terms(
     return [(row.term, row.weight) for row in rows.collect()]
 
 
-def lexicons(terms: list[str], most: int = 24) -> tuple[dict[str, int], int]:
+def lexicons(terms: list[str], most: int = LEXICONS) -> tuple[dict[str, int], int]:
     """A voter per family of terms with the same first three letters; small families share one."""
     sizes = Counter(term[:3] for term in terms)
     families = {family: i for i, (family, _) in enumerate(sizes.most_common(most - 1))}
@@ -175,22 +195,25 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def fit_label_model(votes: np.ndarray, trusted: np.ndarray, rounds: int = 30) -> LabelModel:
-    """From a 0/1 matrix of texts and voters; ``trusted`` voters give the first guess."""
+def fit_label_model(votes: np.ndarray, counts: np.ndarray, trusted: np.ndarray, rounds: int = 30) -> LabelModel:
+    """From the kinds of votes, as a 0/1 matrix of kinds and voters, and the number of texts of
+    each; ``trusted`` voters give the first guess."""
+    n = max(1, int(counts.sum()))
     guess = np.where(votes[:, trusted].any(axis=1), 0.9, 0.02)
     model = LabelModel(0.1, np.zeros((2, votes.shape[1])), np.ones(votes.shape[1]))
     for _ in range(rounds):
-        sure = np.stack([1 - guess, guess])
+        sure = np.stack([1 - guess, guess]) * counts
         totals = sure.sum(axis=1, keepdims=True)
         model.rates = np.clip((sure @ votes + 0.5) / (totals + 1), 1e-4, 1 - 1e-4)
-        model.prior = float(np.clip(guess.mean(), 1e-3, 0.5))
+        model.prior = float(np.clip(totals[1, 0] / n, 1e-3, 0.5))
         guess = model.posterior(votes)
     # What voters have in common beyond the label: correlations of the residuals, of which
     # those that chance explains are left out.
     residual = votes - (guess[:, None] * model.rates[1] + (1 - guess[:, None]) * model.rates[0])
-    scale = np.sqrt((residual**2).mean(axis=0)) + 1e-9
-    common = np.abs(residual.T @ residual / max(1, len(votes)) / np.outer(scale, scale)).clip(0, 1)
-    common[common < 3 / np.sqrt(max(1, len(votes)))] = 0
+    weighted = residual * counts[:, None]
+    scale = np.sqrt((weighted * residual).sum(axis=0) / n) + 1e-9
+    common = np.abs(residual.T @ weighted / n / np.outer(scale, scale)).clip(0, 1)
+    common[common < 3 / np.sqrt(n)] = 0
     np.fill_diagonal(common, 1)
     model.shares = 1 / common.sum(axis=1)
     return model
@@ -221,10 +244,14 @@ def train(
     id_column: str = "doc_id",
     text_column: str = "text",
     most_labelled: int = 6_000,
-    most_unlabelled: int = 24_000,
+    most_fitted: int = 24_000,
 ) -> Scorer:
-    """A scorer from ``labels`` (id, toxic) of each kind up to a bound, and a sample of texts."""
-    texts = docs.select(F.col(id_column).cast("long").alias("id"), text_of(text_column).alias("text"))
+    """A scorer from ``labels`` (id, toxic) of each kind up to a bound, and all texts.
+
+    About ``most_fitted`` texts, and the labelled ones, are what the linear classifier is fitted to.
+    """
+    given = columns_of(docs, id=id_column, text=text_column)
+    texts = given.select(F.col("id").cast("long").alias("id"), text_of("text").alias("text"))
     kinds = [
         some_ids(labels.where(F.col("toxic") == kind).select("id", "toxic").distinct(), most_labelled)
         for kind in (0, 1)
@@ -236,30 +263,45 @@ def train(
         return Scorer({}, 0)
     scorer = Scorer(*lexicons(terms))
     number = {term: at for at, term in enumerate(terms)}
+    voters = scorer.n_lexicons + PATTERNS
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [scorer.votes(text) for text in batch["text"]]
             yield pd.DataFrame(
                 {
-                    "votes": [list(map(int, votes)) for votes, _ in found],
+                    "id": batch["id"],
+                    "votes": [sum(1 << voter for voter, fired in enumerate(votes) if fired) for votes, _ in found],
                     "terms": [sorted(number[term] for term in present) for _, present in found],
                 }
             )
 
-    sample = some_rows(texts, most_unlabelled, 10).select("text").unionByName(labelled.select("text"))
-    seen = sample.mapInPandas(vote, "votes array<int>, terms array<int>").toPandas()
-    votes = np.array(seen["votes"].tolist(), dtype=float).reshape(len(seen), scorer.n_lexicons + PATTERNS)
-    model = fit_label_model(votes, np.arange(scorer.n_lexicons))
-    posterior = model.posterior(votes)
+    def voted(rows: DataFrame) -> DataFrame:
+        return rows.mapInPandas(vote, "id long, votes int, terms array<int>")
+
+    # Chosen by a hash of the whole row, as ids may be missing or repeated.
+    every = durable(voted(texts.select(F.xxhash64("id", "text").alias("id"), "text")))
+    kinds_of_votes = every.groupBy("votes").agg(F.count("*").alias("n")).toPandas().sort_values("votes")
+    patterns_ = _bits(kinds_of_votes["votes"], voters)
+    model = fit_label_model(patterns_, kinds_of_votes["n"].to_numpy(), np.arange(scorer.n_lexicons))
+
+    sample = one_in(every, every.count() // most_fitted, "id").toPandas()
+    learnt = voted(labelled.select(F.xxhash64("text").alias("id"), "text")).toPandas()
+    seen = pd.concat([sample, learnt]).sort_values(["id", "votes"])
+    posterior = model.posterior(_bits(seen["votes"], voters))
     weights, scorer.bias = fit_linear([list(each) for each in seen["terms"]], posterior, len(terms))
     scorer.weights = dict(zip(terms, weights.tolist(), strict=True))
     return scorer
 
 
+def _bits(votes: pd.Series, voters: int) -> np.ndarray:
+    return (votes.to_numpy(np.int64)[:, None] >> np.arange(voters) & 1).astype(float)
+
+
 def score(docs: DataFrame, scorer: Scorer, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The ids of ``docs`` with a column ``score``."""
-    rows = docs.select(id_of(id_column).alias("id"), text_of(text_column).alias("text"))
+    given = columns_of(docs, id=id_column, text=text_column)
+    rows = given.select(id_of("id").alias("id"), text_of("text").alias("text"))
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
