@@ -207,6 +207,10 @@ FROM ({_VOLUMES})
     "price_trend": f"""
 SELECT ingestion_time AS time, symbol, round(avg(price), 8) AS price
 FROM ({_TRADES}) WHERE {_BETWEEN} AND symbol IS NOT NULL GROUP BY 1, 2
+""",
+    "rollup_totals": f"""
+SELECT symbol, count(*) AS trade_count, coalesce(sum(volume), 0) AS total_volume, round(avg(price), 8) AS price
+FROM ({_TRADES}) WHERE {_BETWEEN} AND symbol IS NOT NULL GROUP BY 1
 """,
     "trades_peek": f"SELECT * FROM ({_TRADES}) ORDER BY trade_timestamp, id LIMIT 10",
     "aggregations_peek": f"SELECT * FROM ({_HOURLY}) ORDER BY window_start, symbol LIMIT 10",

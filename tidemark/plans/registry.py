@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import clock
-from tidemark.operators import envelopes, gaps, ticks as tick_ops
+from tidemark.operators import envelopes, gaps, rollups, ticks as tick_ops
 from tidemark.operators.upserts import latest_version
 from tidemark.operators.windows import WINDOW_SIZE
 from tidemark.plans import dashboard
@@ -460,6 +460,15 @@ def price_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(trend.withColumn("price", _steady(F.col("price"))))
 
 
+@_query
+def rollup_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the look-back from stored sums per hour and day, and raw trades at its ends."""
+    path = scratch_dir(spark, "rollups")
+    rollups.sums(samples.event_trades(spark, sf_dir)).write.partitionBy("level").parquet(path)
+    found = rollups.totals(_recent_trades(spark, sf_dir), spark.read.parquet(path), SINCE, NOW)
+    return found.withColumn("price", _steady(F.col("price")))
+
+
 @_query
 def trades_peek(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades = samples.event_trades(spark, sf_dir)
