@@ -161,6 +161,7 @@ WHERE window_end <= (
     "trades_lookback": "SELECT event_type AS symbol, count(*) AS total_trades FROM events GROUP BY 1",
     "aggregations_lookback": _TOTALS,
     "upsert_after_reset": _HOURLY,
+    "rewritten_stats": _HOURLY,
     "backfill_then_stream": _FIVE_SECONDS,
     "compacted_stats": _HOURLY,
     "view_trade_count": """

@@ -22,7 +22,7 @@ from tidemark.operators.windows import WINDOW_SIZE
 from tidemark.plans import dashboard
 from tidemark.session import pin_utc, scratch_dir
 from tidemark.sources import compaction, feed, files, samples, tables
-from tidemark.streaming import jobs, late, metrics, sinks, state
+from tidemark.streaming import jobs, late, metrics, rewriting, sinks, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -307,6 +307,16 @@ def offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gaps.audit(first.unionByName(again), expected)
 
 
+@_query
+def rewritten_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running stats in a table whose days are rewritten with each batch that touches them."""
+    path = scratch_dir(spark, "rewritten")
+    _feed_in_parts(
+        spark, sf_dir, lambda ticks, run: rewriting.start_stats(ticks, path, size="1 hour", **run)
+    )
+    return _comparable(rewriting.read(spark, path))
+
+
 @_query
 def raw_trades_v2_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items under their event time, of which a keyed read leaves one per millisecond.

@@ -44,3 +44,25 @@ def partition_values(spark: SparkSession, table: str, below: str, column: str) -
     prefix = f"{column}="
     found = names(spark, below)
     return [name.removeprefix(prefix) for name in found if name.startswith(prefix)]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    store, place = _open(spark, path)
+    stream = store.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Make a file in one step: whoever sees it sees all of it. It must not exist yet."""
+    store, place = _open(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.draft")
+    stream = store.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not store.rename(draft, place):
+        raise FileExistsError(f"{path} exists already")
