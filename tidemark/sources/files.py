@@ -22,7 +22,7 @@ def stream_messages(spark: SparkSession, path: str, **options: str) -> DataFrame
 
 def _with_message_id(lines: DataFrame) -> DataFrame:
     # File and text identify a message across replays. The same line twice in one file is
-    # one message sent twice, and keeps one id.
+    # one message sent twice, and keeps one id; ``feed`` tells such lines apart by position.
     message_id = F.concat_ws(":", F.col("_metadata.file_path"), F.sha2("value", 256))
     return lines.select("value", message_id.alias("message_id"))
 
