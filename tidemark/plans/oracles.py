@@ -63,6 +63,12 @@ QUALIFY row_number() OVER (
     ORDER BY l_returnflag DESC, l_extendedprice DESC, l_quantity DESC) = 1
 """
 
+_FLOORED = f"""
+SELECT CAST(make_timestamp({_MS} * 1000) AS VARCHAR) AS id, event_type AS symbol,
+       value AS price, {_VOLUME} AS volume, ({_MS} // 1000) * 1000 AS trade_timestamp
+FROM events
+"""
+
 ORACLES = {
     "tumbling_stats": _FIVE_SECONDS,
     "tumbling_stats_hourly": _HOURLY,
@@ -110,11 +116,7 @@ SELECT {_TICK_ID} AS id, event_type AS symbol, value AS price, {_VOLUME} AS volu
        {_MS} AS trade_timestamp
 FROM events
 """,
-    "raw_trades_v2": f"""
-SELECT CAST(make_timestamp({_MS} * 1000) AS VARCHAR) AS id, event_type AS symbol,
-       value AS price, {_VOLUME} AS volume, ({_MS} // 1000) * 1000 AS trade_timestamp
-FROM events
-""",
+    "raw_trades_v2": _FLOORED,
     "window_stats_append": f"""
 SELECT * FROM ({_FIVE_SECONDS})
 WHERE window_end <= (
@@ -162,6 +164,8 @@ WHERE window_end <= (
     "aggregations_lookback": _TOTALS,
     "upsert_after_reset": _HOURLY,
     "rewritten_stats": _HOURLY,
+    "published_trades": _FLOORED,
+    "published_stats": _HOURLY,
     "backfill_then_stream": _FIVE_SECONDS,
     "compacted_stats": _HOURLY,
     "view_trade_count": """

@@ -21,7 +21,7 @@ from tidemark.operators.upserts import latest_version
 from tidemark.operators.windows import WINDOW_SIZE
 from tidemark.plans import dashboard
 from tidemark.session import pin_utc, scratch_dir
-from tidemark.sources import compaction, feed, files, samples, tables
+from tidemark.sources import compaction, feed, files, published, samples, tables
 from tidemark.streaming import jobs, late, metrics, rewriting, sinks, state
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -317,6 +317,25 @@ def rewritten_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(rewriting.read(spark, path))
 
 
+@_query
+def published_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trades in a table whose sink publishes each batch of a stream once."""
+    table = sinks.trades_table(scratch_dir(spark, "published"), FEED, format=published.register(spark))
+    _finish(jobs.start_raw_append(_tick_stream(spark, sf_dir), table, **_run(spark)))
+    return published.read(spark, table.path, schemas.TRADES).drop("ingestion_time")
+
+
+@_query
+def published_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running stats of a feed that comes in parts, the row published last counting for its key."""
+    table = sinks.aggregations_table(scratch_dir(spark, "published"), FEED, format=published.register(spark))
+    _feed_in_parts(
+        spark, sf_dir, lambda ticks, run: jobs.start_stats_upsert(ticks, table, size="1 hour", **run)
+    )
+    stats = published.read(spark, table.path, schemas.TRADE_AGGREGATIONS, keys=schemas.TRADE_AGGREGATIONS_KEY)
+    return _comparable(stats)
+
+
 @_query
 def raw_trades_v2_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items under their event time, of which a keyed read leaves one per millisecond.

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import schemas
 from tidemark.functions import clock
 from tidemark.operators.ticks import keys_present
+from tidemark.sources import published
 
 # File formats that only append: a replayed batch would be there twice.
 _APPENDING = ("avro", "csv", "json", "orc", "text", "xml")
@@ -28,7 +29,7 @@ class Table:
 
     Connectors take their settings (namespace, table, hosts) in ``options`` and do the keyed
     overwrite themselves. They get every row: a store that refuses rows without a key needs
-    ``split_null_keys`` before it.
+    ``split_null_keys`` before it. The sink of ``sources.published`` is told run and batch, too.
     """
 
     path: str | None
@@ -99,14 +100,17 @@ def batch_writer(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        run_id = run if isinstance(run, str) else run()
         if not table.on_files:
             writer = batch.write.format(table.format).options(**table.options)
+            if table.format == published.NAME:
+                writer = writer.options(run=run_id, batch=batch_id)
             writer.mode("append").save(table.path)
             return
         rows = table.partitioned(batch).withColumns(
             {
                 schemas.SOURCE: F.lit(table.source),
-                schemas.RUN_ID: F.lit(run if isinstance(run, str) else run()),
+                schemas.RUN_ID: F.lit(run_id),
                 schemas.BATCH_ID: F.lit(batch_id).cast("bigint"),
             }
         )
