@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,10 +66,32 @@ def create_tables(spark: SparkSession, namespace: str, location: str | None = No
 
 
 def refresh_tables(spark: SparkSession, namespace: str) -> None:
-    """Make files written by path visible to SQL; needed after a job has written."""
+    """Make files written by path visible to SQL; needed after a job has written or folded.
+
+    Folded folders take the place of those they replace. In a table without a location of its
+    own the replaced files are removed by that.
+    """
     for log in ("trades_log", "trade_aggregations_log"):
-        spark.sql(f"MSCK REPAIR TABLE {namespace}.{log} SYNC PARTITIONS")
-        spark.catalog.refreshTable(f"{namespace}.{log}")
+        table = f"{namespace}.{log}"
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        about = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+        path = about.first().data_type.rstrip("/")
+        place = f"{path}/{folders.FOLDED}/data"
+        current = {leaf: f"{place}/{leaf}" for one in folders.folded(spark, path)["periods"].values() for leaf in one["folded"]}
+        gone = {batch for one in folders.folded(spark, path)["periods"].values() for batch in one["replaced"]}
+        shown = {row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+        stale = {name for name in shown if f"{schemas.RUN_ID}={folders.FOLDED_RUN}/" in name and name not in current}
+        for name in sorted((gone & shown) | (stale if current else set())):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition(name)})")
+        for name in sorted(set(current) - shown):
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({_partition(name)}) LOCATION '{current[name]}'")
+        spark.catalog.refreshTable(table)
+
+
+def _partition(folder: str) -> str:
+    """rejected=false/… as SQL; Spark escapes some characters of values in folders."""
+    pairs = (unquote(part).partition("=") for part in folder.split("/"))
+    return ", ".join(f"{name} = '" + value.replace("'", "\\'") + "'" for name, _, value in pairs)
 
 
 def read_trades(
@@ -185,15 +208,48 @@ def _accepted(
     """
     first = None if since is None else clock.partition_key_of(since, pattern)
     last = None if until is None else clock.partition_key_of(until, pattern)
-    accepted = f"{path.rstrip('/')}/{schemas.REJECTED}=false"
-    wanted = [
-        f"{accepted}/{period}={key}"
+    path = path.rstrip("/")
+    accepted = f"{path}/{schemas.REJECTED}=false"
+    keys = [
+        key
         for key in folders.partition_values(spark, path, accepted, period)
         if (first is None or key >= first) and (last is None or key <= last)
     ]
-    if not wanted:
+    version = folders.folded(spark, path)
+    # A period all of whose folders were replaced and removed has only folded ones.
+    keys += [
+        key
+        for key in version["periods"]
+        if key not in keys and (first is None or key >= first) and (last is None or key <= last)
+    ]
+    return read_periods(spark, path, schema, period, sorted(keys), version)
+
+
+def read_periods(
+    spark: SparkSession, path: str, schema: T.StructType, period: str, keys: Sequence[str], version: dict
+) -> DataFrame:
+    """Accepted rows of some periods as a version of the folded ones has them.
+
+    A period that was never folded is read as the one folder it is.
+    """
+    accepted = f"{path}/{schemas.REJECTED}=false"
+    there = set(folders.partition_values(spark, path, accepted, period))
+    plain = [f"{accepted}/{period}={key}" for key in keys if key not in version["periods"]]
+    ours = {key: version["periods"][key] for key in keys if key in version["periods"]}
+    if both := [f"{accepted}/{period}={key}" for key in ours if key in there]:
+        replaced = {batch for one in ours.values() for batch in one["replaced"]}
+        batches = folders.leaves(spark, path, schema, both)
+        plain += [f"{path}/{batch}" for batch in batches if batch not in replaced]
+    place = f"{path}/{folders.FOLDED}/data"
+    folded = [f"{place}/{leaf}" for one in ours.values() for leaf in one["folded"]]
+    found = [
+        spark.read.schema(schema).option("basePath", root).parquet(*wanted)
+        for root, wanted in ((path, plain), (place, folded))
+        if wanted
+    ]
+    if not found:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*wanted)
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
 def peek(table: DataFrame, *order: str, rows: int = 10) -> DataFrame:
