@@ -63,6 +63,12 @@ QUALIFY row_number() OVER (
     ORDER BY l_returnflag DESC, l_extendedprice DESC, l_quantity DESC) = 1
 """
 
+_EXACT = f"""
+SELECT {_TICK_ID} AS id, event_type AS symbol, value AS price, {_VOLUME} AS volume,
+       {_MS} AS trade_timestamp
+FROM events
+"""
+
 _FLOORED = f"""
 SELECT CAST(make_timestamp({_MS} * 1000) AS VARCHAR) AS id, event_type AS symbol,
        value AS price, {_VOLUME} AS volume, ({_MS} // 1000) * 1000 AS trade_timestamp
@@ -111,11 +117,7 @@ SELECT date_trunc('day', l_shipdate) AS window_start,
        count(*) AS trade_count
 FROM lineitem GROUP BY 1, 2, 3
 """,
-    "raw_trades_v1": f"""
-SELECT {_TICK_ID} AS id, event_type AS symbol, value AS price, {_VOLUME} AS volume,
-       {_MS} AS trade_timestamp
-FROM events
-""",
+    "raw_trades_v1": _EXACT,
     "raw_trades_v2": _FLOORED,
     "window_stats_append": f"""
 SELECT * FROM ({_FIVE_SECONDS})
@@ -168,6 +170,14 @@ WHERE window_end <= (
     "published_stats": _HOURLY,
     "backfill_then_stream": _FIVE_SECONDS,
     "compacted_stats": _HOURLY,
+    "compacted_trades": _EXACT,
+    "trades_by_id": f"SELECT * FROM ({_TRADES}) ORDER BY trade_timestamp, id LIMIT 10",
+    "bucketed_newest": _TRADES,
+    "bucketed_latest_row": f"""
+SELECT * FROM ({_TRADES}) WHERE symbol IS NOT NULL
+QUALIFY row_number() OVER (
+    PARTITION BY symbol ORDER BY trade_timestamp DESC, ingestion_time DESC, id DESC) = 1
+""",
     "view_trade_count": """
 SELECT strftime(ts, '%Y-%m-%d') AS window_day, event_type AS symbol, count(*) AS total_trades
 FROM events WHERE ts >= TIMESTAMP '2024-01-05' GROUP BY 1, 2

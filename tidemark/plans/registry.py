@@ -21,7 +21,7 @@ from tidemark.operators.upserts import latest_version
 from tidemark.operators.windows import WINDOW_SIZE
 from tidemark.plans import dashboard
 from tidemark.session import pin_utc, scratch_dir
-from tidemark.sources import compaction, feed, files, published, samples, tables
+from tidemark.sources import buckets, compaction, feed, files, published, samples, tables
 from tidemark.streaming import jobs, late, metrics, rewriting, sinks, state
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -400,6 +400,45 @@ def compacted_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(tables.read_aggregations(spark, table.path))
 
 
+@_query
+def compacted_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trades of three batches, folded beside the batches that they replace."""
+    table = sinks.trades_table(scratch_dir(spark, "trades"), FEED)
+    _feed_in_parts(spark, sf_dir, lambda ticks, run: jobs.start_raw_batches(ticks, table, **run))
+    compaction.compact_trades(spark, table.path, NOW + timedelta(days=10_000))
+    return tables.read_trades(spark, table.path).drop("ingestion_time")
+
+
+@_query
+def trades_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten trades, looked up by their ids in a table with Bloom filters."""
+    trades = samples.event_trades(spark, sf_dir)
+    options = tables.bloom_options(1 << 16)
+    table = sinks.trades_table(scratch_dir(spark, "trades"), FEED, options=options)
+    sinks.batch_writer(table, "history")(trades, 0)
+    first = [row.id for row in tables.peek(trades, "trade_timestamp", "id").collect()]
+    return _zoneless(tables.read_trades_by_id(spark, table.path, first))
+
+
+@_query
+def bucketed_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades that were stored with other prices before, from a table bucketed by id."""
+    name, path = f"trades_{uuid.uuid4().hex}", scratch_dir(spark, "bucketed")
+    trades = samples.event_trades(spark, sf_dir)
+    first = trades.withColumns({"price": F.col("price") + 1, "ingestion_time": F.expr("ingestion_time - INTERVAL 1 DAY")})
+    for rows in (first, trades):
+        buckets.store(rows, name, schemas.TRADES_KEY, ["ingestion_time"], path, buckets=16)
+    return _zoneless(buckets.newest(spark, name, schemas.TRADES_KEY, ["ingestion_time"]))
+
+
+@_query
+def bucketed_latest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last trade of each symbol, from a table bucketed by symbol and part."""
+    name, path = f"trades_{uuid.uuid4().hex}", scratch_dir(spark, "bucketed")
+    buckets.store_by_symbol(samples.event_trades(spark, sf_dir), name, path, buckets=16)
+    return _zoneless(buckets.newest_by_symbol(spark, name, ["trade_timestamp", "ingestion_time", "id"]))
+
+
 @_query
 def view_trade_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades per symbol and day through the SQL view of a stored table."""

@@ -45,8 +45,8 @@ def compact_aggregations(spark: SparkSession, path: str, before: datetime) -> li
 def compact_trades(spark: SparkSession, path: str, before: datetime) -> list[str]:
     """Fold every hour of ingestion before that of ``before``, each trade as it is.
 
-    Files are sorted by id, so that a search for one skips most row groups. Trades that a replay
-    stored again stay: which one counts is for a keyed read to say.
+    Files are sorted by id, so that a search for one skips most row groups and pages. Trades that
+    a replay stored again stay: which one counts is for a keyed read to say.
     """
     return _compact(
         spark,
