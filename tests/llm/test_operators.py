@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
@@ -477,6 +478,39 @@ def test_nearest_of_few_vectors(spark):
     assert vector_search.nearest(frame.limit(0), F.col("id") % 100 == 0, 10).count() == 0
 
 
+@pytest.mark.parametrize("n, kind", [(500, "even"), (10_000, "even"), (10_000, "clusters"), (40_000, "clusters")])
+def test_nearest_finds_most_at_any_size(spark, n, kind):
+    """Recall of at least 0.9 without probing everything, and few rows sent where cells are fine."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(n)
+    points = rng.normal(size=(n, 32))
+    if kind == "clusters":
+        points = 20 * rng.normal(size=(n // 50, 32))[rng.integers(0, n // 50, n)] + points
+    frame = spark.createDataFrame(
+        pd.DataFrame({"vec_id": range(n), "embedding": points.tolist()}), "vec_id long, embedding array<double>"
+    )
+    got = defaultdict(set)
+    for row in vector_search.nearest(frame, F.col("id") % 100 == 0, 10, per_slot=2000).collect():
+        got[row.query_id].add(row.vec_id)
+    hits = 0
+    for query in range(0, n, 100):
+        distances = ((points - points[query]) ** 2).sum(axis=1)
+        distances[query] = np.inf
+        hits += len(got[query] & set(np.argsort(distances)[:10].tolist()))
+    assert hits >= 0.9 * 10 * len(range(0, n, 100))
+
+
+def test_a_query_visits_few_slots_however_many_there_are():
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(200, 32))
+    steps = vector_search.perturbations(8)
+    for slots in (100, 100_000):
+        hashing = vector_search.Hashing(rng.normal(size=(1, 32, 8)), rng.uniform(size=(1, 8)), 5.0, slots, 3, {})
+        visited, _ = vector_search._visited(hashing, 0, points, steps, 500)
+        assert max(map(len, visited)) <= 27
+
+
 def test_nearest_of_repeated_rows(spark):
     """Copies of a row take no other row's place, whether or not the query has enough."""
     from pyspark.sql import functions as F
