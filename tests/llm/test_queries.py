@@ -173,3 +173,30 @@ def test_pipeline_stages_take_effect(spark, folder):
     fps = np.array([slow_fingerprint(row.text) for row in before.collect()], np.uint64)
     assert all((np.bitwise_count(fps ^ fp) <= 4).sum() == 1 for fp in fps)
     assert docs.select("doc_id").distinct().count() == counts[4]
+
+
+def test_leaks_in_sql_follow_the_rule_of_the_code(spark, tmp_path):
+    """Two passages at one displacement, their gap of any length, replaced words, short items."""
+    rng = np.random.default_rng(5)
+    items = {n: [f"w{n}x{at}" for at in range(59)] for n in range(1, 4)}
+    items |= {4: ["who", "built", "it"], 5: ["alone"], 6: ["who"] * 14, 7: []}
+    texts = {1: "who built it", 2: "Alone", 3: "", 4: None, 5: "who " * 30, 6: "who built the bridge"}
+    for number in range(10, 60):
+        words = list(items[1 + number % 3])
+        for _ in range(rng.integers(1, 4)):
+            start = int(rng.integers(0, 50))
+            for at in range(start, min(59, start + int(rng.integers(1, 20)))):
+                words[at] = "other"
+        texts[number] = " ".join(["before"] * int(rng.integers(0, 3)) + words + ["after"] * 3)
+    texts[60] = " ".join(items[1][:22] + ["other"] * 15 + items[1][37:])
+    docs = pd.DataFrame({"doc_id": list(texts), "text": list(texts.values())})
+    bench = pd.DataFrame({"item_id": list(items), "text": [" ".join(words) for words in items.values()]})
+    docs.to_parquet(tmp_path / "documents.parquet")
+    bench.to_parquet(tmp_path / "benchmark.parquet")
+    connection = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    ours = canonical(contract.queries()["op6_benchmark_leaks"](spark, str(tmp_path)).toPandas())
+    theirs = canonical(connection.sql(llm.ORACLES["op6_benchmark_leaks"]).df())
+    assert {1, 2, 5, 6, 60} - set(ours.doc_id) == {6} and len(ours) > 30
+    pd.testing.assert_frame_equal(ours, theirs, check_dtype=False, check_exact=True)

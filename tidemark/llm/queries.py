@@ -175,24 +175,48 @@ windows AS (
   SELECT kind, id, pos, unnest([{_SEEDS}]) AS seed
   FROM ahead WHERE w{decontaminate.SPAN - 1} IS NOT NULL
 ),
-pairs AS (
-  SELECT d.id AS doc_id, i.id AS item_id, d.pos - i.pos AS shift,
-         min(i.pos) AS first, max(i.pos) + {decontaminate.SPAN} AS last
+hits AS (
+  SELECT DISTINCT d.id AS doc_id, i.id AS item_id, d.pos - i.pos AS shift, i.pos AS pos, {decontaminate.SPAN} AS span
   FROM windows d JOIN windows i ON d.kind = 'd' AND i.kind = 'i' AND d.seed = i.seed
-  GROUP BY ALL
+  UNION ALL
+  SELECT DISTINCT w.id, i.id, w.pos, 0, len(i.words)
+  FROM texts i JOIN words w ON w.kind = 'd' AND w.word = i.words[1]
+  JOIN texts d ON d.kind = 'd' AND d.id = w.id
+  WHERE i.kind = 'i' AND len(i.words) < {decontaminate.SPAN}
+    AND list_slice(d.words, w.pos + 1, w.pos + len(i.words)) = i.words
 ),
-counted AS (
-  SELECT doc_id, item_id, shift, first, last, count(*) AS size,
-         count(*) FILTER (WHERE d.word = i.word) AS n_matched,
-         count(*) FILTER (WHERE d.word = i.word AND i.pos >= first AND i.pos < last) AS near
+pairs AS (
+  SELECT doc_id, item_id, shift, min(pos) AS first, max(pos + span) AS last FROM hits GROUP BY ALL
+),
+agreeing AS (
+  SELECT doc_id, item_id, shift, first, last, i.pos, coalesce(d.word = i.word, false)::INTEGER AS same,
+         sum(same) OVER (PARTITION BY doc_id, item_id, shift ORDER BY i.pos) AS upto
   FROM pairs JOIN words i ON i.kind = 'i' AND i.id = item_id
   LEFT JOIN words d ON d.kind = 'd' AND d.id = doc_id AND d.pos = i.pos + shift
-  GROUP BY ALL
+),
+counted AS (
+  SELECT doc_id, item_id, shift, first, last, count(*) AS size, sum(same) AS n_matched,
+         sum(same) FILTER (WHERE pos >= first AND pos < last) AS near
+  FROM agreeing GROUP BY ALL
+),
+enough AS (SELECT * FROM counted WHERE n_matched >= least(13, ceil(size * 0.8))),
+parts AS (
+  SELECT e.doc_id, e.item_id, e.shift, e.n_matched, a.pos AS first, b.pos + b.span AS last
+  FROM enough e
+  JOIN hits a ON a.doc_id = e.doc_id AND a.item_id = e.item_id AND a.shift = e.shift
+  JOIN hits b ON b.doc_id = e.doc_id AND b.item_id = e.item_id AND b.shift = e.shift AND b.pos >= a.pos
+  JOIN agreeing x ON x.doc_id = e.doc_id AND x.item_id = e.item_id AND x.shift = e.shift AND x.pos = a.pos
+  JOIN agreeing y ON y.doc_id = e.doc_id AND y.item_id = e.item_id AND y.shift = e.shift AND y.pos = b.pos + b.span - 1
+  WHERE e.near < (e.last - e.first) * 0.8 AND y.upto - x.upto + x.same >= (b.pos + b.span - a.pos) * 0.8
+),
+stretches AS (
+  SELECT doc_id, item_id, shift, n_matched, first, last FROM enough WHERE near >= (last - first) * 0.8
+  UNION ALL SELECT * FROM parts
 ),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id, item_id
                                ORDER BY n_matched DESC, last - first DESC, first + shift, first) AS place
-  FROM counted WHERE near >= (last - first) * 0.8 AND n_matched >= least(13, ceil(size * 0.8))
+  FROM stretches
 )
 SELECT doc_id, item_id, (first + shift)::INTEGER AS doc_start, first::INTEGER AS item_start,
        (last - first)::INTEGER AS n_words, n_matched::INTEGER AS n_matched
