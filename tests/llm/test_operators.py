@@ -12,9 +12,11 @@ import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import (
+    components,
     decontaminate,
     html_extract,
     line_dedup,
@@ -235,6 +237,40 @@ def test_near_links_find_all_links(spark, blocks):
     assert [part.tolist() for part in found.stars()] == [part.tolist() for part in every.stars()]
 
 
+def test_components_with_hubs_and_chains(spark):
+    """A node with most of the links, a long chain and small groups, as links in any direction."""
+    rng = np.random.default_rng(5)
+    links = [(700, other) for other in range(701, 2700)]
+    links += [(at, at + 1) for at in range(3000, 3060)] + [(3050, 10), (2800, 2690)]
+    links += [(int(a), int(b)) for a, b in rng.integers(5000, 9000, (1200, 2))]
+    links = [pair[::-1] if rng.random() < 0.5 else pair for pair in links] + links[:5]
+    parent = {node: node for pair in links for node in pair}
+
+    def root(node):
+        while parent[node] != node:
+            node = parent[node]
+        return node
+
+    for a, b in links:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    frame = spark.createDataFrame(links, "a long, b long")
+    got = components.connected_components(frame).collect()
+    alone = {a for a, b in links if a == b} - {node for a, b in links if a != b for node in (a, b)}
+    assert sorted(map(tuple, got)) == sorted((node, root(node)) for node in parent if node not in alone)
+
+
+def test_rows_of_hot_keys_stay_where_they_are(spark):
+    rows = spark.range(5000).selectExpr("if(id < 3000, 0, id % 1500) AS key", "id")
+    of_keys = rows.groupBy("key").count().withColumnRenamed("count", "n").withColumn("name", F.concat(F.lit("k"), "key"))
+    joined = components.join_by_few(rows, of_keys, "key", 5000)
+    assert joined.columns == ["key", "id", "name"]
+    expected = sorted((0 if i < 3000 else i % 1500, i, f"k{0 if i < 3000 else i % 1500}") for i in range(5000))
+    assert sorted(map(tuple, joined.collect())) == expected
+    none = components.join_by_few(rows.limit(0), of_keys.limit(0), "key", 0)
+    assert none.count() == 0
+
+
 ITEM = "a passage of the benchmark that has quite a few words in it so that it can be found again in texts"
 
 

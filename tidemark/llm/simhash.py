@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import durable, id_of, id_or_null, numbered, one_in, place, text_of
-from tidemark.llm.components import connected_components
+from tidemark.llm.components import connected_components, join_by_few
 
 SEED = 42
 _BLOCK = 1 << 15
@@ -311,22 +311,25 @@ def near_duplicates(
     fingerprint, as a signed number, which has it, or the smallest of those: never null.
     """
     signed = durable(fingerprints(docs, width, id_column, text_column))
-    distinct = durable(signed.groupBy("fp").agg(F.min("id").alias("least_id")))
+    distinct = durable(signed.groupBy("fp").agg(F.min("id").alias("least_id"), F.count("*").alias("n")))
     # A node is named by its least id first, a missing one coming last. So the smallest node of a
     # component says its id, and no stage has to bring all nodes of a component together.
     unknown = F.col("least_id").isNull()
     node = F.struct(unknown.alias("unknown"), F.coalesce("least_id", F.lit(0)).alias("id"), "fp")
-    named = distinct.select("fp", node.alias("node"))
-    links = near_links(distinct, max_distance, **search)
+    named = distinct.select("fp", node.alias("node"), "n")
+    links = durable(near_links(distinct, max_distance, **search))
+    n_links = links.count()
+    # A few fingerprints may have most of the links, or most of the rows.
     for end in ("a", "b"):
-        found = named.select(F.col("fp").alias(end), F.col("node").alias(f"node_{end}"))
-        links = links.join(found, end)
+        counts = links.groupBy(F.col(end).alias("fp")).agg(F.count("*").alias("n"))
+        found = named.drop("n").join(counts, "fp").withColumnsRenamed({"fp": end, "node": f"node_{end}"})
+        links = join_by_few(links, found, end, n_links)
     grouped = connected_components(links.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
     of_fp = named.join(grouped, "node", "left").select(
-        "fp", F.coalesce("component", "node").alias("least")
+        "fp", F.coalesce("component", "node").alias("least"), "n"
     )
     component_id = F.when(~F.col("least.unknown"), F.col("least.id"))
-    return signed.join(of_fp, "fp").select(
+    return join_by_few(signed, of_fp, "fp", signed.count()).select(
         "id", "text_hash", "fp", F.col("least.fp").alias("component"), component_id.alias("component_id")
     )
 
