@@ -22,7 +22,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     before = None
     while (now := _digest(stars)) != before:
         before, n = now, now[0]
-        stars = durable(_small_star(_large_star(stars, n), n))
+        passed_on = durable(_large_star(stars, n))  # read several times
+        stars = durable(_small_star(passed_on, n))
     nodes = stars.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
     roots = stars.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     return nodes.unionByName(roots)
