@@ -5,6 +5,9 @@ two characters that are not white space: such a space ends one token and may onl
 next. So a text is cut there into pieces. A piece that is new, but made of Latin letters and
 plain ASCII only, is cut again between letters and other characters, where they do not join
 characters either. Ids of pieces and of their parts are kept for the next time they come.
+
+Runs of letters that are new in a text are encoded as one string, with a digit between each two:
+a digit joins no letter and no space, so its id shows where the ids of one run end.
 """
 
 from __future__ import annotations
@@ -15,13 +18,17 @@ from array import array
 from collections.abc import Sequence
 
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
+_LOOSE = re.compile(r"\s | \s")  # a space that ``_BREAK`` leaves
 # No quote, as it joins the letters after it, no white space but single line feeds, and no
 # dotted capital I, whose lower case is more than a letter.
 _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _PLAIN = r"0-9!-&(-/:-@\[-`{-~"
 _PARTS = re.compile(rf"[{_LATIN}]+|[^{_LATIN}]+")
-_SIMPLE = re.compile(rf"(?:[{_LATIN}{_PLAIN}]|\n(?!\n))+")
-KEPT = 600_000
+_SIMPLE = re.compile(rf"[{_LATIN}{_PLAIN}]+(?:\n[{_LATIN}{_PLAIN}]+)*")
+_RUN = re.compile(rf" ?[{_LATIN}]+")
+_BETWEEN = "0"
+KEPT = 1_200_000
+KEPT_CUT = 200_000  # of these, pieces of several parts, which are cheap to put together again
 KEPT_CHARS = 48
 _encoders: dict[tuple, PieceEncoder] = {}
 
@@ -29,7 +36,7 @@ _encoders: dict[tuple, PieceEncoder] = {}
 class PieceEncoder:
     """Ids as little-endian bytes of ``width`` bytes each.
 
-    A bounded number of short pieces is remembered; further ones are encoded each time.
+    A bounded number of short pieces and parts is remembered; further ones are encoded each time.
     """
 
     def __init__(self, path: str, width: int = 2) -> None:
@@ -39,11 +46,14 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 256**width:
             raise ValueError(f"ids of {path} need more than {width} bytes")
+        self.width = width
         self.code = {2: "H", 4: "I"}[width]
-        self.special = [each.content for each in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces: dict[str, bytes] = {}  # of pieces after a space
-        self.parts: dict[str, bytes] = {}
-        self.firsts: dict[str, bytes] = {}  # of pieces at the start of a text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = re.compile("|".join(re.escape(each.content) for each in added) or "(?!)")
+        [[self.between]] = self._ids([_BETWEEN])
+        self.pieces: dict[str, bytes] = {}  # of pieces, and first parts of pieces, after a space
+        self.alone: dict[str, bytes] = {}  # of first pieces of texts and of further parts
+        self.cut = 0  # pieces of several parts
 
     @classmethod
     def shared(cls, path: str, width: int = 2) -> PieceEncoder:
@@ -57,64 +67,83 @@ class PieceEncoder:
 
     def _text(self, text: str) -> bytes:
         first, *rest = text.split(" ")
-        ids = list(map(self.pieces.get, rest))
+        start, ids = self.alone.get(first), list(map(self.pieces.get, rest))
         # Pieces that are empty or have white space at an end are never remembered, so a text
         # that holds one always comes here.
-        if None in ids or _open_end(first):
+        if start is None or None in ids or _open_end(first):
             new = [at for at, found in enumerate(ids) if found is None]
-            if _open_end(first) or any(_unsafe(rest[at]) for at in new):
+            loose = new and _LOOSE.search(f"x {' '.join([rest[at] for at in new])} x")
+            if loose or _open_end(first):
                 first, *rest = _BREAK.split(text)
                 ids = list(map(self.pieces.get, rest))
                 new = [at for at, found in enumerate(ids) if found is None]
-            for at, value in zip(new, self._new([rest[at] for at in new]), strict=True):
+            start, *values = self._new(first, [rest[at] for at in new])
+            for at, value in zip(new, values, strict=True):
                 ids[at] = value
-        return b"".join([self._first(first), *ids])
-
-    def _first(self, piece: str) -> bytes:
-        found = self.firsts.get(piece)
-        if found is None:
-            [found] = self._raw([piece])
-            if len(self.firsts) < KEPT and len(piece) <= KEPT_CHARS:
-                self.firsts[piece] = found
+        return b"".join([start, *ids])
+
+    def _new(self, first: str, pieces: list[str]) -> list[bytes]:
+        """Ids of the first piece of a text and of pieces after a space, by way of their parts."""
+        known, alone = self.pieces, self.alone
+        start = [first] if first in alone else self._parts(first)
+        cut = [[piece] if piece.isalpha() else self._parts(piece) for piece in pieces]
+        several = [(piece, parts) for piece, parts in zip(pieces, cut, strict=True) if len(parts) > 1]
+        heads = {parts[0] for parts in cut if parts[0] not in known}
+        others = {part for _, parts in several for part in parts[1:] if part not in alone}
+        others.update(part for part in start if part not in alone)
+        made = self._made([*others, *[" " + head for head in heads]])
+
+        def joined(parts: list[str]) -> bytes:
+            return b"".join([alone[part] if part in alone else made[part] for part in parts])
+
+        found = [joined(start)]
+        for head, *more in cut:
+            value = known[head] if head in known else made[" " + head]
+            found.append(value + joined(more) if more else value)
+
+        # Never one with white space at its end, which may join what follows.
+        self._keep(known, [(head, made[" " + head]) for head in heads if not head[-1].isspace()])
+        self._keep(alone, [(part, made[part]) for part in others])
+        if len(start) > 1:
+            self._keep(alone, [(first, found[0])])
+        if self.cut < KEPT_CUT and several:
+            before = len(known)
+            values = dict(zip(pieces, found[1:], strict=True))
+            self._keep(known, [(piece, values[piece]) for piece, _ in several])
+            self.cut += len(known) - before
         return found
 
-    def _new(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces after a space, by way of their parts."""
-        cut = [self._parts(piece) for piece in pieces]
-        unknown = list({part for parts in cut for part in parts if part not in self.parts})
-        fresh = dict(zip(unknown, self._raw(unknown), strict=True))
-        known = self.parts
-        found = [
-            b"".join([fresh[part] if part in fresh else known[part] for part in parts])
-            for parts in cut
-        ]
-        if len(known) < KEPT:
-            known.update((part, ids) for part, ids in fresh.items() if len(part) <= KEPT_CHARS + 1)
-        for piece, value in zip(pieces, found, strict=True):
-            if len(self.pieces) < KEPT and len(piece) <= KEPT_CHARS and not _unsafe(piece):
-                self.pieces[piece] = value
-        return found
+    def _keep(self, known: dict[str, bytes], found: list[tuple[str, bytes]]) -> None:
+        if len(self.pieces) + len(self.alone) < KEPT:
+            known.update((piece, ids) for piece, ids in found if len(piece) <= KEPT_CHARS)
 
     def _parts(self, piece: str) -> list[str]:
-        simple = _SIMPLE.fullmatch(piece) and not any(each in piece for each in self.special)
-        if not simple or len(piece) > KEPT_CHARS:
-            return [" " + piece]
-        first, *rest = _PARTS.findall(piece)
-        return [" " + first, *rest]
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
+        if _SIMPLE.fullmatch(piece) and not self.special.search(piece):
+            return _PARTS.findall(piece)
+        return [piece]
+
+    def _made(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of each part, runs of letters being encoded as one string."""
+        runs = [part for part in parts if _RUN.fullmatch(part)]
+        others = [part for part in parts if not _RUN.fullmatch(part)]
+        ids, *more = self._ids([_BETWEEN.join(runs), *others])
+        made = {part: array(self.code, each).tobytes() for part, each in zip(others, more, strict=True)}
+        stops = [at for at, found in enumerate(ids) if found == self.between] + [len(ids)]
+        whole, at = array(self.code, ids).tobytes(), 0
+        for run, stop in zip(runs, stops if runs else [], strict=True):
+            made[run] = whole[at * self.width : stop * self.width]
+            at = stop + 1
+        return made
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array(self.code, each.ids).tobytes() for each in found]
+        return [each.ids for each in found]
 
 
 def _open_end(first: str) -> bool:
     return not first or first[-1].isspace()
 
 
-def _unsafe(piece: str) -> bool:
-    return not piece or piece[0].isspace() or piece[-1].isspace()
-
-
 def crc32_of_u32(ids: bytes, dtype: str) -> int:
     """Unsigned CRC-32 of ids as little-endian unsigned 32-bit integers."""
     import zlib
