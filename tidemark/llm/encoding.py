@@ -86,30 +86,31 @@ class PieceEncoder:
         """Ids of the first piece of a text and of pieces after a space, by way of their parts."""
         known, alone = self.pieces, self.alone
         start = [first] if first in alone else self._parts(first)
-        cut = [[piece] if piece.isalpha() else self._parts(piece) for piece in pieces]
-        several = [(piece, parts) for piece, parts in zip(pieces, cut, strict=True) if len(parts) > 1]
-        heads = {parts[0] for parts in cut if parts[0] not in known}
-        others = {part for _, parts in several for part in parts[1:] if part not in alone}
+        cut = {piece: self._parts(piece) for piece in pieces if not piece.isalpha()}
+        heads = {piece for piece in pieces if piece not in cut}
+        heads.update(parts[0] for parts in cut.values() if parts[0] not in known)
+        others = {part for parts in cut.values() for part in parts[1:] if part not in alone}
         others.update(part for part in start if part not in alone)
         made = self._made([*others, *[" " + head for head in heads]])
+        new = {head: made[" " + head] for head in heads}
 
         def joined(parts: list[str]) -> bytes:
             return b"".join([alone[part] if part in alone else made[part] for part in parts])
 
-        found = [joined(start)]
-        for head, *more in cut:
-            value = known[head] if head in known else made[" " + head]
-            found.append(value + joined(more) if more else value)
+        several = {}
+        for piece, (head, *more) in cut.items():
+            if more:
+                several[piece] = (known[head] if head in known else new[head]) + joined(more)
+        found = [joined(start), *[several[piece] if piece in several else new[piece] for piece in pieces]]
 
         # Never one with white space at its end, which may join what follows.
-        self._keep(known, [(head, made[" " + head]) for head in heads if not head[-1].isspace()])
+        self._keep(known, [pair for pair in new.items() if not pair[0][-1].isspace()])
         self._keep(alone, [(part, made[part]) for part in others])
         if len(start) > 1:
             self._keep(alone, [(first, found[0])])
         if self.cut < KEPT_CUT and several:
             before = len(known)
-            values = dict(zip(pieces, found[1:], strict=True))
-            self._keep(known, [(piece, values[piece]) for piece, _ in several])
+            self._keep(known, list(several.items()))
             self.cut += len(known) - before
         return found
 
@@ -124,8 +125,10 @@ class PieceEncoder:
 
     def _made(self, parts: list[str]) -> dict[str, bytes]:
         """Ids of each part, runs of letters being encoded as one string."""
-        runs = [part for part in parts if _RUN.fullmatch(part)]
-        others = [part for part in parts if not _RUN.fullmatch(part)]
+        runs: list[str] = []
+        others: list[str] = []
+        for part in parts:
+            (runs if _RUN.fullmatch(part) else others).append(part)
         ids, *more = self._ids([_BETWEEN.join(runs), *others])
         made = {part: array(self.code, each).tobytes() for part, each in zip(others, more, strict=True)}
         stops = [at for at, found in enumerate(ids) if found == self.between] + [len(ids)]
